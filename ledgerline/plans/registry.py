@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline import specs
+from ledgerline.operators.generate import generate
 from ledgerline.plans import corpus
-from ledgerline.sources.driver_tables import model
+from ledgerline.sources.driver_tables import model, read_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,15 +41,56 @@ CORPUS_QUERIES: dict[str, Query] = {
 }
 
 
+# Test table whose row count sizes each generated table, so generated
+# volumes grow with the test data.
+SIZE_SOURCES = {
+    "customers": "customer",
+    "products": "part",
+    "suppliers": "supplier",
+    "orders": "orders",
+    "lineitem": "lineitem",
+    "inventory": "part",
+    "events": "events",
+}
+
+_SIZE_CACHE: dict[str, dict[str, int]] = {}
+
+
+def driver_sizes(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """Row counts that size the generated tables (Parquet footer counts)."""
+    if sf_dir not in _SIZE_CACHE:
+        counts = {src: read_raw(spark, sf_dir, src).count() for src in set(SIZE_SOURCES.values())}
+        _SIZE_CACHE[sf_dir] = {t: counts[src] for t, src in SIZE_SOURCES.items()}
+    return _SIZE_CACHE[sf_dir]
+
+
+def generated(spark: SparkSession, sf_dir: str, table: str, profile: str = "lake"):
+    sizes = driver_sizes(spark, sf_dir)
+    capped = {t: min(n, specs.ROW_CAPS.get(t, n)) for t, n in sizes.items()}
+    return generate(spark, table, sizes[table], capped, profile=profile)
+
+
+def _gen(table: str, profile: str) -> Query:
+    return lambda spark, sf_dir: generated(spark, sf_dir, table, profile)
+
+
+GENERATOR_QUERIES: dict[str, Query] = {
+    f"gen_{t}_{p}": _gen(t, p) for t in specs.TABLE_ORDER for p in specs.PROFILES
+}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(CORPUS_QUERIES)
+    out.update(GENERATOR_QUERIES)
     return out
 
 
 def all_oracle_sql() -> dict[str, str]:
     from ledgerline.oracle.corpus_sql import CORPUS_SQL
+    from ledgerline.oracle.generators_sql import all_generator_sql
 
     out: dict[str, str] = {}
     out.update(CORPUS_SQL)
+    out.update(all_generator_sql())
     return out
