@@ -6,9 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import os
+
+from pyspark.sql import functions as F
+
 from ledgerline import specs
+from ledgerline.operators import quality
 from ledgerline.operators.generate import generate
-from ledgerline.plans import corpus
+from ledgerline.plans import corpus, usecases
+from ledgerline.session import scratch_path
+from ledgerline.sinks import layout, snapshots
+from ledgerline.sources import catalog
 from ledgerline.sources.driver_tables import model, read_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,18 +87,149 @@ GENERATOR_QUERIES: dict[str, Query] = {
 }
 
 
+# -- inspection (S3, S4) ------------------------------------------------------------
+
+INSPECTED = ("customer", "orders", "lineitem", "part", "supplier", "events")
+SAMPLED = ("customer", "orders", "lineitem", "events")
+
+
+def _schema_of(name: str) -> Query:
+    return lambda spark, sf_dir: catalog.inspect_schema(read_raw(spark, sf_dir, name))
+
+
+def _sample_of(name: str) -> Query:
+    return lambda spark, sf_dir: catalog.sample(read_raw(spark, sf_dir, name), 5)
+
+
+INSPECTION_QUERIES: dict[str, Query] = {
+    **{f"schema_of_{t}": _schema_of(t) for t in INSPECTED},
+    **{f"sample_{t}": _sample_of(t) for t in SAMPLED},
+}
+
+
+# -- snapshots (T1, T2, K6) ------------------------------------------------------------
+
+AS_OF = "2000-01-01 00:00:00"
+
+
+def orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: orders loaded as one commit per order year (committed on 1 January
+    of the next year), then counted as of ``AS_OF``."""
+    root = scratch_path(spark, "orders_snapshots")
+    o = model(spark, sf_dir, "orders").withColumn("_year", F.year("order_date"))
+    years = [r._year for r in o.select("_year").distinct().collect()]
+    snapshots.backfill(spark, root, o, "_year", {y: f"{y + 1}-01-01 00:00:00" for y in years})
+    return snapshots.read_as_of(spark, root, AS_OF).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+# -- quality (Q3, Q4, Q5) -------------------------------------------------------------------
+
+DRIVER_RELATIONS = [
+    specs.Relation("lineitem", "order_id", "orders", "order_id"),
+    specs.Relation("lineitem", "product_id", "products", "product_id"),
+    specs.Relation("lineitem", "supplier_id", "suppliers", "supplier_id"),
+    specs.Relation("orders", "customer_id", "customers", "customer_id"),
+    specs.Relation("events", "customer_id", "customers", "customer_id"),
+]
+
+# Declared schema of the test lineitem table (what the mapping codes against).
+LINEITEM_DECLARED = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz")
+
+
+def orphans_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.orphans_all(driver_tables(spark, sf_dir), DRIVER_RELATIONS)
+
+
+def schema_check_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql.types import StructType
+
+    expected = StructType.fromDDL(LINEITEM_DECLARED)
+    return quality.schema_diff(spark, expected, read_raw(spark, sf_dir, "lineitem").schema)
+
+
+def land_lake(spark: SparkSession, sf_dir: str, tables=specs.TABLE_ORDER, granularity: str = "day"):
+    """Generate the lake tables sized from the test data and land them
+    partitioned; returns (root, sizes)."""
+    root = scratch_path(spark, "lake")
+    sizes = driver_sizes(spark, sf_dir)
+    capped = {t: min(n, specs.ROW_CAPS.get(t, n)) for t, n in sizes.items()}
+    for t in tables:
+        df = generate(spark, t, sizes[t], capped, profile="lake")
+        layout.write_table(df, os.path.join(root, t), t, "lake", granularity=granularity)
+    return root, capped
+
+
+def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 (with Q1): land all seven lake tables, count what landed, compare with the plan."""
+    root, planned = land_lake(spark, sf_dir)
+    counts = quality.row_counts(lambda t: layout.read_table(spark, os.path.join(root, t)), specs.TABLE_ORDER)
+    return quality.completeness(spark, planned, counts)
+
+
+def _written_then_read(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, _ = land_lake(spark, sf_dir, tables=[table])
+        return layout.read_table(spark, os.path.join(root, table), table, "lake")
+    return run
+
+
+ROUND_TRIP_TABLES = ("customers", "orders", "lineitem", "events", "suppliers")
+
+QUALITY_QUERIES: dict[str, Query] = {
+    "orders_as_of": orders_as_of,
+    "orphans_all": orphans_all,
+    "schema_check_lineitem": schema_check_lineitem,
+    "completeness": completeness,
+    **{f"written_then_read_{t}": _written_then_read(t) for t in ROUND_TRIP_TABLES},
+}
+
+
+# -- use cases (C1-C8) --------------------------------------------------------------------
+
+FUNNEL_STEPS = ["view", "click", "purchase"]
+
+
+def _use(fn, **kw) -> Query:
+    return lambda spark, sf_dir: fn(driver_tables(spark, sf_dir), **kw)
+
+
+def reorder_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 over generated inventory (the test data has no inventory table)."""
+    return usecases.reorder_alerts(lambda t: generated(spark, sf_dir, t, "lake"))
+
+
+USECASE_QUERIES: dict[str, Query] = {
+    "segments": _use(usecases.segments),
+    "category_stats": _use(usecases.category_stats),
+    "supplier_scorecard": _use(usecases.supplier_scorecard),
+    "sales_by_month_status": _use(usecases.sales_by_month_status),
+    "top3_per_category": _use(usecases.top3_per_category),
+    "reorder_alerts": reorder_alerts,
+    "sessions": _use(usecases.sessions),
+    "funnel": _use(usecases.funnel, steps=FUNNEL_STEPS),
+}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(CORPUS_QUERIES)
     out.update(GENERATOR_QUERIES)
+    out.update(INSPECTION_QUERIES)
+    out.update(QUALITY_QUERIES)
+    out.update(USECASE_QUERIES)
     return out
 
 
 def all_oracle_sql() -> dict[str, str]:
     from ledgerline.oracle.corpus_sql import CORPUS_SQL
+    from ledgerline.oracle.extra_sql import EXTRA_SQL
     from ledgerline.oracle.generators_sql import all_generator_sql
 
     out: dict[str, str] = {}
     out.update(CORPUS_SQL)
     out.update(all_generator_sql())
+    out.update(EXTRA_SQL)
     return out
