@@ -381,7 +381,10 @@ def generate(spark: SparkSession, table: str, rows: int, parents: dict[str, int]
     ts = specs.spec(table)
     n = capped_rows(table, rows)
     per_part = rows_per_partition or specs.CHUNK_ROWS[profile]
-    parts = max(1, math.ceil(n / per_part))
+    # At least one partition per core once there are 10K rows per core; at
+    # scale the chunk size sets the count (60B rows -> 120K tasks).
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(1, math.ceil(n / per_part), min(cores, n // 10_000))
     ctx = _Ctx(table, profile, n, dict(parents or {}), seed, hash, audit_ts)
     df = spark.range(1, n + 1, 1, parts).select(*RECIPES[table](ctx))
     schema = ts.schema(profile)

@@ -150,7 +150,7 @@ def schema_check_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.schema_diff(spark, expected, read_raw(spark, sf_dir, "lineitem").schema)
 
 
-def land_lake(spark: SparkSession, sf_dir: str, tables=specs.TABLE_ORDER, granularity: str = "day"):
+def land_lake(spark: SparkSession, sf_dir: str, tables=specs.TABLE_ORDER, granularity: str = "auto"):
     """Generate the lake tables sized from the test data and land them
     partitioned; returns (root, sizes)."""
     root = scratch_path(spark, "lake")
@@ -158,7 +158,7 @@ def land_lake(spark: SparkSession, sf_dir: str, tables=specs.TABLE_ORDER, granul
     capped = {t: min(n, specs.ROW_CAPS.get(t, n)) for t, n in sizes.items()}
     for t in tables:
         df = generate(spark, t, sizes[t], capped, profile="lake")
-        layout.write_table(df, os.path.join(root, t), t, "lake", granularity=granularity)
+        layout.write_table(df, os.path.join(root, t), t, "lake", granularity=granularity, rows=capped[t])
     return root, capped
 
 

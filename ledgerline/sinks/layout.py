@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import math
 import os
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,7 +22,53 @@ from pyspark.sql import types as T
 from ledgerline import specs
 
 LAYOUTS = ("partitioned", "flat")
-GRANULARITIES = ("day", "month")
+GRANULARITIES = ("day", "month", "year")
+TARGET_ROWS_PER_PARTITION = 1_000_000
+
+# Distinct values of the identity partition columns of generated tables.
+PARTITION_CARDINALITY = {
+    "country": len(specs.COUNTRIES),
+    "category": len(specs.CATEGORIES),
+    "event_type": len(specs.EVENT_TYPES),
+    "warehouse_location": len(specs.COUNTRIES),
+}
+# Days covered by each date partition column (the generator windows).
+DATE_SPAN_DAYS = {
+    ("customers", "registration_date"): 1461,
+    ("products", "created_date"): 1826,
+    ("orders", "order_date"): 730,
+    ("lineitem", "ship_date"): 730,
+    ("inventory", "last_updated_date"): 30,
+    ("events", "event_date"): 30,
+}
+_PER_UNIT_DAYS = {"day": 1, "month": 30.4, "year": 365.25}
+
+
+def granularity_for(table: str, rows: int, target_rows: int = TARGET_ROWS_PER_PARTITION) -> str:
+    """The finest date granularity whose partitions hold ``target_rows`` rows.
+
+    Day partitions suit the large fact tables at scale (lineitem: tens of
+    millions of rows per day at 100 TB) but leave a few hundred rows per
+    folder for capped dimensions (customers: 10M rows over 14 countries x
+    1461 days), which costs one tiny file each.  Falls back to ``year``.
+    """
+    ts = specs.spec(table)
+    fixed = 1
+    dates = []
+    for c in ts.partition_cols:
+        if (table, c) in DATE_SPAN_DAYS:
+            dates.append(DATE_SPAN_DAYS[(table, c)])
+        else:
+            fixed *= PARTITION_CARDINALITY.get(c, 20)
+    if not dates:
+        return "day"
+    for g in GRANULARITIES:
+        parts = fixed
+        for span in dates:
+            parts *= max(1, math.ceil(span / _PER_UNIT_DAYS[g]))
+        if rows / parts >= target_rows:
+            return g
+    return "year"
 
 
 def conform(df: DataFrame, schema: T.StructType, allow_extra: bool = False) -> DataFrame:
@@ -46,17 +93,18 @@ def conform(df: DataFrame, schema: T.StructType, allow_extra: bool = False) -> D
 def partition_columns(table: str, granularity: str = "day") -> tuple[list[str], dict]:
     """Partition columns of a table and any derived columns they need.
 
-    ``granularity="month"`` replaces each ``*_date`` partition with
-    ``<col>_month`` (first day of the month): country x day gives
-    thousands of small directories, country x month a few hundred.
+    ``granularity="month"`` (``"year"``) replaces each ``*_date`` partition
+    with ``<col>_month`` (``<col>_year``), the first day of the period:
+    country x day gives thousands of small directories, country x month a
+    few hundred.
     """
     if granularity not in GRANULARITIES:
         raise ValueError(f"unknown granularity {granularity!r}; expected one of {GRANULARITIES}")
     cols, derived = [], {}
     for c in specs.spec(table).partition_cols:
-        if granularity == "month" and c.endswith("_date"):
-            name = f"{c}_month"
-            derived[name] = F.trunc(F.col(c), "month")
+        if granularity != "day" and c.endswith("_date"):
+            name = f"{c}_{granularity}"
+            derived[name] = F.trunc(F.col(c), granularity)
             cols.append(name)
         else:
             cols.append(c)
@@ -78,18 +126,26 @@ def clustered(df: DataFrame, table: str, granularity: str = "day") -> tuple[Data
 
 
 def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", layout: str = "partitioned",
-                mode: str = "overwrite", granularity: str = "day", max_records_per_file: int | None = None,
+                mode: str = "overwrite", granularity: str = "day", rows: int | None = None,
+                max_records_per_file: int | None = 5_000_000, replace: str = "table",
                 observe: bool = True) -> dict:
     """Land one table as Snappy Parquet.
 
     ``layout="flat"`` is the base profile's one-folder layout;
-    ``"partitioned"`` uses the table's partition spec.  Returns a report row
-    with the number of rows written, counted while writing (no second scan).
+    ``"partitioned"`` uses the table's partition spec, with
+    ``granularity="auto"`` choosing day/month/year from the planned
+    ``rows``.  ``replace="partitions"`` overwrites only the partitions
+    present in ``df`` (a partial re-run); the default replaces the table.
+    Returns a report row with the rows written, counted while writing.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}; expected one of {LAYOUTS}")
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
+    if replace not in ("table", "partitions"):
+        raise ValueError("replace must be 'table' or 'partitions'")
+    if granularity == "auto":
+        granularity = granularity_for(table, rows) if rows is not None else "day"
     df = conform(df, specs.spec(table).schema(profile))
     obs = Observation(f"write_{table}") if observe else None
     if obs is not None:
@@ -97,13 +153,14 @@ def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", lay
     writer_df, pcols = (clustered(df, table, granularity) if layout == "partitioned"
                         else (df.sortWithinPartitions(*specs.spec(table).sort_cols), []))
     w = writer_df.write.mode(mode).option("compression", "snappy")
+    w = w.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     if pcols:
         w = w.partitionBy(*pcols)
     w.parquet(path)
-    rows = obs.get["rows"] if obs is not None else None
-    return {"table": table, "path": path, "rows": rows, "partition_cols": pcols}
+    written = obs.get["rows"] if obs is not None else None
+    return {"table": table, "path": path, "rows": written, "partition_cols": pcols, "granularity": granularity}
 
 
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int = 100, path: str | None = None,
