@@ -76,11 +76,11 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list, k: i
     The global top k of a group is always among the sub-group top k, so the
     result is exact; a group with a third of all rows is spread over
     ``salt_buckets`` tasks in phase one.  ``salt_col`` (default: a hash of
-    all order columns) picks the sub-group.
+    the whole row) picks the sub-group.
     """
     oc = _cols(order_cols)
-    salt = (F.pmod(F.hash(F.col(salt_col)), F.lit(salt_buckets)) if salt_col
-            else F.pmod(F.hash(*oc), F.lit(salt_buckets)))
+    salted = [F.col(salt_col)] if salt_col else [F.col(c) for c in df.columns]
+    salt = F.pmod(F.xxhash64(*salted), F.lit(salt_buckets))
     phase1 = Window.partitionBy(*group_cols, "_salt").orderBy(*oc)
     survivors = (df.withColumn("_salt", salt)
                  .withColumn("_r1", F.row_number().over(phase1))

@@ -117,6 +117,17 @@ def create_table(spark: SparkSession, table: str, namespace: str, location: str,
     return name
 
 
+def insert(df: DataFrame, name: str, overwrite: bool = False) -> None:
+    """Append (or overwrite) rows into a catalog table, matching columns
+    by name.  ``insertInto`` is positional and partitioned tables keep their
+    partition columns last, so the frame is reordered first."""
+    target = df.sparkSession.table(name).columns
+    missing = [c for c in target if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing for {name}: {missing}")
+    df.select(*target).write.insertInto(name, overwrite=overwrite)
+
+
 def create_external_table(spark: SparkSession, name: str, location: str, schema: T.StructType) -> None:
     """A catalog table over existing Parquet files with an explicit schema."""
     spark.catalog.createTable(name, path=location, source="parquet", schema=schema)

@@ -1,0 +1,86 @@
+"""Snapshot log: append, overwrite, as-of reads, invisible unfinished writes, evolution."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.sinks import snapshots
+
+
+def _batch(spark, ids, extra=False):
+    rows = [(i, f"v{i}") + ((i * 10,) if extra else ()) for i in ids]
+    schema = "id long, v string" + (", w long" if extra else "")
+    return spark.createDataFrame(rows, schema)
+
+
+def test_as_of_each_commit(spark, tmp_root):
+    root = os.path.join(tmp_root, "t")
+    k1 = snapshots.append(spark, root, _batch(spark, [1, 2]), "2024-01-01 00:00:00")
+    k2 = snapshots.append(spark, root, _batch(spark, [3]), "2024-02-01 00:00:00")
+    k3 = snapshots.append(spark, root, _batch(spark, [4, 5, 6]), "2024-03-01 00:00:00")
+    assert (k1, k2, k3) == (1, 2, 3)
+    count = lambda ts: snapshots.read_as_of(spark, root, ts).count()
+    with pytest.raises(snapshots.SnapshotError):
+        count("2023-12-31 23:59:59")  # before the first commit
+    assert count("2024-01-01 00:00:00") == 2  # exactly at a commit time
+    assert count("2024-01-15 00:00:00") == 2
+    assert count("2024-02-01 00:00:00") == 3
+    assert count(None) == 6
+    hist = snapshots.history(spark, root).collect()
+    assert [h.rows for h in hist] == [2, 1, 3] and [h.operation for h in hist] == ["append"] * 3
+
+
+def test_overwrite_hides_older_snapshots(spark, tmp_root):
+    root = os.path.join(tmp_root, "t")
+    snapshots.append(spark, root, _batch(spark, [1, 2]), "2024-01-01 00:00:00")
+    snapshots.overwrite(spark, root, _batch(spark, [9]), "2024-02-01 00:00:00")
+    snapshots.append(spark, root, _batch(spark, [10]), "2024-03-01 00:00:00")
+    ids = lambda ts: sorted(r.id for r in snapshots.read_as_of(spark, root, ts).collect())
+    assert ids("2024-01-15 00:00:00") == [1, 2]
+    assert ids("2024-02-01 00:00:00") == [9]
+    assert ids(None) == [9, 10]
+
+
+def test_unfinished_write_is_invisible(spark, tmp_root):
+    root = os.path.join(tmp_root, "t")
+    snapshots.append(spark, root, _batch(spark, [1]), "2024-01-01 00:00:00")
+    # Data of snapshot 2 landed, but its log row was never written.
+    _batch(spark, [2, 3]).write.parquet(os.path.join(root, "snapshot_id=2"))
+    assert snapshots.read_as_of(spark, root).count() == 1
+    # The next commit takes id 2 again and replaces the orphaned files.
+    k = snapshots.append(spark, root, _batch(spark, [4]), "2024-02-01 00:00:00")
+    assert k == 2
+    assert sorted(r.id for r in snapshots.read_as_of(spark, root).collect()) == [1, 4]
+
+
+def test_schema_evolution_added_column(spark, tmp_root):
+    root = os.path.join(tmp_root, "t")
+    snapshots.append(spark, root, _batch(spark, [1]), "2024-01-01 00:00:00")
+    snapshots.append(spark, root, _batch(spark, [2], extra=True), "2024-02-01 00:00:00")
+    rows = {r.id: r for r in snapshots.read_as_of(spark, root).collect()}
+    assert rows[1].w is None and rows[2].w == 20
+    old = snapshots.read_as_of(spark, root, "2024-01-01 00:00:00")
+    assert old.count() == 1
+
+
+def test_commit_times_must_not_go_back(spark, tmp_root):
+    root = os.path.join(tmp_root, "t")
+    snapshots.append(spark, root, _batch(spark, [1]), "2024-02-01 00:00:00")
+    with pytest.raises(snapshots.SnapshotError):
+        snapshots.append(spark, root, _batch(spark, [2]), "2024-01-01 00:00:00")
+
+
+def test_backfill_one_job_many_commits(spark, tmp_root):
+    root = os.path.join(tmp_root, "t")
+    df = spark.range(0, 100).withColumn("year", (F.col("id") % 3 + 2020).cast("int"))
+    ids = snapshots.backfill(spark, root, df, "year", {2020: "2021-01-01 00:00:00", 2021: "2022-01-01 00:00:00",
+                                                       2022: "2023-01-01 00:00:00"})
+    assert ids == [1, 2, 3]
+    assert snapshots.read_as_of(spark, root, dt.datetime(2022, 6, 1)).count() == 67
+    assert [h.rows for h in snapshots.history(spark, root).collect()] == [34, 33, 33]
+    plan = snapshots.read_as_of(spark, root, "2021-06-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "snapshot_id" in plan
