@@ -104,22 +104,33 @@ def sessionize(df: DataFrame, user: str, ts: str, tiebreak: str, gap_seconds: in
     per-bucket summaries of each user (one row per active bucket) to carry
     the previous bucket's last event and session count across bucket
     borders.  A user with a third of all events is therefore ordered by
-    many tasks, one per time bucket, not by one.
+    many tasks, one per time bucket, not by one.  The bucket summary is
+    read off the level-1 window output (its first row per bucket), so the
+    events are scanned and shuffled once: both branches share one exchange.
+    Rows with a null user or timestamp belong to no session (null number).
     """
     gap = gap_seconds * 1_000_000
-    t = _micros(F.col(ts))
-    ev = (df.withColumn("_t", t)
-          .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint")))
+    known = F.col(user).isNotNull() & F.col(ts).isNotNull()
+    unknown = df.filter(~known).withColumn(out, F.lit(None).cast("bigint"))
+    ev = (df.filter(known).withColumn("_t", _micros(F.col(ts)))
+          # coalesce makes the bucket provably non-null, so no inferred
+          # not-null filter is pushed into one branch only (that would stop
+          # the two branches from sharing the events exchange).
+          .withColumn("_b", F.coalesce(F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint"),
+                                       F.lit(0).cast("bigint"))))
     w1 = Window.partitionBy(user, "_b").orderBy("_t", tiebreak)
-    prev = F.lag("_t").over(w1)
-    ev = (ev.withColumn("_prev", prev)
-          .withColumn("_inner", F.when(F.col("_prev").isNotNull() & (F.col("_t") - F.col("_prev") > F.lit(gap)), 1)
-                      .otherwise(0))
-          .withColumn("_cum_inner", F.sum("_inner").over(w1.rowsBetween(Window.unboundedPreceding, 0))))
-    buckets = ev.groupBy(user, "_b").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"),
-                                         F.sum("_inner").alias("_inner_starts"))
+    whole = Window.partitionBy(user, "_b")
+    inner = F.when(F.col("_t") - F.lag("_t").over(w1) > F.lit(gap), 1).otherwise(0)
+    ev = (ev.withColumn("_inner", inner)
+          .withColumn("_cum_inner", F.sum("_inner").over(w1.rowsBetween(Window.unboundedPreceding, 0)))
+          .withColumn("_rn", F.row_number().over(w1))
+          .withColumn("_last", F.max("_t").over(whole))
+          .withColumn("_inner_starts", F.sum("_inner").over(whole)))
     w2 = Window.partitionBy(user).orderBy("_b")
-    buckets = (buckets
+    buckets = (ev.filter(F.col("_rn") == 1)
+               # _first is _t of the first row, taken from the timestamp
+               # itself so this branch reads the same columns as the other.
+               .select(user, "_b", _micros(F.col(ts)).alias("_first"), "_last", "_inner_starts")
                .withColumn("_prev_last", F.lag("_last").over(w2))
                .withColumn("_first_start",
                            F.when(F.col("_prev_last").isNull() | (F.col("_first") - F.col("_prev_last") > F.lit(gap)), 1)
@@ -128,9 +139,12 @@ def sessionize(df: DataFrame, user: str, ts: str, tiebreak: str, gap_seconds: in
                            F.coalesce(F.sum(F.col("_inner_starts") + F.col("_first_start"))
                                       .over(w2.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .select(user, "_b", "_first_start", "_starts_before"))
-    return (ev.join(buckets, [user, "_b"])
-            .withColumn(out, (F.col("_starts_before") + F.col("_first_start") + F.col("_cum_inner")).cast("bigint"))
-            .drop("_t", "_b", "_prev", "_inner", "_cum_inner", "_first_start", "_starts_before"))
+    numbered = (ev.join(buckets, [user, "_b"])
+                .withColumn(out, (F.col("_starts_before") + F.col("_first_start") + F.col("_cum_inner"))
+                            .cast("bigint"))
+                .drop("_t", "_b", "_inner", "_cum_inner", "_rn", "_last", "_inner_starts", "_first_start",
+                      "_starts_before"))
+    return numbered.unionByName(unknown)
 
 
 def ordered_funnel(df: DataFrame, user: str, ts: str, step_col: str, steps: list[str]) -> DataFrame:

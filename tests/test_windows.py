@@ -113,3 +113,22 @@ def test_reorder_alert_boundaries(spark):
     got = {r.inventory_id: r for r in usecases.reorder_alerts(lambda _: inv).collect()}
     assert set(got) == {1, 2}  # allocated > on hand, and available == reorder point
     assert got[1].available == -10 and str(got[2].reorder_cost) == "250.00"
+
+
+def test_sessionize_keeps_rows_without_user_or_time(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, 1, t), (2, None, t), (3, 1, None), (4, 1, t + dt.timedelta(hours=2))]
+    ev = spark.createDataFrame(rows, "event_id long, customer_id long, event_timestamp timestamp_ntz")
+    got = {r.event_id: r.session_no for r in
+           windows.sessionize(ev, "customer_id", "event_timestamp", "event_id").collect()}
+    assert got == {1: 1, 2: None, 3: None, 4: 2}
+
+
+def test_sessionize_shares_one_events_exchange(spark, skewed_events):
+    out = windows.sessionize(skewed_events, "customer_id", "event_timestamp", "event_id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange" in plan
