@@ -106,8 +106,10 @@ def sessionize(df: DataFrame, user: str, ts: str, tiebreak: str, gap_seconds: in
     borders.  A user with a third of all events is therefore ordered by
     many tasks, one per time bucket, not by one.  The bucket summary is
     read off the level-1 window output (its first row per bucket), so the
-    events are scanned and shuffled once: both branches share one exchange.
-    Rows with a null user or timestamp belong to no session (null number).
+    events are scanned and shuffled once: both branches share one exchange
+    (pass only the user, time and tie-break columns, plus nothing the
+    bucket branch would prune, to keep that).  Rows with a null user or
+    timestamp belong to no session (null number).
     """
     gap = gap_seconds * 1_000_000
     known = F.col(user).isNotNull() & F.col(ts).isNotNull()

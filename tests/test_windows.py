@@ -125,7 +125,8 @@ def test_sessionize_keeps_rows_without_user_or_time(spark):
 
 
 def test_sessionize_shares_one_events_exchange(spark, skewed_events):
-    out = windows.sessionize(skewed_events, "customer_id", "event_timestamp", "event_id")
+    keys = skewed_events.select("customer_id", "event_timestamp", "event_id")
+    out = windows.sessionize(keys, "customer_id", "event_timestamp", "event_id")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = out._jdf.queryExecution().executedPlan().toString()
