@@ -1,7 +1,7 @@
 """Data-quality checks Q1-Q5 as DataFrames.
 
 Orphan counting pre-aggregates the child side to one row per distinct key
-(a map-side partial aggregate) before the anti-join.  A key shared by a
+(a map-side partial aggregate) before joining it to the parent keys.  A key shared by a
 third of all child rows then costs one row per map task in the shuffle,
 and the join that follows has unique keys on both sides, so it cannot be
 skewed.  All relations are checked in one plan (a union of per-relation
@@ -38,24 +38,24 @@ def orphans(tables: Tables, relation: Relation) -> DataFrame:
     ``checked`` counts child rows with a non-null key; null keys are
     skipped for nullable relations and counted as orphans otherwise (the
     reading of the published LEFT JOIN ... IS NULL check).
+
+    Child keys are counted first (partial aggregation on the map side),
+    then left-joined to the distinct parent keys: both join sides have
+    unique keys.  An outer join is used on purpose: Catalyst pushes a
+    left-anti join below the aggregate, which would join raw child rows.
     """
     child = tables(relation.child).select(F.col(relation.column).alias("k"))
     if relation.nullable:
         child = child.filter(F.col("k").isNotNull())
     per_key = child.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    parent = tables(relation.parent).select(F.col(relation.parent_column).alias("k")).distinct()
-    missing = per_key.join(parent, "k", "left_anti")
-    checked = per_key.agg(F.sum("n").alias("checked"))
-    lost = missing.agg(F.sum("n").alias("orphans"))
-    meta = [F.lit(relation.child).alias("child"), F.lit(relation.column).alias("column"),
-            F.lit(relation.parent).alias("parent")]
-    # Both sides are single-row global aggregates; union + max keeps this a
-    # plain aggregation rather than a join between them.
-    both = (checked.select(F.col("checked").cast("bigint").alias("checked"), F.lit(None).cast("bigint").alias("orphans"))
-            .unionByName(lost.select(F.lit(None).cast("bigint").alias("checked"),
-                                     F.col("orphans").cast("bigint").alias("orphans"))))
-    return both.agg(F.coalesce(F.max("checked"), F.lit(0)).alias("checked"),
-                    F.coalesce(F.max("orphans"), F.lit(0)).alias("orphans")).select(*meta, "checked", "orphans")
+    parent = (tables(relation.parent).select(F.col(relation.parent_column).alias("k")).distinct()
+              .withColumn("_hit", F.lit(True)))
+    joined = per_key.join(parent, "k", "left")
+    return joined.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("checked"),
+        F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("orphans"),
+    ).select(F.lit(relation.child).alias("child"), F.lit(relation.column).alias("column"),
+             F.lit(relation.parent).alias("parent"), "checked", "orphans")
 
 
 def orphans_all(tables: Tables, relations: Iterable[Relation] = specs.RELATIONS) -> DataFrame:

@@ -106,16 +106,19 @@ def table_row_counts(tables: Tables, names: tuple[str, ...] = ("customers", "ord
 
 
 def orders_without_customer(tables: Tables) -> DataFrame:
-    """K9: orders whose customer does not exist, written as an anti-join.
+    """K9: orders whose customer does not exist.
 
-    The published text is LEFT JOIN ... WHERE c.customer_id IS NULL, which
-    Catalyst keeps as an outer join plus filter.  ``left_anti`` gives the same
-    count with no joined output rows.  Null customer ids count as orphans in
-    both forms.
+    The published text is LEFT JOIN ... WHERE c.customer_id IS NULL; null
+    customer ids count as orphans, as in that form.  Orders are first
+    counted per customer id (map-side partial aggregate), so a customer
+    with a third of all orders costs one row per task in the shuffle, and
+    the join to the customer keys sees unique keys on both sides.
     """
-    o = tables("orders").select("customer_id")
-    c = tables("customers").select("customer_id")
-    return o.join(c, "customer_id", "left_anti").agg(F.count(F.lit(1)).alias("orphan_count"))
+    from ledgerline.operators.quality import orphans
+    from ledgerline.specs import Relation
+
+    rel = Relation("orders", "customer_id", "customers", "customer_id")
+    return orphans(tables, rel).select(F.col("orphans").alias("orphan_count"))
 
 
 def recent_orders(tables: Tables, since: str = PUBLISHED_CUTOFF, k: int = 10) -> DataFrame:
