@@ -75,7 +75,8 @@ def sales_by_country(tables: Tables, since: str = PUBLISHED_CUTOFF) -> DataFrame
     The date filter is typed, so it is pushed into the orders scan (and is a
     partition filter on a landed lake partitioned by order_date).
     """
-    o = tables("orders").filter(F.col("order_date") >= _date(since))
+    o = (tables("orders").filter(F.col("order_date") >= _date(since))
+         .select("order_id", "customer_id", "total_amount"))  # orders have a country of their own
     c = tables("customers").select("customer_id", "country")
     return (o.join(c, "customer_id")
             .groupBy("country")
@@ -86,7 +87,8 @@ def sales_by_country(tables: Tables, since: str = PUBLISHED_CUTOFF) -> DataFrame
 
 def revenue_by_category(tables: Tables, since: str = PUBLISHED_CUTOFF) -> DataFrame:
     """K7: revenue and line count per product category since a ship date."""
-    li = tables("lineitem").filter(F.col("ship_date") >= _date(since))
+    li = (tables("lineitem").filter(F.col("ship_date") >= _date(since))
+          .select("lineitem_id", "product_id", "net_amount"))
     p = tables("products").select("product_id", "category")
     return (li.join(p, "product_id")
             .groupBy("category")

@@ -42,7 +42,10 @@ def supplier_scorecard(tables: Tables) -> DataFrame:
     lineitem is aggregated to one row per supplier before the join with
     the supplier dimension, so the join sees one row per supplier.
     """
-    per_supplier = (tables("lineitem").groupBy("supplier_id")
+    li = tables("lineitem")
+    if "supplier_id" not in li.columns:  # generated lineitem: the supplier comes with the product
+        li = li.join(tables("products").select("product_id", "supplier_id"), "product_id")
+    per_supplier = (li.groupBy("supplier_id")
                     .agg(money_sum("net_amount").alias("revenue"),
                          long_sum("quantity").alias("units"),
                          F.count(F.lit(1)).alias("lines"),
