@@ -1 +1,7 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+The data set this toolkit rebuilds is batch only: there is no stream
+source, watermark, windowed or stateful operator to reproduce.  Events are
+a batch table ordered by time; sessions and funnels over them are batch
+plans in ``ledgerline.plans.usecases``.
+"""
