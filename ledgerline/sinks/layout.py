@@ -44,29 +44,45 @@ DATE_SPAN_DAYS = {
 _PER_UNIT_DAYS = {"day": 1, "month": 30.4, "year": 365.25}
 
 
-def granularity_for(table: str, rows: int, target_rows: int = TARGET_ROWS_PER_PARTITION) -> str:
-    """The finest date granularity whose partitions hold ``target_rows`` rows.
-
-    Day partitions suit the large fact tables at scale (lineitem: tens of
-    millions of rows per day at 100 TB) but leave a few hundred rows per
-    folder for capped dimensions (customers: 10M rows over 14 countries x
-    1461 days), which costs one tiny file each.  Falls back to ``year``.
-    """
-    ts = specs.spec(table)
-    fixed = 1
-    dates = []
-    for c in ts.partition_cols:
+def _folders(table: str, cols: tuple[str, ...], granularity: str) -> int:
+    n = 1
+    for c in cols:
         if (table, c) in DATE_SPAN_DAYS:
-            dates.append(DATE_SPAN_DAYS[(table, c)])
+            n *= max(1, math.ceil(DATE_SPAN_DAYS[(table, c)] / _PER_UNIT_DAYS[granularity]))
         else:
-            fixed *= PARTITION_CARDINALITY.get(c, 20)
-    if not dates:
-        return "day"
+            n *= PARTITION_CARDINALITY.get(c, 20)
+    return n
+
+
+def auto_layout(table: str, rows: int, target_rows: int = TARGET_ROWS_PER_PARTITION) -> tuple[str, tuple[str, ...]]:
+    """The finest partitioning whose folders hold ``target_rows`` rows.
+
+    Tries the table's partition columns (and every order-preserving subset)
+    at day, month and year granularity and keeps the layout with the most
+    folders that still meets the target; a table too small for any of them
+    is not partitioned.  At 100 TB lineitem keeps daily folders (tens of
+    millions of rows each); capped customers (10M rows) would get a few
+    hundred rows per country x day folder, so they get fewer folders.
+    """
+    from itertools import combinations
+
+    spec_cols = specs.spec(table).partition_cols
+    best: tuple[int, int, str, tuple[str, ...]] | None = None
+    for size in range(len(spec_cols), 0, -1):
+        for cols in combinations(spec_cols, size):
+            for g in GRANULARITIES:
+                n = _folders(table, cols, g)
+                if rows / n >= target_rows:
+                    cand = (n, len(cols), g, cols)
+                    if best is None or cand[:2] > best[:2]:
+                        best = cand
+    return (best[2], best[3]) if best else ("year", ())
+
+
+def granularity_for(table: str, rows: int, target_rows: int = TARGET_ROWS_PER_PARTITION) -> str:
+    """Date granularity of :func:`auto_layout` for the full partition spec."""
     for g in GRANULARITIES:
-        parts = fixed
-        for span in dates:
-            parts *= max(1, math.ceil(span / _PER_UNIT_DAYS[g]))
-        if rows / parts >= target_rows:
+        if rows / _folders(table, specs.spec(table).partition_cols, g) >= target_rows:
             return g
     return "year"
 
@@ -90,7 +106,8 @@ def conform(df: DataFrame, schema: T.StructType, allow_extra: bool = False) -> D
     return df.select(*cols)
 
 
-def partition_columns(table: str, granularity: str = "day") -> tuple[list[str], dict]:
+def partition_columns(table: str, granularity: str = "day",
+                      keep: tuple[str, ...] | None = None) -> tuple[list[str], dict]:
     """Partition columns of a table and any derived columns they need.
 
     ``granularity="month"`` (``"year"``) replaces each ``*_date`` partition
@@ -102,6 +119,8 @@ def partition_columns(table: str, granularity: str = "day") -> tuple[list[str],
         raise ValueError(f"unknown granularity {granularity!r}; expected one of {GRANULARITIES}")
     cols, derived = [], {}
     for c in specs.spec(table).partition_cols:
+        if keep is not None and c not in keep:
+            continue
         if granularity != "day" and c.endswith("_date"):
             name = f"{c}_{granularity}"
             derived[name] = F.trunc(F.col(c), granularity)
@@ -111,18 +130,19 @@ def partition_columns(table: str, granularity: str = "day") -> tuple[list[str],
     return cols, derived
 
 
-def clustered(df: DataFrame, table: str, granularity: str = "day") -> tuple[DataFrame, list[str]]:
+def clustered(df: DataFrame, table: str, granularity: str = "day",
+              keep: tuple[str, ...] | None = None) -> tuple[DataFrame, list[str]]:
     """Cluster rows for a partitioned write (W7): rebalance on the partition
     columns, then sort each task's rows by partition and sort columns."""
     ts = specs.spec(table)
-    pcols, derived = partition_columns(table, granularity)
+    pcols, derived = partition_columns(table, granularity, keep)
     for name, expr in derived.items():
         df = df.withColumn(name, expr)
     missing = [c for c in pcols + list(ts.sort_cols) if c not in df.columns]
     if missing:
         raise ValueError(f"{table}: partition/sort columns missing from data: {missing}")
-    out = df.hint("rebalance", *pcols).sortWithinPartitions(*pcols, *ts.sort_cols)
-    return out, pcols
+    balanced = df.hint("rebalance", *pcols) if pcols else df.hint("rebalance")
+    return balanced.sortWithinPartitions(*pcols, *ts.sort_cols), pcols
 
 
 def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", layout: str = "partitioned",
@@ -132,9 +152,10 @@ def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", lay
     """Land one table as Snappy Parquet.
 
     ``layout="flat"`` is the base profile's one-folder layout;
-    ``"partitioned"`` uses the table's partition spec, with
-    ``granularity="auto"`` choosing day/month/year from the planned
-    ``rows``.  ``replace="partitions"`` overwrites only the partitions
+    ``"partitioned"`` uses the table's partition spec; ``granularity``
+    ``"day"`` is the published spec, ``"month"``/``"year"`` coarsen the date
+    folders, and ``"auto"`` picks columns and granularity from the planned
+    ``rows`` (:func:`auto_layout`).  ``replace="partitions"`` overwrites only the partitions
     present in ``df`` (a partial re-run); the default replaces the table.
     Returns a report row with the rows written, counted while writing.
     """
@@ -144,13 +165,14 @@ def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", lay
         raise ValueError("mode must be 'overwrite' or 'append'")
     if replace not in ("table", "partitions"):
         raise ValueError("replace must be 'table' or 'partitions'")
+    keep = None
     if granularity == "auto":
-        granularity = granularity_for(table, rows) if rows is not None else "day"
+        granularity, keep = auto_layout(table, rows) if rows is not None else ("day", None)
     df = conform(df, specs.spec(table).schema(profile))
     obs = Observation(f"write_{table}") if observe else None
     if obs is not None:
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer_df, pcols = (clustered(df, table, granularity) if layout == "partitioned"
+    writer_df, pcols = (clustered(df, table, granularity, keep) if layout == "partitioned"
                         else (df.sortWithinPartitions(*specs.spec(table).sort_cols), []))
     w = writer_df.write.mode(mode).option("compression", "snappy")
     w = w.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")

@@ -149,3 +149,16 @@ def test_manifest_round_trip(spark, tmp_root):
     assert set(back) >= {"generation_date", "target_size_gb", "tables", "root", "chunk_size", "data_format",
                          "compression"}
     assert back["chunk_size"] == 1_000_000 and back["table_rows"] == {"orders": 10, "lineitem": 40}
+
+
+def test_auto_layout_follows_volume(spark, tmp_root):
+    assert layout.auto_layout("lineitem", 60_000_000_000) == ("day", ("ship_date",))
+    assert layout.auto_layout("events", 20_000_000_000) == ("day", ("event_date", "event_type"))
+    assert layout.auto_layout("customers", 10_000_000) == ("year", ("registration_date",))
+    assert layout.auto_layout("suppliers", 100_000) == ("year", ())  # too small to partition
+    df = generate(spark, "suppliers", 500, SIZES)
+    path = os.path.join(tmp_root, "s")
+    rep = layout.write_table(df, path, "suppliers", granularity="auto", rows=500)
+    assert rep["partition_cols"] == [] and rep["rows"] == 500
+    assert not [d for d in _dirs(path) if "=" in d]
+    assert layout.read_table(spark, path, "suppliers").count() == 500
