@@ -91,8 +91,17 @@ def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list, k: i
 
 
 def _micros(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                            ts.cast("timestamp_ntz"))
+    """Microseconds since 1970-01-01 of a wall-clock (``timestamp_ntz``) value.
+
+    Built from its date and clock fields, which do not depend on the session
+    time zone (``timestamp_diff`` would convert through it and shift by an
+    hour across daylight-saving changes).
+    """
+    t = ts.cast("timestamp_ntz")
+    days = F.unix_date(F.to_date(t)).cast("bigint")
+    secs = F.hour(t).cast("bigint") * 3600 + F.minute(t).cast("bigint") * 60
+    frac = (F.date_part(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("bigint")
+    return (days * F.lit(86400) + secs) * F.lit(1_000_000) + frac
 
 
 def sessionize(df: DataFrame, user: str, ts: str, tiebreak: str, gap_seconds: int = 1800,

@@ -133,3 +133,20 @@ def test_sessionize_shares_one_events_exchange(spark, skewed_events):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "ReusedExchange" in plan
+
+
+def test_sessionize_ignores_session_time_zone(spark):
+    """Wall-clock gaps across a daylight-saving change, under a DST session zone."""
+    t = dt.datetime(2024, 3, 10, 1, 50)  # US clocks jump from 02:00 to 03:00 that night
+    rows = [(1, 1, t), (2, 1, t + dt.timedelta(minutes=25)), (3, 1, t + dt.timedelta(minutes=50, seconds=1)),
+            (4, 1, dt.datetime(2024, 11, 3, 1, 10)), (5, 1, dt.datetime(2024, 11, 3, 1, 40)),
+            (6, 1, dt.datetime(2024, 11, 3, 1, 40, 0, 1))]
+    ev = spark.createDataFrame(rows, "event_id long, customer_id long, event_timestamp timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = {r.event_id: r.session_no for r in
+               windows.sessionize(ev, "customer_id", "event_timestamp", "event_id").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {1: 1, 2: 1, 3: 1, 4: 2, 5: 2, 6: 2}
