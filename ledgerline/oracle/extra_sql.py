@@ -152,6 +152,7 @@ EXTRA_SQL: dict[str, str] = {
     "completeness": COMPLETENESS_SQL,
     **{f"written_then_read_{t}": generator_sql(t, "lake")
        for t in ("customers", "orders", "lineitem", "events", "suppliers")},
+    "written_then_read_lineitem_base": generator_sql("lineitem", "base"),
     "segments": SEGMENTS_SQL,
     "category_stats": CATEGORY_STATS_SQL,
     "supplier_scorecard": SUPPLIER_SCORECARD_SQL,

@@ -178,12 +178,22 @@ def _written_then_read(table: str) -> Query:
 
 ROUND_TRIP_TABLES = ("customers", "orders", "lineitem", "events", "suppliers")
 
+
+def written_then_read_lineitem_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base profile's flat layout (one folder, Snappy Parquet), read back."""
+    root = scratch_path(spark, "base")
+    df = generated(spark, sf_dir, "lineitem", "base")
+    path = os.path.join(root, "lineitem")
+    layout.write_table(df, path, "lineitem", "base", layout="flat")
+    return layout.read_table(spark, path, "lineitem", "base")
+
 QUALITY_QUERIES: dict[str, Query] = {
     "orders_as_of": orders_as_of,
     "orphans_all": orphans_all,
     "schema_check_lineitem": schema_check_lineitem,
     "completeness": completeness,
     **{f"written_then_read_{t}": _written_then_read(t) for t in ROUND_TRIP_TABLES},
+    "written_then_read_lineitem_base": written_then_read_lineitem_base,
 }
 
 

@@ -11,7 +11,6 @@ instead of landing in one, so no single task writes a third of a table.
 from __future__ import annotations
 
 import datetime as _dt
-import json
 import math
 import os
 
@@ -208,9 +207,22 @@ def read_table(spark: SparkSession, path: str, table: str | None = None, profile
     return df
 
 
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("generation_date", T.StringType()),
+    T.StructField("target_size_gb", T.DoubleType()),
+    T.StructField("tables", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("root", T.StringType()),
+    T.StructField("chunk_size", T.LongType()),
+    T.StructField("data_format", T.StringType()),
+    T.StructField("compression", T.StringType()),
+    T.StructField("profile", T.StringType()),
+    T.StructField("table_rows", T.MapType(T.StringType(), T.LongType())),
+])
+
+
 def manifest_row(root: str, target_size_gb: float, profile: str, reports: list[dict] | None = None,
                  generated_at: str | None = None) -> dict:
-    """The manifest as a plain dict (one row)."""
+    """The manifest as a plain dict (one row of :data:`MANIFEST_SCHEMA`)."""
     return {
         "generation_date": generated_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(),
         "target_size_gb": float(target_size_gb),
@@ -225,13 +237,13 @@ def manifest_row(root: str, target_size_gb: float, profile: str, reports: list[d
 
 
 def write_manifest(spark: SparkSession, root: str, manifest: dict) -> str:
-    """Write the manifest as one JSON row at ``root/_manifest`` (hidden from readers)."""
+    """Write the manifest as a one-row JSON table at ``root/_manifest``
+    (the leading underscore hides it from table readers)."""
     path = os.path.join(root, "_manifest")
-    spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(path)
+    spark.createDataFrame([manifest], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
     return path
 
 
 def read_manifest(spark: SparkSession, root: str) -> dict:
-    rows = spark.read.text(os.path.join(root, "_manifest")).collect()
-    return json.loads(rows[0].value)
+    row = spark.read.schema(MANIFEST_SCHEMA).json(os.path.join(root, "_manifest")).first()
+    return row.asDict(recursive=True)

@@ -128,6 +128,16 @@ def insert(df: DataFrame, name: str, overwrite: bool = False) -> None:
     df.select(*target).write.insertInto(name, overwrite=overwrite)
 
 
+def add_columns(spark: SparkSession, name: str, columns_ddl: str) -> None:
+    """T4: add columns to a catalog table (``"discount_code string, loyalty int"``).
+
+    Existing files keep working: readers see null in the new columns.
+    Dropping or renaming columns is not supported by the session catalog's
+    Parquet tables; project instead.
+    """
+    spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns_ddl})")
+
+
 def create_external_table(spark: SparkSession, name: str, location: str, schema: T.StructType) -> None:
     """A catalog table over existing Parquet files with an explicit schema."""
     spark.catalog.createTable(name, path=location, source="parquet", schema=schema)

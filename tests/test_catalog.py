@@ -71,6 +71,9 @@ def test_namespace_table_and_three_part_names(spark, tmp_root):
     assert spark.sql(f"SELECT COUNT(*) AS n FROM {name}").first().n == 200
     parts = spark.sql(f"SHOW PARTITIONS {name}").count()
     assert parts > 14
+    catalog.add_columns(spark, name, "coupon string")  # T4: old files read as null
+    spark.catalog.refreshTable(name)
+    assert spark.sql(f"SELECT COUNT(*) AS n FROM {name} WHERE coupon IS NULL").first().n == 200
     spark.sql(f"DROP TABLE {name}")
 
 
