@@ -56,3 +56,28 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location below the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def scale_conf(input_bytes: int, total_cores: int, max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+    """Settings for a job reading ``input_bytes`` on ``total_cores`` cores.
+
+    - Scan splits of 256 MB: 100 TB become ~400K scan tasks.
+    - AQE starts every shuffle with enough partitions for ~256 MB each
+      (at least two per core, at most ``max_shuffle_partitions`` so the
+      driver's map-status tracking stays small) and coalesces small ones
+      at run time; skewed partitions of joins and rebalances are split.
+    - Broadcast only below Spark's size check of 64 MB.
+    """
+    mb256 = 256 * 1024 * 1024
+    initial = min(max_shuffle_partitions, max(2 * total_cores, -(-input_bytes // mb256)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(mb256),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(mb256),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
