@@ -122,16 +122,19 @@ def backfill(spark: SparkSession, root: str, df: DataFrame, snapshot_col: str, c
     ids = {b: first + i for i, b in enumerate(order)}
     mapping = F.create_map(*[x for b in order for x in (F.lit(b), F.lit(ids[b]))])
     data = df.withColumn("snapshot_id", mapping[F.col(snapshot_col)]).drop(snapshot_col)
-    counts = {}
     from pyspark.sql import Observation
 
     obs = Observation("backfill")
     data = data.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (data.hint("rebalance", "snapshot_id").write.mode("append").option("compression", "snappy")
-     .partitionBy("snapshot_id").parquet(root))
+    # Dynamic overwrite replaces only the new snapshot ids: leftovers of an
+    # earlier attempt that died before its log rows are removed, committed
+    # snapshots (lower ids) are untouched.  A retried backfill is therefore
+    # idempotent.
+    (data.hint("rebalance", "snapshot_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "snappy").partitionBy("snapshot_id").parquet(root))
     total = obs.get["rows"]
     # Per-batch row counts come from the data just written (partition-pruned scans of root).
-    written = (spark.read.parquet(root).filter(F.col("snapshot_id") >= first)
+    written = (spark.read.parquet(root).filter(F.col("snapshot_id").isin(list(ids.values())))
                .groupBy("snapshot_id").count().collect())
     counts = {r.snapshot_id: r["count"] for r in written}
     if sum(counts.values()) != total:

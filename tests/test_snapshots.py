@@ -84,3 +84,16 @@ def test_backfill_one_job_many_commits(spark, tmp_root):
     assert [h.rows for h in snapshots.history(spark, root).collect()] == [34, 33, 33]
     plan = snapshots.read_as_of(spark, root, "2021-06-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "snapshot_id" in plan
+
+
+def test_backfill_retry_after_a_lost_run(spark, tmp_root):
+    root = os.path.join(tmp_root, "t")
+    snapshots.append(spark, root, _batch(spark, [1]), "2020-06-01 00:00:00")
+    # A previous backfill died after writing data for snapshot 2, before its log row.
+    _batch(spark, [100, 101, 102]).write.parquet(os.path.join(root, "snapshot_id=2"))
+    _batch(spark, [200]).write.parquet(os.path.join(root, "snapshot_id=9"))
+    df = spark.range(0, 10).withColumn("year", (F.col("id") % 2 + 2021).cast("int"))
+    ids = snapshots.backfill(spark, root, df, "year", {2021: "2022-01-01 00:00:00", 2022: "2023-01-01 00:00:00"})
+    assert ids == [2, 3]
+    assert snapshots.read_as_of(spark, root).count() == 11  # 1 + 10, no leftovers
+    assert snapshots.read_as_of(spark, root, "2020-12-31 00:00:00").count() == 1
