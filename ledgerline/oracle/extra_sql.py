@@ -162,3 +162,50 @@ EXTRA_SQL: dict[str, str] = {
     "sessions": SESSIONS_SQL,
     "funnel": FUNNEL_SQL,
 }
+
+
+def _lake_ctes(*tables: str) -> str:
+    return "WITH " + ",\n".join(f"g_{t} AS ({generator_sql(t, 'lake')})" for t in tables) + "\n"
+
+
+def _wide(table: str, statuses: list[str]) -> str:
+    cols = ",\n       ".join(
+        f"COUNT(*) FILTER (WHERE order_status = '{s}') AS {s}_orders, "
+        f"CAST(SUM(total_amount) FILTER (WHERE order_status = '{s}') AS DECIMAL(18,2)) AS {s}_amount"
+        for s in statuses)
+    return (f"SELECT CAST(year(order_date) * 100 + month(order_date) AS BIGINT) AS month_key,\n       {cols}\n"
+            f"FROM {table} GROUP BY 1")
+
+
+LAKE_SQL = {
+    "lake_ltv_by_country_region": _lake_ctes("customers") + """
+SELECT country, region,
+       CAST(SUM(CAST(lifetime_value AS DECIMAL(14,2))) AS DOUBLE) / COUNT(lifetime_value) AS avg_ltv,
+       COUNT(*) AS customer_count
+FROM g_customers GROUP BY country, region""",
+    "lake_top_products": _lake_ctes("products", "lineitem", "orders") + """
+SELECT p.product_name, p.category, CAST(SUM(l.quantity) AS BIGINT) AS total_sold,
+       CAST(SUM(l.net_amount) AS DECIMAL(18,2)) AS total_revenue, COUNT(DISTINCT o.customer_id) AS unique_customers
+FROM g_products p JOIN g_lineitem l ON p.product_id = l.product_id JOIN g_orders o ON l.order_id = o.order_id
+GROUP BY p.product_name, p.category
+ORDER BY total_revenue DESC, p.product_name, p.category LIMIT 20""",
+    "lake_sales_by_country": _lake_ctes("orders", "customers") + """
+SELECT c.country, CAST(SUM(o.total_amount) AS DECIMAL(18,2)) AS total_sales, COUNT(o.order_id) AS order_count
+FROM g_orders o JOIN g_customers c ON o.customer_id = c.customer_id
+WHERE o.order_date >= DATE '2023-01-01' GROUP BY c.country""",
+    "lake_revenue_by_category": _lake_ctes("lineitem", "products") + """
+SELECT p.category, CAST(SUM(l.net_amount) AS DECIMAL(18,2)) AS revenue, COUNT(l.lineitem_id) AS line_count
+FROM g_lineitem l JOIN g_products p ON l.product_id = p.product_id
+WHERE l.ship_date >= '2023-06-01' GROUP BY p.category""",
+    "lake_orders_without_customer": _lake_ctes("orders", "customers") + """
+SELECT COUNT(*) AS orphan_count FROM g_orders o LEFT JOIN g_customers c ON o.customer_id = c.customer_id
+WHERE c.customer_id IS NULL""",
+    "lake_recent_orders": _lake_ctes("orders", "customers") + """
+SELECT o.order_id, o.total_amount, c.customer_name
+FROM g_orders o JOIN g_customers c ON o.customer_id = c.customer_id
+WHERE o.order_date >= DATE '2023-12-01' ORDER BY o.order_id, c.customer_name LIMIT 10""",
+    "lake_sales_by_month_status_wide": _lake_ctes("orders") + _wide("g_orders", specs.ORDER_STATUSES),
+}
+
+EXTRA_SQL.update(LAKE_SQL)
+EXTRA_SQL["sales_by_month_status_wide"] = MODEL_CTES + _wide("m_orders", ["F", "O", "P"])

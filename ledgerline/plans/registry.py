@@ -216,6 +216,7 @@ USECASE_QUERIES: dict[str, Query] = {
     "category_stats": _use(usecases.category_stats),
     "supplier_scorecard": _use(usecases.supplier_scorecard),
     "sales_by_month_status": _use(usecases.sales_by_month_status),
+    "sales_by_month_status_wide": _use(usecases.sales_by_month_status_wide, statuses=["F", "O", "P"]),
     "top3_per_category": _use(usecases.top3_per_category),
     "reorder_alerts": reorder_alerts,
     "sessions": _use(usecases.sessions),
@@ -223,6 +224,27 @@ USECASE_QUERIES: dict[str, Query] = {
 }
 
 
+# -- the published corpus over generated lake tables ------------------------------------
+
+def lake_tables(spark: SparkSession, sf_dir: str) -> corpus.Tables:
+    return lambda name: generated(spark, sf_dir, name, "lake")
+
+
+def _lake(fn, **kw) -> Query:
+    return lambda spark, sf_dir: fn(lake_tables(spark, sf_dir), **kw)
+
+
+LAKE_QUERIES: dict[str, Query] = {
+    "lake_ltv_by_country_region": _lake(corpus.ltv_by_country_region),
+    "lake_top_products": _lake(corpus.top_products),
+    "lake_sales_by_country": _lake(corpus.sales_by_country, since="2023-01-01"),
+    "lake_revenue_by_category": _lake(corpus.revenue_by_category, since="2023-06-01"),
+    "lake_orders_without_customer": _lake(corpus.orders_without_customer),
+    "lake_recent_orders": _lake(corpus.recent_orders, since="2023-12-01"),
+    "lake_sales_by_month_status_wide": _lake(usecases.sales_by_month_status_wide, statuses=specs.ORDER_STATUSES),
+}
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(CORPUS_QUERIES)
@@ -230,6 +252,7 @@ def all_queries() -> dict[str, Query]:
     out.update(INSPECTION_QUERIES)
     out.update(QUALITY_QUERIES)
     out.update(USECASE_QUERIES)
+    out.update(LAKE_QUERIES)
     return out
 
 
