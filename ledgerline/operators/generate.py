@@ -92,6 +92,12 @@ class _Ctx:
 
 
 # -- shared column recipes ------------------------------------------------------
+# Survey primitives: P1 row id (spark.range), P2 choice, P3 bernoulli, P4 normal,
+# P5 exponential, P6 uniform, P7/P8 half-open/closed ints, P9 step series, P10
+# evenly spaced dates, P11 timestamp->date, P12 year, P13 date + days, P14/P15
+# (nullable) foreign keys, P16 sparse text, P17-P19 templated strings, P20
+# session ids, P21 derived money, P22 audit time (a parameter, not "now"); an
+# unknown table or profile raises.
 
 def _person_name(c: _Ctx, name: str) -> Column:
     if c.lake:
