@@ -78,3 +78,17 @@ def test_every_plan_runs_on_a_landed_lake(spark, tmp_root):
     assert all(c > 0 for c in counts), counts
     assert corpus.orders_without_customer(tables).first().orphan_count == 0
     assert usecases.supplier_scorecard(tables).agg(F.sum("lines")).first()[0] == SIZES["lineitem"]
+
+
+def test_top_products_approximate_buyers(spark):
+    from ledgerline.operators.generate import generate
+
+    sizes = {"customers": 20000, "products": 50, "suppliers": 10, "orders": 60000, "lineitem": 120000}
+    tables = lambda t: generate(spark, t, sizes[t], sizes)
+    exact = {(r.product_name, r.category): r for r in corpus.top_products(tables).collect()}
+    approx = {(r.product_name, r.category): r for r in corpus.top_products(tables, approx_rsd=0.02).collect()}
+    assert exact.keys() == approx.keys()
+    for key, e in exact.items():
+        a = approx[key]
+        assert (a.total_sold, a.total_revenue) == (e.total_sold, e.total_revenue)
+        assert abs(a.unique_customers - e.unique_customers) <= 0.08 * e.unique_customers
