@@ -156,3 +156,11 @@ def test_unknown_inputs_raise(spark):
         generate(spark, "orders", 10, SIZES, profile="other")
     with pytest.raises(ValueError):
         generate(spark, "orders", 10, {"products": 5})  # parent size missing
+
+
+def test_base_supplier_dates_stay_in_window(spark):
+    """D3: 100,000 daily steps from 2000-01-01 wrap inside 2000..2020 instead of overflowing."""
+    s = generate(spark, "suppliers", 100_000, SIZES, profile="base")
+    lo, hi, n = s.agg(F.min("established_date"), F.max("established_date"), F.count(F.lit(1))).first()
+    assert n == 100_000
+    assert lo == dt.datetime(2000, 1, 1) and hi < dt.datetime(2020, 1, 1)
