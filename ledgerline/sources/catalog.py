@@ -138,6 +138,32 @@ def add_columns(spark: SparkSession, name: str, columns_ddl: str) -> None:
     spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns_ddl})")
 
 
+def register_lake(spark: SparkSession, root: str, namespace: str, tables: list[str] | None = None,
+                  catalog: str = "spark_catalog") -> list[str]:
+    """Register landed tables (``root/<table>``) as catalog tables ``catalog.namespace.table``.
+
+    Schema and partition columns are read from the files; partition folders
+    are recovered, so partition pruning works through SQL as well.  Returns
+    the three-part names.  Re-registering replaces the table entries, never
+    the data (the tables are external).
+    """
+    import os
+
+    create_namespace(spark, namespace, catalog)
+    names = []
+    for t in tables or specs.TABLE_ORDER:
+        path = os.path.join(root, t)
+        if not os.path.isdir(path) and not path.startswith(("s3a:", "gs:", "abfs:", "hdfs:")):
+            continue
+        name = f"{catalog}.{namespace}.{t}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(f"{namespace}.{t}", path=path, source="parquet")
+        if any(c.isPartition for c in spark.catalog.listColumns(f"{namespace}.{t}")):
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        names.append(name)
+    return names
+
+
 def create_external_table(spark: SparkSession, name: str, location: str, schema: T.StructType) -> None:
     """A catalog table over existing Parquet files with an explicit schema."""
     spark.catalog.createTable(name, path=location, source="parquet", schema=schema)
