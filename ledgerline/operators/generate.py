@@ -401,21 +401,32 @@ def generate(spark: SparkSession, table: str, rows: int, parents: dict[str, int]
 
 # -- row planning (R1-R5) ---------------------------------------------------------
 
-def plan_rows(size_gb: float, tables: list[str] | None = None) -> list[dict]:
-    """Rows per table for a target volume: ratio * GB * rows-per-GB, capped.
+def plan_rows(size_gb: float, tables: list[str] | None = None, profile: str = "lake") -> list[dict]:
+    """Rows per table for a target volume: ratio * GB * rows-per-GB, capped,
+    and the number of generator partitions (chunks) at the profile's chunk size.
 
     Unknown table names raise before any work starts.
     """
+    specs.check_profile(profile)
     names = list(tables) if tables else list(specs.TABLE_ORDER)
     for t in names:
         specs.spec(t)
     out = []
     for t in names:
         target = int(size_gb * specs.SIZE_RATIOS[t] * specs.ROWS_PER_GB)
-        out.append({"table": t, "target_rows": target, "rows": capped_rows(t, target)})
+        rows = capped_rows(t, target)
+        out.append({"table": t, "target_rows": target, "rows": rows,
+                    "partitions": max(1, math.ceil(rows / specs.CHUNK_ROWS[profile]))})
     return out
 
 
+def plan_rows_df(spark: SparkSession, size_gb: float, tables: list[str] | None = None,
+                 profile: str = "lake") -> DataFrame:
+    """R2/R3 as a DataFrame: ``(table, target_rows, rows, partitions)``."""
+    rows = [(p["table"], p["target_rows"], p["rows"], p["partitions"]) for p in plan_rows(size_gb, tables, profile)]
+    return spark.createDataFrame(rows, "table string, target_rows bigint, rows bigint, partitions bigint")
+
+
 def plan_sizes(size_gb: float) -> dict[str, int]:
     return {p["table"]: p["rows"] for p in plan_rows(size_gb)}
 

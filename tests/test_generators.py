@@ -164,3 +164,12 @@ def test_base_supplier_dates_stay_in_window(spark):
     lo, hi, n = s.agg(F.min("established_date"), F.max("established_date"), F.count(F.lit(1))).first()
     assert n == 100_000
     assert lo == dt.datetime(2000, 1, 1) and hi < dt.datetime(2020, 1, 1)
+
+
+def test_plan_rows_partitions(spark):
+    from ledgerline.operators.generate import plan_rows_df
+
+    plan = {r.table: r for r in plan_rows_df(spark, 1000, profile="base").collect()}
+    assert plan["lineitem"].partitions == 600 and plan["suppliers"].partitions == 1
+    lake = {p["table"]: p for p in plan_rows(100)}
+    assert lake["lineitem"]["partitions"] == 120  # 60M rows in 500K-row chunks
