@@ -32,7 +32,8 @@ def _files(spark: SparkSession, path: str) -> int:
 def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: dict[str, int] | None = None,
          tables: list[str] | None = None, profile: str = "lake", layout_kind: str | None = None,
          granularity: str = "auto", on_error: str = "stop", seed: int = DEFAULT_SEED, hash: str = "md5",
-         manifest: bool = True) -> DataFrame:
+         manifest: bool = True, buckets: dict[str, tuple[str, int]] | None = None,
+         namespace: str | None = None) -> DataFrame:
     """Generate the chosen tables and write them under ``root/<table>``.
 
     Sizes come from ``size_gb`` (ratios, rows per GB and caps) or directly
@@ -40,8 +41,14 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
     ``on_error="stop"`` the first failing table ends the run; with
     ``"continue"`` the others are still written.  The base profile lands
     flat folders, the lake profile partitioned ones (override with
-    ``layout_kind``).  Returns the run report as a DataFrame.
+    ``layout_kind``).  ``buckets`` (``{"lineitem": ("order_id", 512),
+    "orders": ("order_id", 512)}``) writes those tables as bucketed catalog
+    tables ``namespace.<table>`` (W6), so joins on the bucket key need no
+    shuffle.  Returns the run report as a DataFrame.
     """
+    buckets = dict(buckets or {})
+    if buckets and not namespace:
+        raise ValueError("bucketed tables are catalog tables: give a namespace")
     specs.check_profile(profile)
     if on_error not in ("stop", "continue"):
         raise ValueError("on_error must be 'stop' or 'continue'")
@@ -61,7 +68,11 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
         path = os.path.join(root, t)
         try:
             df = generate(spark, t, planned[t], planned, profile=profile, seed=seed, hash=hash)
-            rep = layout.write_table(df, path, t, profile, layout=kind, granularity=granularity, rows=planned[t])
+            if t in buckets:
+                rep = _write_bucketed(spark, df, path, t, profile, namespace, *buckets[t])
+            else:
+                rep = layout.write_table(df, path, t, profile, layout=kind, granularity=granularity,
+                                         rows=planned[t])
             written.append(rep)
             report.append((t, planned[t], rep["rows"], _files(spark, path), rep["granularity"],
                            round(time.perf_counter() - t0, 3), rep["rows"] == planned[t], None))
@@ -74,3 +85,18 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
         m = layout.manifest_row(root, size_gb if size_gb is not None else 0.0, profile, written)
         layout.write_manifest(spark, root, m)
     return spark.createDataFrame(report, REPORT_SCHEMA)
+
+
+def _write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, profile: str, namespace: str,
+                    key: str, n: int) -> dict:
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from ledgerline.sources.catalog import create_namespace
+
+    create_namespace(spark, namespace)
+    obs = Observation(f"bucketed_{table}")
+    data = layout.conform(df, specs.spec(table).schema(profile)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    layout.write_bucketed(data, f"{namespace}.{table}", key, n, path)
+    return {"table": table, "path": path, "rows": obs.get["rows"], "partition_cols": [],
+            "granularity": f"bucket({n}, {key})"}

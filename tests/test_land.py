@@ -92,3 +92,18 @@ def test_top_products_approximate_buyers(spark):
         a = approx[key]
         assert (a.total_sold, a.total_revenue) == (e.total_sold, e.total_revenue)
         assert abs(a.unique_customers - e.unique_customers) <= 0.08 * e.unique_customers
+
+
+def test_land_bucketed_join_tables(spark, tmp_root):
+    rep = {r.table: r for r in land(spark, tmp_root, sizes=SIZES, tables=["customers", "orders", "lineitem"],
+                                    buckets={"orders": ("order_id", 4), "lineitem": ("order_id", 4)},
+                                    namespace="bk", manifest=False).collect()}
+    assert rep["lineitem"].ok and rep["lineitem"].granularity == "bucket(4, order_id)"
+    try:
+        joined = spark.table("bk.lineitem").join(spark.table("bk.orders"), "order_id")
+        assert joined.count() == SIZES["lineitem"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS bk.lineitem")
+        spark.sql("DROP TABLE IF EXISTS bk.orders")
+    with pytest.raises(ValueError):
+        land(spark, tmp_root, sizes=SIZES, buckets={"orders": ("order_id", 4)})

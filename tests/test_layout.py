@@ -162,3 +162,32 @@ def test_auto_layout_follows_volume(spark, tmp_root):
     assert rep["partition_cols"] == [] and rep["rows"] == 500
     assert not [d for d in _dirs(path) if "=" in d]
     assert layout.read_table(spark, path, "suppliers").count() == 500
+
+
+def test_top_products_on_bucketed_tables_skips_the_big_shuffle(spark, tmp_root):
+    """lineitem and orders bucketed on order_id: the big join reads both sides in place."""
+    from ledgerline.plans import corpus
+
+    sizes = {"customers": 300, "products": 100, "suppliers": 20, "orders": 2000, "lineitem": 6000}
+    for t in ("orders", "lineitem"):
+        spark.sql(f"DROP TABLE IF EXISTS bk_{t}")
+        layout.write_bucketed(generate(spark, t, sizes[t], sizes), f"bk_{t}", "order_id", 8,
+                              os.path.join(tmp_root, f"bk_{t}"))
+    # At 100 TB orders are far above any broadcast size; capped products (1M rows) are not.
+    products = F.broadcast(generate(spark, "products", sizes["products"], sizes))
+    tables = {"orders": spark.table("bk_orders"), "lineitem": spark.table("bk_lineitem"), "products": products}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = corpus.top_products(lambda t: tables[t])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert len(df.collect()) == 20
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for t in ("orders", "lineitem"):
+            spark.sql(f"DROP TABLE IF EXISTS bk_{t}")
+    join_part = plan[plan.index("SortMergeJoin"):] if "SortMergeJoin" in plan else ""
+    assert join_part, plan
+    # No hash exchange on order_id feeds the join: both sides keep their buckets.
+    assert "hashpartitioning(order_id" not in plan
