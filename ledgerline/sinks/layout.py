@@ -189,9 +189,15 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int = 100, path:
     """Hash-bucket a table on a high-cardinality key, sorted by it.
 
     Two tables bucketed the same way on the join key join without a
-    shuffle.  Needs a catalog table (``saveAsTable``).
+    shuffle.  Needs a catalog table (``saveAsTable``).  Rows are first
+    hash-partitioned on the key into exactly ``buckets`` partitions (the
+    same hash Spark uses for bucket ids), so each task writes one bucket:
+    without it every task writes a file per bucket (120K tasks x 512
+    buckets = 61M files at 100 TB).  ``maxRecordsPerFile`` splits big
+    buckets into several files.
     """
-    w = df.write.mode(mode).bucketBy(buckets, key).sortBy(key).format("parquet")
+    w = (df.repartition(buckets, key).write.mode(mode).option("maxRecordsPerFile", 5_000_000)
+         .bucketBy(buckets, key).sortBy(key).format("parquet"))
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)

@@ -191,3 +191,16 @@ def test_top_products_on_bucketed_tables_skips_the_big_shuffle(spark, tmp_root):
     assert join_part, plan
     # No hash exchange on order_id feeds the join: both sides keep their buckets.
     assert "hashpartitioning(order_id" not in plan
+
+
+def test_bucketed_write_one_file_per_bucket(spark, tmp_root):
+    df = generate(spark, "orders", 5000, SIZES, rows_per_partition=500)  # 10 input partitions
+    spark.sql("DROP TABLE IF EXISTS b_files")
+    path = os.path.join(tmp_root, "b_files")
+    layout.write_bucketed(df, "b_files", "order_id", 4, path)
+    try:
+        files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+        assert len(files) == 4
+        assert spark.table("b_files").count() == 5000
+    finally:
+        spark.sql("DROP TABLE IF EXISTS b_files")
