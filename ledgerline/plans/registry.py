@@ -98,7 +98,7 @@ def _schema_of(name: str) -> Query:
 
 
 def _sample_of(name: str) -> Query:
-    return lambda spark, sf_dir: catalog.sample(read_raw(spark, sf_dir, name), 5)
+    return lambda spark, sf_dir: catalog.peek(spark, os.path.join(sf_dir, f"{name}.parquet"), 5)
 
 
 INSPECTION_QUERIES: dict[str, Query] = {

@@ -35,6 +35,19 @@ def sample(df: DataFrame, n: int = 5, order_cols: list[str] | None = None) -> Da
     return df.orderBy(*(order_cols or df.columns)).limit(n)
 
 
+def peek(spark: SparkSession, path: str, n: int = 5, suffix: str = ".parquet") -> DataFrame:
+    """The first ``n`` rows (by all columns) of the first data file.
+
+    Like the published inspector, only one file is read (the first by path
+    name), so a peek at a 100 TB table costs one file, not a full scan.
+    Partition columns of a partitioned table are not in the files and are
+    not shown.
+    """
+    first_path = list_files(spark, path, suffix).agg(F.min("path")).first()[0]
+    first = spark.read.parquet(first_path)
+    return first.orderBy(*first.columns).limit(n)
+
+
 def column_names(df: DataFrame) -> list[str]:
     """Column names, for writing DDL by hand."""
     return list(df.columns)

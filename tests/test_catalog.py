@@ -94,3 +94,14 @@ def test_arrow_type_mapping():
     assert catalog.spark_type(pa.date32()) == T.DateType()
     with pytest.raises(TypeError):
         catalog.spark_type(pa.list_(pa.int32()))
+
+
+def test_peek_reads_one_file(spark, tmp_root):
+    path = os.path.join(tmp_root, "many")
+    spark.range(1000).selectExpr("id", "id % 7 AS g").repartition(5).write.parquet(path)
+    got = catalog.peek(spark, path, 3)
+    assert len(got.inputFiles()) == 1 and got.count() == 3
+    rows = got.collect()
+    assert rows == sorted(rows, key=lambda r: (r.id, r.g))
+    with pytest.raises(FileNotFoundError):
+        catalog.peek(spark, path, 3, suffix=".csv")
