@@ -209,3 +209,16 @@ WHERE o.order_date >= DATE '2023-12-01' ORDER BY o.order_id, c.customer_name LIM
 
 EXTRA_SQL.update(LAKE_SQL)
 EXTRA_SQL["sales_by_month_status_wide"] = MODEL_CTES + _wide("m_orders", ["F", "O", "P"])
+
+
+EXTRA_SQL["orders_history"] = """
+SELECT CAST(row_number() OVER (ORDER BY y) AS BIGINT) AS snapshot_id,
+       CAST(make_date(CAST(y + 1 AS BIGINT), 1, 1) AS TIMESTAMP) AS committed_at,
+       'append' AS operation, CAST(1 AS BIGINT) AS base_snapshot, CAST(n AS BIGINT) AS rows
+FROM (SELECT year(o_orderdate) AS y, COUNT(*) AS n FROM orders GROUP BY 1)
+"""
+
+EXTRA_SQL["orders_evolved"] = MODEL_CTES + """
+SELECT o.*, CASE WHEN o.order_date >= DATE '2000-01-01' THEN r.o_orderpriority END AS order_priority
+FROM m_orders o JOIN orders r ON o.order_id = r.o_orderkey
+"""

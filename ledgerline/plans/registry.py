@@ -112,16 +112,42 @@ INSPECTION_QUERIES: dict[str, Query] = {
 AS_OF = "2000-01-01 00:00:00"
 
 
-def orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6: orders loaded as one commit per order year (committed on 1 January
-    of the next year), then counted as of ``AS_OF``."""
+def _orders_by_year(spark: SparkSession, sf_dir: str) -> str:
+    """Load the orders as one commit per order year (committed on 1 January
+    of the next year) into a new snapshot table; returns its root."""
     root = scratch_path(spark, "orders_snapshots")
     o = model(spark, sf_dir, "orders").withColumn("_year", F.year("order_date"))
     years = [r._year for r in o.select("_year").distinct().collect()]
     snapshots.backfill(spark, root, o, "_year", {y: f"{y + 1}-01-01 00:00:00" for y in years})
+    return root
+
+
+def orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yearly-loaded orders counted as of ``AS_OF``."""
+    root = _orders_by_year(spark, sf_dir)
     return snapshots.read_as_of(spark, root, AS_OF).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def orders_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commit log of the yearly loads."""
+    root = _orders_by_year(spark, sf_dir)
+    return snapshots.history(spark, root).select("snapshot_id", "committed_at", "operation", "base_snapshot", "rows")
+
+
+def orders_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: orders before 2000 committed first; later orders arrive with one
+    more column (the order priority).  The latest read has every order, with
+    null priority for the rows of the first commit."""
+    root = scratch_path(spark, "orders_evolved")
+    raw = read_raw(spark, sf_dir, "orders")
+    o = model(spark, sf_dir, "orders").join(raw.select(F.col("o_orderkey").alias("order_id"),
+                                                      F.col("o_orderpriority").alias("order_priority")), "order_id")
+    cut = F.col("order_date") < F.lit(__import__("datetime").date(2000, 1, 1))
+    snapshots.append(spark, root, o.filter(cut).drop("order_priority"), "2000-01-01 00:00:00")
+    snapshots.append(spark, root, o.filter(~cut), "2002-01-01 00:00:00")
+    return snapshots.read_as_of(spark, root)
+
+
 # -- quality (Q3, Q4, Q5) -------------------------------------------------------------------
 
 DRIVER_RELATIONS = [
@@ -189,6 +215,8 @@ def written_then_read_lineitem_base(spark: SparkSession, sf_dir: str) -> DataFra
 
 QUALITY_QUERIES: dict[str, Query] = {
     "orders_as_of": orders_as_of,
+    "orders_history": orders_history,
+    "orders_evolved": orders_evolved,
     "orphans_all": orphans_all,
     "schema_check_lineitem": schema_check_lineitem,
     "completeness": completeness,

@@ -33,16 +33,20 @@ def _log_path(root: str) -> str:
     return os.path.join(root, "_commits")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever file system the cluster uses."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def history(spark: SparkSession, root: str) -> DataFrame:
-    """The commit log as a DataFrame, ordered by snapshot id."""
+    """The commit log as a DataFrame, ordered by snapshot id (empty
+    before the first commit)."""
     path = _log_path(root)
-    try:
-        log = spark.read.schema(COMMIT_SCHEMA).json(path)
-    except Exception as e:  # noqa: BLE001 - no log yet means no commits
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], COMMIT_SCHEMA)
-        raise
-    return log.orderBy("snapshot_id")
+    if not _exists(spark, path):
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+    return spark.read.schema(COMMIT_SCHEMA).json(path).orderBy("snapshot_id")
 
 
 def _commits(spark: SparkSession, root: str) -> list:
