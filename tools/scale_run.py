@@ -12,7 +12,6 @@ from ledgerline.session import build_session
 from ledgerline.operators.generate import generate, plan_sizes
 from ledgerline.plans import corpus, usecases
 from ledgerline.operators import quality
-from ledgerline import specs
 spark = build_session("local[8]", shuffle_partitions=16, extra={"spark.driver.memory": "16g"})
 gb = float(sys.argv[1]) if len(sys.argv) > 1 else 10
 sizes = plan_sizes(gb)
