@@ -61,13 +61,16 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_retailprice").cast("decimal(10,2)").alias("price"))
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, with_priority: bool = False) -> DataFrame:
     o = read_raw(spark, sf_dir, "orders")
-    return o.select(F.col("o_orderkey").alias("order_id"),
-                    F.col("o_custkey").alias("customer_id"),
-                    F.col("o_orderdate").cast("date").alias("order_date"),
-                    F.col("o_orderstatus").alias("order_status"),
-                    F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"))
+    cols = [F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").cast("date").alias("order_date"),
+            F.col("o_orderstatus").alias("order_status"),
+            F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount")]
+    if with_priority:  # a column the model does not have, used to show schema evolution
+        cols.append(F.col("o_orderpriority").alias("order_priority"))
+    return o.select(*cols)
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
