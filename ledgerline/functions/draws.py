@@ -6,7 +6,7 @@ number of partitions, on task retries or on which executor runs a task,
 and every draw runs inside whole-stage codegen (no Python worker).
 
 ``hash="md5"`` (default) can be reproduced in any SQL engine that has
-``md5``; ``hash="xxhash64"`` is about ten times cheaper for bulk runs but
+``md5``; ``hash="xxhash64"`` is 12x cheaper per draw (3-5x per table) but
 gives different values.
 """
 
