@@ -8,7 +8,9 @@ planned rows with the rows counted while writing (no second scan).
 from __future__ import annotations
 
 import os
+import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +35,7 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
          tables: list[str] | None = None, profile: str = "lake", layout_kind: str | None = None,
          granularity: str = "auto", on_error: str = "stop", seed: int = DEFAULT_SEED, hash: str = "md5",
          manifest: bool = True, buckets: dict[str, tuple[str, int]] | None = None,
-         namespace: str | None = None) -> DataFrame:
+         namespace: str | None = None, parallel: int = 1) -> DataFrame:
     """Generate the chosen tables and write them under ``root/<table>``.
 
     Sizes come from ``size_gb`` (ratios, rows per GB and caps) or directly
@@ -44,7 +46,10 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
     ``layout_kind``).  ``buckets`` (``{"lineitem": ("order_id", 512),
     "orders": ("order_id", 512)}``) writes those tables as bucketed catalog
     tables ``namespace.<table>`` (W6), so joins on the bucket key need no
-    shuffle.  Returns the run report as a DataFrame.
+    shuffle.  ``parallel`` > 1 runs that many table jobs at once (Spark
+    schedules their tasks side by side), so small tables do not leave the
+    cluster idle; with ``on_error="stop"`` tables not yet started when a
+    job fails are skipped.  Returns the run report (generation order).
     """
     buckets = dict(buckets or {})
     if buckets and not namespace:
@@ -60,10 +65,12 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
     planned = ({p["table"]: p["rows"] for p in plan_rows(size_gb)} if size_gb is not None
                else {t: min(n, specs.ROW_CAPS.get(t, n)) for t, n in sizes.items()})
     kind = layout_kind or ("partitioned" if profile == "lake" else "flat")
-    report, written = [], []
-    for t in specs.TABLE_ORDER:
-        if t not in names:
-            continue
+    todo = [t for t in specs.TABLE_ORDER if t in names]
+    stop = threading.Event()
+
+    def one(t: str):
+        if stop.is_set():
+            return None
         t0 = time.perf_counter()
         path = os.path.join(root, t)
         try:
@@ -73,14 +80,26 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
             else:
                 rep = layout.write_table(df, path, t, profile, layout=kind, granularity=granularity,
                                          rows=planned[t])
-            written.append(rep)
-            report.append((t, planned[t], rep["rows"], _files(spark, path), rep["granularity"],
-                           round(time.perf_counter() - t0, 3), rep["rows"] == planned[t], None))
+            row = (t, planned[t], rep["rows"], _files(spark, path), rep["granularity"],
+                   round(time.perf_counter() - t0, 3), rep["rows"] == planned[t], None)
+            return rep, row
         except Exception as e:  # noqa: BLE001 - recorded in the report
-            report.append((t, planned[t], 0, 0, None, round(time.perf_counter() - t0, 3), False,
-                           f"{type(e).__name__}: {str(e)[:500]}"))
             if on_error == "stop":
+                stop.set()
+            return None, (t, planned[t], 0, 0, None, round(time.perf_counter() - t0, 3), False,
+                          f"{type(e).__name__}: {str(e)[:500]}")
+
+    if parallel > 1:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            results = list(pool.map(one, todo))
+    else:
+        results = []
+        for t in todo:
+            results.append(one(t))
+            if stop.is_set():
                 break
+    report = [r[1] for r in results if r is not None]
+    written = [r[0] for r in results if r is not None and r[0] is not None]
     if manifest:
         m = layout.manifest_row(root, size_gb if size_gb is not None else 0.0, profile, written)
         layout.write_manifest(spark, root, m)

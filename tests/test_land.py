@@ -107,3 +107,19 @@ def test_land_bucketed_join_tables(spark, tmp_root):
         spark.sql("DROP TABLE IF EXISTS bk.orders")
     with pytest.raises(ValueError):
         land(spark, tmp_root, sizes=SIZES, buckets={"orders": ("order_id", 4)})
+
+
+def test_land_in_parallel_matches_sequential(spark, tmp_root):
+    rep = land(spark, tmp_root, sizes=SIZES, profile="lake", parallel=4, manifest=False).collect()
+    assert [r.table for r in rep] == list(specs_order())
+    assert all(r.ok for r in rep)
+    broken = {k: v for k, v in SIZES.items() if k != "suppliers"}
+    rep = land(spark, tmp_root, sizes=broken, tables=["customers", "products", "orders"], parallel=3,
+               on_error="continue", manifest=False).collect()
+    assert [(r.table, r.ok) for r in rep] == [("customers", True), ("products", False), ("orders", True)]
+
+
+def specs_order():
+    from ledgerline import specs
+
+    return specs.TABLE_ORDER
