@@ -33,3 +33,20 @@ def money_sum(col: str | Column) -> Column:
 def long_sum(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.sum(c).cast("bigint")
+
+
+def revenue_column(df) -> str:
+    """The line revenue column of a lineitem frame: exact integer
+    micro-units when present (mapped test tables), else ``net_amount``."""
+    return "net_micros" if "net_micros" in df.columns else "net_amount"
+
+
+def revenue_sum(col: str) -> Column:
+    """Sum of line revenue as ``decimal(18,2)``, rounded half-up once.
+
+    Micro-units are summed as ``decimal(38,0)`` (long additions while the
+    total fits, exact beyond) and divided by 10^6 once per group.
+    """
+    if col == "net_micros":
+        return (F.sum(F.col(col).cast("decimal(38,0)")) / F.lit(1_000_000)).cast("decimal(18,2)")
+    return money_sum(col)

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.aggregates import exact_avg, long_sum, money_sum
+from ledgerline.functions.aggregates import exact_avg, long_sum, money_sum, revenue_column, revenue_sum
 
 Tables = Callable[[str], DataFrame]
 
@@ -48,12 +48,14 @@ def top_products(tables: Tables, k: int = 20, approx_rsd: float | None = None) -
     deviation: one sketch per group, no (name, category, customer) shuffle.
     """
     p = tables("products").select("product_id", "product_name", "category")
-    li = tables("lineitem").select("product_id", "order_id", "quantity", "net_amount")
+    li = tables("lineitem")
+    rev = revenue_column(li)
+    li = li.select("product_id", "order_id", "quantity", rev)
     o = tables("orders").select("order_id", "customer_id")
     return (p.join(li, "product_id").join(o, "order_id")
             .groupBy("product_name", "category")
             .agg(long_sum("quantity").alias("total_sold"),
-                 money_sum("net_amount").alias("total_revenue"),
+                 revenue_sum(rev).alias("total_revenue"),
                  (F.countDistinct("customer_id") if approx_rsd is None
                   else F.approx_count_distinct("customer_id", approx_rsd)).alias("unique_customers"))
             .orderBy(F.desc("total_revenue"), "product_name", "category")
@@ -90,12 +92,13 @@ def sales_by_country(tables: Tables, since: str = PUBLISHED_CUTOFF) -> DataFrame
 
 def revenue_by_category(tables: Tables, since: str = PUBLISHED_CUTOFF) -> DataFrame:
     """K7: revenue and line count per product category since a ship date."""
-    li = (tables("lineitem").filter(F.col("ship_date") >= _date(since))
-          .select("lineitem_id", "product_id", "net_amount"))
+    li = tables("lineitem")
+    rev = revenue_column(li)
+    li = li.filter(F.col("ship_date") >= _date(since)).select("lineitem_id", "product_id", rev)
     p = tables("products").select("product_id", "category")
     return (li.join(p, "product_id")
             .groupBy("category")
-            .agg(money_sum("net_amount").alias("revenue"),
+            .agg(revenue_sum(rev).alias("revenue"),
                  F.count("lineitem_id").alias("line_count"))
             .orderBy(F.desc("revenue"), "category"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.aggregates import exact_avg, long_sum, money_sum
+from ledgerline.functions.aggregates import exact_avg, long_sum, money_sum, revenue_column, revenue_sum
 from ledgerline.operators.windows import global_ntile, ordered_funnel, sessionize, top_k_per_group
 
 Tables = Callable[[str], DataFrame]
@@ -46,7 +46,7 @@ def supplier_scorecard(tables: Tables) -> DataFrame:
     if "supplier_id" not in li.columns:  # generated lineitem: the supplier comes with the product
         li = li.join(tables("products").select("product_id", "supplier_id"), "product_id")
     per_supplier = (li.groupBy("supplier_id")
-                    .agg(money_sum("net_amount").alias("revenue"),
+                    .agg(revenue_sum(revenue_column(li)).alias("revenue"),
                          long_sum("quantity").alias("units"),
                          F.count(F.lit(1)).alias("lines"),
                          F.countDistinct("product_id").alias("products")))
@@ -79,7 +79,8 @@ def sales_by_month_status_wide(tables: Tables, statuses: list[str]) -> DataFrame
 
 def top3_per_category(tables: Tables, k: int = 3) -> DataFrame:
     """The k products with most revenue in each category (ties by id)."""
-    revenue = tables("lineitem").groupBy("product_id").agg(money_sum("net_amount").alias("revenue"))
+    li = tables("lineitem")
+    revenue = li.groupBy("product_id").agg(revenue_sum(revenue_column(li)).alias("revenue"))
     p = tables("products").select("product_id", "product_name", "category")
     ranked = top_k_per_group(revenue.join(p, "product_id"), ["category"],
                              [F.desc("revenue"), F.asc("product_id")], k, salt_col="product_id")
