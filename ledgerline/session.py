@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # splitting, UTC so date/timestamp casts are stable, no UI server.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
