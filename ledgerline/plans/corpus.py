@@ -11,7 +11,6 @@ projections reach the Parquet scans, joins are chosen from runtime sizes
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -24,8 +23,10 @@ Tables = Callable[[str], DataFrame]
 PUBLISHED_CUTOFF = "2024-01-01"
 
 
-def _date(value: str) -> F.Column:
-    return F.lit(_dt.date.fromisoformat(value))
+def _since(df: DataFrame, column: str, since: str) -> DataFrame:
+    from ledgerline.sinks.layout import date_at_least
+
+    return date_at_least(df, column, since)
 
 
 def ltv_by_country_region(tables: Tables) -> DataFrame:
@@ -80,8 +81,8 @@ def sales_by_country(tables: Tables, since: str = PUBLISHED_CUTOFF) -> DataFrame
     The date filter is typed, so it is pushed into the orders scan (and is a
     partition filter on a landed lake partitioned by order_date).
     """
-    o = (tables("orders").filter(F.col("order_date") >= _date(since))
-         .select("order_id", "customer_id", "total_amount"))  # orders have a country of their own
+    # orders have a country of their own: keep only what the join needs
+    o = _since(tables("orders"), "order_date", since).select("order_id", "customer_id", "total_amount")
     c = tables("customers").select("customer_id", "country")
     return (o.join(c, "customer_id")
             .groupBy("country")
@@ -94,7 +95,7 @@ def revenue_by_category(tables: Tables, since: str = PUBLISHED_CUTOFF) -> DataFr
     """K7: revenue and line count per product category since a ship date."""
     li = tables("lineitem")
     rev = revenue_column(li)
-    li = li.filter(F.col("ship_date") >= _date(since)).select("lineitem_id", "product_id", rev)
+    li = _since(li, "ship_date", since).select("lineitem_id", "product_id", rev)
     p = tables("products").select("product_id", "category")
     return (li.join(p, "product_id")
             .groupBy("category")
@@ -131,7 +132,7 @@ def orders_without_customer(tables: Tables) -> DataFrame:
 
 def recent_orders(tables: Tables, since: str = PUBLISHED_CUTOFF, k: int = 10) -> DataFrame:
     """Order id, amount and customer name of recent orders (first k by id)."""
-    o = tables("orders").filter(F.col("order_date") >= _date(since)).select("order_id", "customer_id", "total_amount")
+    o = _since(tables("orders"), "order_date", since).select("order_id", "customer_id", "total_amount")
     c = tables("customers").select("customer_id", "customer_name")
     return (o.join(c, "customer_id")
             .select("order_id", "total_amount", "customer_name")
@@ -142,4 +143,5 @@ def recent_orders(tables: Tables, since: str = PUBLISHED_CUTOFF, k: int = 10) ->
 def recent_orders_all_columns(tables: Tables, since: str = PUBLISHED_CUTOFF, k: int = 10) -> DataFrame:
     """``SELECT * FROM orders WHERE order_date >= ... LIMIT k`` (first k by id)."""
     o = tables("orders")
-    return o.filter(F.col("order_date") >= _date(since)).orderBy("order_id").limit(k)
+    return _since(o, "order_date", since).select(*[c for c in o.columns if not c.startswith("order_date_")]) \
+        .orderBy("order_id").limit(k)

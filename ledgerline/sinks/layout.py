@@ -140,8 +140,31 @@ def clustered(df: DataFrame, table: str, granularity: str = "day",
     missing = [c for c in pcols + list(ts.sort_cols) if c not in df.columns]
     if missing:
         raise ValueError(f"{table}: partition/sort columns missing from data: {missing}")
+    # A coarsened date folder (month/year) is sorted by the date itself next,
+    # so row-group min/max statistics still skip by date inside each file.
+    coarse_dates = [c for c in ts.partition_cols if c not in pcols and c.endswith("_date") and c in df.columns]
+    order = pcols + [c for c in coarse_dates if c not in ts.sort_cols] + list(ts.sort_cols)
     balanced = df.hint("rebalance", *pcols) if pcols else df.hint("rebalance")
-    return balanced.sortWithinPartitions(*pcols, *ts.sort_cols), pcols
+    return balanced.sortWithinPartitions(*order), pcols
+
+
+def date_at_least(df: DataFrame, column: str, since) -> DataFrame:
+    """``column >= since`` that also prunes coarsened date folders.
+
+    On a table landed with ``<column>_month`` or ``<column>_year`` folders
+    the same bound is applied to the folder column (truncated to the
+    period), so Spark prunes folders as it would for daily ones.
+    """
+    import datetime as dt
+
+    bound = dt.date.fromisoformat(since) if isinstance(since, str) else since
+    out = df.filter(F.col(column) >= F.lit(bound))
+    for g in ("month", "year"):
+        folder = f"{column}_{g}"
+        if folder in df.columns:
+            start = bound.replace(day=1) if g == "month" else bound.replace(month=1, day=1)
+            out = out.filter(F.col(folder) >= F.lit(start))
+    return out
 
 
 def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", layout: str = "partitioned",

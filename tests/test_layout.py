@@ -204,3 +204,24 @@ def test_bucketed_write_one_file_per_bucket(spark, tmp_root):
         assert spark.table("b_files").count() == 5000
     finally:
         spark.sql("DROP TABLE IF EXISTS b_files")
+
+
+def test_coarse_date_folders_are_pruned_and_sorted_by_date(spark, tmp_root):
+    from ledgerline.plans import corpus
+
+    sizes = {"customers": 300, "orders": 4000}
+    path = os.path.join(tmp_root, "orders_y")
+    layout.write_table(generate(spark, "orders", 4000, sizes), path, "orders", granularity="year")
+    cust = generate(spark, "customers", 300, sizes)
+    tables = {"orders": spark.read.parquet(path), "customers": cust}
+    q = corpus.sales_by_country(lambda t: tables[t], since="2023-03-15")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date_year" in plan and "2023-01-01" in plan
+    expected = tables["orders"].filter(F.col("order_date") >= F.lit(dt.date(2023, 3, 15))).count()
+    assert q.agg(F.sum("order_count")).first()[0] == expected
+    import pyarrow.parquet as pq
+
+    for root_dir, _, files in os.walk(path):
+        for f in [x for x in files if x.endswith(".parquet")]:
+            dates = pq.read_table(os.path.join(root_dir, f), columns=["order_date"]).column(0).to_pylist()
+            assert dates == sorted(dates)  # clustered by date inside each coarse folder
