@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-import os
-
 from pyspark.sql import functions as F
 
 from ledgerline import specs
@@ -142,7 +141,7 @@ def orders_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = scratch_path(spark, "orders_evolved")
     o = driver_orders(spark, sf_dir, with_priority=True)  # one scan, no self-join
-    cut = F.col("order_date") < F.lit(__import__("datetime").date(2000, 1, 1))
+    cut = F.col("order_date") < F.lit(datetime.date(2000, 1, 1))
     snapshots.append(spark, root, o.filter(cut).drop("order_priority"), "2000-01-01 00:00:00")
     snapshots.append(spark, root, o.filter(~cut), "2002-01-01 00:00:00")
     return snapshots.read_as_of(spark, root)
