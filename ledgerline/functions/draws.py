@@ -6,7 +6,7 @@ number of partitions, on task retries or on which executor runs a task,
 and every draw runs inside whole-stage codegen (no Python worker).
 
 ``hash="md5"`` (default) can be reproduced in any SQL engine that has
-``md5``; ``hash="xxhash64"`` is 12x cheaper per draw (3-5x per table) but
+``md5``; ``hash="xxhash64"`` is about 8x faster per generated table but
 gives different values.
 """
 
@@ -140,9 +140,36 @@ def span_steps(start: str, end: str, step_seconds: int) -> int:
     return int((dt.datetime.fromisoformat(end) - dt.datetime.fromisoformat(start)).total_seconds()) // step_seconds
 
 
+def half_up_units(c: Column, digits: int) -> Column:
+    """``floor(x * 10^digits + 0.5)`` as bigint: x in units of 10^-digits,
+    rounded half up (inputs here are never negative)."""
+    return F.floor(c * F.lit(float(10 ** digits)) + F.lit(0.5)).cast("bigint")
+
+
+def round_half_up(c: Column, digits: int) -> Column:
+    """x rounded half up to ``digits`` decimals, as a double.
+
+    Plain double arithmetic, ``floor(x * 10^d + 0.5) / 10^d``: the same IEEE
+    operations in any engine (so results are bit-identical to the SQL
+    oracle), and about 7x cheaper in Spark than ``round``, which goes
+    through ``BigDecimal``.
+    """
+    return half_up_units(c, digits) / F.lit(float(10 ** digits))
+
+
+def units_to_decimal(units: Column, precision: int, digits: int = 2) -> Column:
+    """Integer units of 10^-digits as ``decimal(precision, digits)``, exactly.
+
+    ``units * 10^-digits`` in decimal stays on Spark's fast path, unlike a
+    double-to-decimal cast (which formats the double as a string first).
+    """
+    step = F.lit(10.0 ** -digits).cast(f"decimal({digits + 1},{digits})")
+    return (units.cast(f"decimal({precision},0)") * step).cast(f"decimal({precision},{digits})")
+
+
 def money(c: Column, precision: int = 10) -> Column:
-    """Round a double to cents and store it as ``decimal(precision, 2)``."""
-    return F.round(c, 2).cast(f"decimal({precision},2)")
+    """Round a double half up to cents and store it as ``decimal(precision, 2)``."""
+    return units_to_decimal(half_up_units(c, 2), precision)
 
 
 def text(*parts) -> Column:

@@ -19,11 +19,14 @@ from ledgerline import specs
 from ledgerline.functions.draws import (
     Draws,
     even_date,
+    half_up_units,
     money,
+    round_half_up,
     span_steps,
     step_date,
     step_timestamp,
     text,
+    units_to_decimal,
 )
 from ledgerline.specs import (
     BRAND_WORDS,
@@ -123,8 +126,8 @@ def _address(c: _Ctx, name: str) -> Column:
 
 
 def _exp_money(c: _Ctx, name: str, mean: float, precision: int = 10) -> Column:
-    v = F.round(c.d.exponential(name, mean), 2)
-    return v.cast(f"decimal({precision},2)") if c.lake else v
+    v = c.d.exponential(name, mean)
+    return money(v, precision) if c.lake else round_half_up(v, 2)
 
 
 def _micro(c: Column) -> Column:
@@ -134,7 +137,7 @@ def _micro(c: Column) -> Column:
     libm, so a full-precision double is not reproducible across engines;
     micro-units are.
     """
-    return F.round(c, 6)
+    return round_half_up(c, 6)
 
 
 def _audit(c: _Ctx, updated: bool = True) -> list[Column]:
@@ -163,7 +166,7 @@ def _customers(c: _Ctx) -> list[Column]:
         d.choice("region", REGIONS).alias("region"),
         reg.alias("registration_date"),
         score.alias("credit_score"),
-        F.round(d.exponential("lifetime_value", 500), 2).alias("lifetime_value"),
+        round_half_up(d.exponential("lifetime_value", 500), 2).alias("lifetime_value"),
         d.bernoulli("is_premium", 0.2).alias("is_premium"),
         login.alias("last_login"),
         *_audit(c),
@@ -176,14 +179,14 @@ def _products(c: _Ctx) -> list[Column]:
         name = text("Product_", d.choice("product_name.word", PRODUCT_WORDS), d.int_between("product_name", 1, 100000))
         brand = text("Brand_", d.choice("brand.word", BRAND_WORDS), d.int_between("brand", 1, 1000))
         cost = money(d.exponential("cost", 50) * d.uniform("cost.share", 0.3, 0.8))
-        weight = F.round(d.exponential("weight", 2), 2).cast("float")
+        weight = round_half_up(d.exponential("weight", 2), 2).cast("float")
         desc = text("Product description for item ", d.int_between("description", 10000, 99999))
         created = c.series_date("products.created", HOUR)
     else:
         name = text("Product_", c.id)
         brand = text("Brand_", d.int_between("brand", 1, 1000))
         cost = _micro(d.exponential("cost", 50) * d.uniform("cost.share", 0.3, 0.8))
-        weight = F.round(d.exponential("weight", 2), 2)
+        weight = round_half_up(d.exponential("weight", 2), 2)
         desc = text("Description for item ", c.id)
         created = c.series_ts("products.created", HOUR)
     dims = text(d.int_between("dim.x", 1, 50), "x", d.int_between("dim.y", 1, 50), "x", d.int_between("dim.z", 1, 50))
@@ -206,7 +209,7 @@ def _products(c: _Ctx) -> list[Column]:
 
 def _suppliers(c: _Ctx) -> list[Column]:
     d = c.d
-    rating = F.round(d.uniform("rating", 1, 5), 1)
+    rating = round_half_up(d.uniform("rating", 1, 5), 1)
     if c.lake:
         name = text("Supplier_", d.choice("supplier_name.word", SUPPLIER_WORDS), d.int_between("supplier_name", 1, 10000))
         start, end = WINDOWS["suppliers.established"]
@@ -265,16 +268,17 @@ def _orders(c: _Ctx) -> list[Column]:
 def _lineitem(c: _Ctx) -> list[Column]:
     d = c.d
     qty = d.int_below("quantity", 1, 20)
-    unit = F.round(d.exponential("unit_price", 25), 2)
-    discount = F.round(d.uniform("discount", 0, 0.3), 3)
-    tax = F.round(d.uniform("tax", 0.05, 0.15), 3)
+    unit_cents = half_up_units(d.exponential("unit_price", 25), 2)
+    unit = unit_cents / F.lit(100.0)
+    discount = round_half_up(d.uniform("discount", 0, 0.3), 3)
+    tax = round_half_up(d.uniform("tax", 0.05, 0.15), 3)
     if c.lake:
         gross = qty.cast("double") * unit
         money_cols = [
-            unit.cast("decimal(10,2)").alias("unit_price"),
+            units_to_decimal(unit_cents, 10).alias("unit_price"),
             discount.cast("float").alias("discount"),
             tax.cast("float").alias("tax"),
-            (qty.cast("decimal(10,0)") * unit.cast("decimal(10,2)")).cast("decimal(12,2)").alias("extended_price"),
+            units_to_decimal(qty * unit_cents, 12).alias("extended_price"),
             money(gross * d.uniform("discount_amount", 0, 0.3)).alias("discount_amount"),
             money(gross * d.uniform("tax_amount", 0.05, 0.15)).alias("tax_amount"),
             money(gross * d.uniform("net_amount", 0.8, 1.2), 12).alias("net_amount"),

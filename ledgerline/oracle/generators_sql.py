@@ -99,12 +99,27 @@ class Q:
     def nfk(self, name: str, parent: str) -> str:
         return f"NULLIF({self.h(name)} % ({rows_sql(parent)} + 1), 0)"
 
+    @staticmethod
+    def units(expr: str, k: int) -> str:
+        """floor(x * 10^k + 0.5) as BIGINT (half-up rounding in double arithmetic)."""
+        return f"CAST(floor(({expr}) * {_dbl(10 ** k)} + {_dbl(0.5)}) AS BIGINT)"
+
+    @staticmethod
+    def rhu(expr: str, k: int) -> str:
+        """x rounded half up to k decimals, as DOUBLE."""
+        return f"(floor(({expr}) * {_dbl(10 ** k)} + {_dbl(0.5)}) / {_dbl(10 ** k)})"
+
+    @staticmethod
+    def dec(units: str, precision: int) -> str:
+        """Integer cents as DECIMAL(precision, 2), exactly."""
+        return f"CAST(CAST({units} AS DECIMAL({precision},0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL({precision},2))"
+
     def money(self, expr: str, precision: int = 10) -> str:
-        return f"CAST(round({expr}, 2) AS DECIMAL({precision},2))"
+        return self.dec(self.units(expr, 2), precision)
 
     def exp_money(self, name: str, mean: float, precision: int = 10) -> str:
-        r = f"round({self.exp(name, mean)}, 2)"
-        return f"CAST({r} AS DECIMAL({precision},2))" if self.lake else r
+        e = self.exp(name, mean)
+        return self.money(e, precision) if self.lake else self.rhu(e, 2)
 
     def steps(self, window: str, step: int) -> tuple[str, int]:
         a, b = WINDOWS[window]
@@ -168,7 +183,7 @@ def _customers(q: Q) -> list[str]:
         f"{q.phone('phone')} AS phone", f"{q.address('address')} AS address",
         f"{q.choice('country', specs.COUNTRIES)} AS country", f"{q.choice('region', specs.REGIONS)} AS region",
         f"{reg} AS registration_date", f"{score} AS credit_score",
-        f"round({q.exp('lifetime_value', 500)}, 2) AS lifetime_value",
+        f"{q.rhu(q.exp('lifetime_value', 500), 2)} AS lifetime_value",
         f"{q.bern('is_premium', 0.2)} AS is_premium",
         f"{q.ts('customers.last_login.' + q.p, HOUR)} AS last_login", *q.audit(),
     ]
@@ -180,14 +195,14 @@ def _products(q: Q) -> list[str]:
                      q.s(q.between("product_name", 1, 100000)))
         brand = q.txt("'Brand_'", q.choice("brand.word", specs.BRAND_WORDS), q.s(q.between("brand", 1, 1000)))
         cost = q.money(f"({q.exp('cost', 50)} * {q.unif('cost.share', 0.3, 0.8)})")
-        weight = f"CAST(round({q.exp('weight', 2)}, 2) AS FLOAT)"
+        weight = f"CAST({q.rhu(q.exp('weight', 2), 2)} AS FLOAT)"
         desc = q.txt("'Product description for item '", q.s(q.between("description", 10000, 99999)))
         created = q.date("products.created", HOUR)
     else:
         name = q.txt("'Product_'", "CAST(id AS VARCHAR)")
         brand = q.txt("'Brand_'", q.s(q.between("brand", 1, 1000)))
-        cost = f"round({q.exp('cost', 50)} * {q.unif('cost.share', 0.3, 0.8)}, 6)"
-        weight = f"round({q.exp('weight', 2)}, 2)"
+        cost = q.rhu(f"{q.exp('cost', 50)} * {q.unif('cost.share', 0.3, 0.8)}", 6)
+        weight = q.rhu(q.exp('weight', 2), 2)
         desc = q.txt("'Description for item '", "CAST(id AS VARCHAR)")
         created = q.ts("products.created", HOUR)
     dims = q.txt(q.s(q.between("dim.x", 1, 50)), "'x'", q.s(q.between("dim.y", 1, 50)), "'x'",
@@ -202,7 +217,7 @@ def _products(q: Q) -> list[str]:
 
 
 def _suppliers(q: Q) -> list[str]:
-    rating = f"round({q.unif('rating', 1, 5)}, 1)"
+    rating = q.rhu(q.unif('rating', 1, 5), 1)
     if q.lake:
         name = q.txt("'Supplier_'", q.choice("supplier_name.word", specs.SUPPLIER_WORDS),
                      q.s(q.between("supplier_name", 1, 10000)))
@@ -231,7 +246,7 @@ def _orders(q: Q) -> list[str]:
         od = q.ts("orders", MINUTE)
         dates = [f"{od} AS order_date", f"({od} + INTERVAL 1 DAY) AS ship_date",
                  f"({od} + INTERVAL 4 DAY) AS delivery_date"]
-        tax = f"round({q.exp('tax_amount', 100)} * {_dbl(0.1)}, 6)"
+        tax = q.rhu(f"{q.exp('tax_amount', 100)} * {_dbl(0.1)}", 6)
     return [
         "id AS order_id", f"{q.fk('customer_id', 'customers')} AS customer_id", *dates,
         f"{q.choice('order_status', specs.ORDER_STATUSES)} AS order_status",
@@ -246,15 +261,16 @@ def _orders(q: Q) -> list[str]:
 
 def _lineitem(q: Q) -> list[str]:
     qty = q.below("quantity", 1, 20)
-    unit = f"round({q.exp('unit_price', 25)}, 2)"
-    disc = f"round({q.unif('discount', 0, 0.3)}, 3)"
-    tax = f"round({q.unif('tax', 0.05, 0.15)}, 3)"
+    unit_cents = q.units(q.exp('unit_price', 25), 2)
+    unit = f"(CAST({unit_cents} AS DOUBLE) / {_dbl(100.0)})"
+    disc = q.rhu(q.unif('discount', 0, 0.3), 3)
+    tax = q.rhu(q.unif('tax', 0.05, 0.15), 3)
     if q.lake:
         gross = f"(CAST({qty} AS DOUBLE) * {unit})"
         money = [
-            f"CAST({unit} AS DECIMAL(10,2)) AS unit_price", f"CAST({disc} AS FLOAT) AS discount",
+            f"{q.dec(unit_cents, 10)} AS unit_price", f"CAST({disc} AS FLOAT) AS discount",
             f"CAST({tax} AS FLOAT) AS tax",
-            f"CAST(CAST({qty} AS DECIMAL(10,0)) * CAST({unit} AS DECIMAL(10,2)) AS DECIMAL(12,2)) AS extended_price",
+            f"{q.dec(f'({qty} * {unit_cents})', 12)} AS extended_price",
             q.money(f"({gross} * {q.unif('discount_amount', 0, 0.3)})") + " AS discount_amount",
             q.money(f"({gross} * {q.unif('tax_amount', 0.05, 0.15)})") + " AS tax_amount",
             q.money(f"({gross} * {q.unif('net_amount', 0.8, 1.2)})", 12) + " AS net_amount",
@@ -264,11 +280,12 @@ def _lineitem(q: Q) -> list[str]:
     else:
         money = [
             f"{unit} AS unit_price", f"{disc} AS discount", f"{tax} AS tax",
-            f"round(CAST({q.below('extended_price.qty', 1, 20)} AS DOUBLE) * {q.exp('extended_price', 25)}, 6)"
-            " AS extended_price",
-            f"round({q.exp('discount_amount.base', 25)} * {q.unif('discount_amount', 0, 0.3)}, 6) AS discount_amount",
-            f"round({q.exp('tax_amount.base', 25)} * {q.unif('tax_amount', 0.05, 0.15)}, 6) AS tax_amount",
-            f"round({q.exp('net_amount.base', 25)} * {q.unif('net_amount', 0.8, 1.2)}, 6) AS net_amount",
+            q.rhu(f"CAST({q.below('extended_price.qty', 1, 20)} AS DOUBLE) * {q.exp('extended_price', 25)}", 6)
+            + " AS extended_price",
+            q.rhu(f"{q.exp('discount_amount.base', 25)} * {q.unif('discount_amount', 0, 0.3)}", 6)
+            + " AS discount_amount",
+            q.rhu(f"{q.exp('tax_amount.base', 25)} * {q.unif('tax_amount', 0.05, 0.15)}", 6) + " AS tax_amount",
+            q.rhu(f"{q.exp('net_amount.base', 25)} * {q.unif('net_amount', 0.8, 1.2)}", 6) + " AS net_amount",
         ]
         ship = q.ts("lineitem", MINUTE)
         comment = q.txt("'Comment '", q.s(q.between("comment", 1, 1000000)))
