@@ -130,6 +130,9 @@ def even_date(id_name: str, n: int, start: str, end: str) -> Column:
     import datetime as dt
 
     span = int((dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).total_seconds())
+    if (n - 1) * span >= 2 ** 63:
+        raise ValueError(f"{n} evenly spaced dates over {span} s overflow 64-bit arithmetic; "
+                         "split the table or widen the step")
     secs = F.expr(f"(({id_name} - 1) * {span}) div {max(n - 1, 1)}")
     return F.date_add(F.lit(start).cast("date"), (secs / F.lit(86400)).cast("bigint").cast("int"))
 

@@ -173,3 +173,11 @@ def test_plan_rows_partitions(spark):
     assert plan["lineitem"].partitions == 600 and plan["suppliers"].partitions == 1
     lake = {p["table"]: p for p in plan_rows(100)}
     assert lake["lineitem"]["partitions"] == 120  # 60M rows in 500K-row chunks
+
+
+def test_even_dates_refuse_overflowing_sizes():
+    from ledgerline.functions.draws import even_date
+
+    even_date("id", 60_000_000_000, "2022-01-01", "2024-01-01")  # 100 TB plan: fits
+    with pytest.raises(ValueError):
+        even_date("id", 200_000_000_000, "2022-01-01", "2024-01-01")
