@@ -175,7 +175,7 @@ def test_plan_rows_partitions(spark):
     assert lake["lineitem"]["partitions"] == 120  # 60M rows in 500K-row chunks
 
 
-def test_even_dates_refuse_overflowing_sizes():
+def test_even_dates_refuse_overflowing_sizes(spark):
     from ledgerline.functions.draws import even_date
 
     even_date("id", 60_000_000_000, "2022-01-01", "2024-01-01")  # 100 TB plan: fits
