@@ -20,6 +20,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 COMMIT_SCHEMA = ("snapshot_id bigint, committed_at timestamp_ntz, operation string, "
                  "base_snapshot bigint, rows bigint, schema_ddl string")
@@ -99,16 +100,39 @@ def visible_snapshots(commits: list, as_of: _dt.datetime | None) -> list[int]:
     return sorted(c.snapshot_id for c in done if last.base_snapshot <= c.snapshot_id <= last.snapshot_id)
 
 
-def read_as_of(spark: SparkSession, root: str, as_of=None, merge_schema: bool = True) -> DataFrame:
+def merged_schema(commits: list, ids: list[int]) -> T.StructType:
+    """Union of the schemas the visible commits recorded, in commit order.
+
+    Built from the commit log (a few rows), not from the data files, so a
+    read never has to open every Parquet footer to merge schemas.  A column
+    whose type changed between commits is an error.
+    """
+    from pyspark.sql.types import _parse_datatype_string
+
+    fields: dict[str, T.StructField] = {}
+    for c in sorted((c for c in commits if c.snapshot_id in ids), key=lambda c: c.snapshot_id):
+        for f in _parse_datatype_string(c.schema_ddl).fields:
+            known = fields.get(f.name)
+            if known is None:
+                fields[f.name] = T.StructField(f.name, f.dataType, True)
+            elif known.dataType != f.dataType:
+                raise SnapshotError(f"column {f.name} changed type: {known.dataType} -> {f.dataType}")
+    return T.StructType(list(fields.values()) + [T.StructField("snapshot_id", T.LongType(), True)])
+
+
+def read_as_of(spark: SparkSession, root: str, as_of=None) -> DataFrame:
     """The table as it was at ``as_of`` (``None``: the latest commit).
 
-    ``merge_schema`` reads snapshots with added columns together (T4);
-    rows from older snapshots get nulls in the new columns.
+    Snapshots with added columns read together (T4): rows from older
+    snapshots get nulls in the new columns.  The read schema comes from the
+    commit log and the snapshot filter is a partition filter, so only the
+    files of the visible snapshots are opened.
     """
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
-    ids = visible_snapshots(_commits(spark, root), as_of)
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(root)
+    commits = _commits(spark, root)
+    ids = visible_snapshots(commits, as_of)
+    df = spark.read.schema(merged_schema(commits, ids)).parquet(root)
     return df.filter(F.col("snapshot_id").isin(ids)).drop("snapshot_id")
 
 

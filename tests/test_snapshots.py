@@ -97,3 +97,12 @@ def test_backfill_retry_after_a_lost_run(spark, tmp_root):
     assert ids == [2, 3]
     assert snapshots.read_as_of(spark, root).count() == 11  # 1 + 10, no leftovers
     assert snapshots.read_as_of(spark, root, "2020-12-31 00:00:00").count() == 1
+
+
+def test_type_change_between_commits_is_an_error(spark, tmp_root):
+    root = os.path.join(tmp_root, "t")
+    snapshots.append(spark, root, _batch(spark, [1]), "2024-01-01 00:00:00")
+    snapshots.append(spark, root, spark.createDataFrame([(2, 5)], "id long, v int"), "2024-02-01 00:00:00")
+    with pytest.raises(snapshots.SnapshotError):
+        snapshots.read_as_of(spark, root)
+    assert snapshots.read_as_of(spark, root, "2024-01-15 00:00:00").count() == 1  # the old view still reads
