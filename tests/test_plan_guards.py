@@ -26,3 +26,9 @@ def test_no_cross_joins_or_python(spark, name):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     found = [why for node, why in FORBIDDEN.items() if node in plan]
     assert not found, f"{name}: {found}"
+
+
+def test_date_filter_and_projection_reach_the_test_table_scan(spark):
+    plan = ent.queries()["sales_by_country"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate,2000-01-01T00:00)" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
