@@ -8,6 +8,7 @@ planned rows with the rows counted while writing (no second scan).
 from __future__ import annotations
 
 import os
+import uuid
 import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
@@ -114,7 +115,7 @@ def _write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, p
     from ledgerline.sources.catalog import create_namespace
 
     create_namespace(spark, namespace)
-    obs = Observation(f"bucketed_{table}")
+    obs = Observation(f"bucketed_{table}_{uuid.uuid4().hex[:8]}")
     data = layout.conform(df, specs.spec(table).schema(profile)).observe(obs, F.count(F.lit(1)).alias("rows"))
     layout.write_bucketed(data, f"{namespace}.{table}", key, n, path)
     return {"table": table, "path": path, "rows": obs.get["rows"], "partition_cols": [],

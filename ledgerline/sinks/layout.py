@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 import math
 import os
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -191,7 +192,7 @@ def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", lay
     if granularity == "auto":
         granularity, keep = auto_layout(table, rows) if rows is not None else ("day", None)
     df = conform(df, specs.spec(table).schema(profile))
-    obs = Observation(f"write_{table}") if observe else None
+    obs = Observation(f"write_{table}_{uuid.uuid4().hex[:8]}") if observe else None
     if obs is not None:
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer_df, pcols = (clustered(df, table, granularity, keep) if layout == "partitioned"

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,7 +73,7 @@ def _commit(spark: SparkSession, root: str, df: DataFrame, operation: str,
         raise SnapshotError("data must not carry a snapshot_id column")
     from pyspark.sql import Observation
 
-    obs = Observation(f"commit_{k}")
+    obs = Observation(f"commit_{k}_{uuid.uuid4().hex[:8]}")
     data = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     data.write.mode("overwrite").option("compression", "snappy").parquet(os.path.join(root, f"snapshot_id={k}"))
     rows = obs.get["rows"]
@@ -152,7 +153,7 @@ def backfill(spark: SparkSession, root: str, df: DataFrame, snapshot_col: str, c
     data = df.withColumn("snapshot_id", mapping[F.col(snapshot_col)]).drop(snapshot_col)
     from pyspark.sql import Observation
 
-    obs = Observation("backfill")
+    obs = Observation(f"backfill_{uuid.uuid4().hex[:8]}")
     data = data.observe(obs, F.count(F.lit(1)).alias("rows"))
     # Dynamic overwrite replaces only the new snapshot ids: leftovers of an
     # earlier attempt that died before its log rows are removed, committed

@@ -123,3 +123,17 @@ def specs_order():
     from ledgerline import specs
 
     return specs.TABLE_ORDER
+
+
+def test_concurrent_writes_of_one_table_count_their_own_rows(spark, tmp_root):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ledgerline.operators.generate import generate
+
+    def write(n):
+        df = generate(spark, "orders", n, {"customers": 50})
+        return layout.write_table(df, os.path.join(tmp_root, f"o{n}"), "orders", layout="flat")["rows"]
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        got = list(pool.map(write, [300, 500, 700, 900]))
+    assert got == [300, 500, 700, 900]
