@@ -205,7 +205,8 @@ def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", lay
         w = w.partitionBy(*pcols)
     w.parquet(path)
     written = obs.get["rows"] if obs is not None else None
-    return {"table": table, "path": path, "rows": written, "partition_cols": pcols, "granularity": granularity}
+    kind = granularity if pcols else ("unpartitioned" if layout == "partitioned" else "flat")
+    return {"table": table, "path": path, "rows": written, "partition_cols": pcols, "granularity": kind}
 
 
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int = 100, path: str | None = None,

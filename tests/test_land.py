@@ -28,7 +28,7 @@ def test_land_report_manifest_and_queries(spark, tmp_root, profile):
     top = corpus.top_products(tables).collect()
     assert 0 < len(top) <= 20
     if profile == "lake":
-        assert rep["customers"].granularity == "year"
+        assert rep["customers"].granularity == "unpartitioned"  # 200 rows: too small for folders
         since = corpus.sales_by_country(tables, since="2023-01-01")
         assert since.agg(F.sum("order_count")).first()[0] == \
             tables("orders").filter(F.col("order_date") >= "2023-01-01").count()
