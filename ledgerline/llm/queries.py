@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, exact_dedup, language_id, mixing, toxicity, token_count, url_filter
+from ledgerline.llm import decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_join, substring_dedup, token_count, toxicity, url_filter
 from ledgerline.llm.oracle import ORACLE
 
 
@@ -40,6 +40,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(_read(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select(
@@ -47,13 +51,24 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(_read(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_url_filter, op3_language_id, op4_token_counts, op5_source_mix, op7_decontamination, op10_toxicity)
+    for f in (
+        op1_exact_dedup, op2_url_filter, op3_language_id, op4_token_counts, op5_source_mix, op6_ngram_join, op7_decontamination,
+        op8_substring_dedup, op9_html_extraction, op10_toxicity,
+    )
 }
 
 
