@@ -1 +1 @@
-"""Spark-native retail data toolkit: generators, layout, snapshots, checks and queries."""
+"""Spark-native retail data toolkit: generators, layout, checks and queries."""

@@ -124,16 +124,19 @@ def step_date(i: Column, start: str, step_seconds: int, span_steps: int) -> Colu
 def even_date(id_name: str, n: int, start: str, end: str) -> Column:
     """P10: n dates evenly spaced from start to end (inclusive), floored to days.
 
-    Integer ``div`` keeps it exact: (n-1) * span reaches ~4e16 seconds at
-    600M rows, beyond the 2**53 a double holds exactly.
+    ``(id - 1) * span div (n - 1)`` in exact integers.  The product leaves 64
+    bits from about 146 billion rows on, so ``id - 1`` is split into a high
+    and a low part and quotient and remainder of the high part are taken
+    apart: no intermediate exceeds 64 bits for any row count in use.
     """
     import datetime as dt
 
     span = int((dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).total_seconds())
-    if (n - 1) * span >= 2 ** 63:
-        raise ValueError(f"{n} evenly spaced dates over {span} s overflow 64-bit arithmetic; "
-                         "split the table or widen the step")
-    secs = F.expr(f"(({id_name} - 1) * {span}) div {max(n - 1, 1)}")
+    m = max(n - 1, 1)
+    bits = max(20, (m * m >> 62).bit_length())
+    quotient, remainder = divmod(span << bits, m)
+    high, low = f"shiftright({id_name} - 1, {bits})", f"(({id_name} - 1) & {(1 << bits) - 1})"
+    secs = F.expr(f"{high} * {quotient} + ({high} * {remainder} + {low} * {span}) div {m}")
     return F.date_add(F.lit(start).cast("date"), (secs / F.lit(86400)).cast("bigint").cast("int"))
 
 

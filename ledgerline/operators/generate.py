@@ -373,15 +373,10 @@ RECIPES = {
 }
 
 
-def capped_rows(table: str, rows: int) -> int:
-    cap = specs.spec(table).cap
-    return max(1, min(rows, cap) if cap else rows)
-
-
 def generate(spark: SparkSession, table: str, rows: int, parents: dict[str, int] | None = None,
              profile: str = "lake", seed: int = DEFAULT_SEED, audit_ts: str = DEFAULT_AUDIT_TS,
              hash: str = "md5", rows_per_partition: int | None = None) -> DataFrame:
-    """Generate ``rows`` rows of ``table`` (capped per spec) as a DataFrame.
+    """Generate ``rows`` rows of ``table`` as a DataFrame.
 
     ``parents`` maps each parent table to its row count; foreign keys are
     drawn from ``1..parent_rows``.  The result has exactly the declared
@@ -389,7 +384,7 @@ def generate(spark: SparkSession, table: str, rows: int, parents: dict[str, int]
     """
     specs.check_profile(profile)
     ts = specs.spec(table)
-    n = capped_rows(table, rows)
+    n = max(1, rows)
     per_part = rows_per_partition or specs.CHUNK_ROWS[profile]
     # At least one partition per core once there are 10K rows per core; at
     # scale the chunk size sets the count (60B rows -> 120K tasks).
@@ -406,7 +401,7 @@ def generate(spark: SparkSession, table: str, rows: int, parents: dict[str, int]
 # -- row planning (R1-R5) ---------------------------------------------------------
 
 def plan_rows(size_gb: float, tables: list[str] | None = None, profile: str = "lake") -> list[dict]:
-    """Rows per table for a target volume: ratio * GB * rows-per-GB, capped,
+    """Rows per table for a target volume: ratio * GB * rows-per-GB,
     and the number of generator partitions (chunks) at the profile's chunk size.
 
     Unknown table names raise before any work starts.
@@ -418,7 +413,7 @@ def plan_rows(size_gb: float, tables: list[str] | None = None, profile: str = "l
     out = []
     for t in names:
         target = int(size_gb * specs.SIZE_RATIOS[t] * specs.ROWS_PER_GB)
-        rows = capped_rows(t, target)
+        rows = max(1, target)
         out.append({"table": t, "target_rows": target, "rows": rows,
                     "partitions": max(1, math.ceil(rows / specs.CHUNK_ROWS[profile]))})
     return out

@@ -44,11 +44,13 @@ def orphans(tables: Tables, relation: Relation) -> DataFrame:
     unique keys.  An outer join is used on purpose: Catalyst pushes a
     left-anti join below the aggregate, which would join raw child rows.
     """
-    child = tables(relation.child).select(F.col(relation.column).alias("k"))
+    from ledgerline.plans.corpus import columns_of
+
+    child = columns_of(tables, relation.child, relation.column).select(F.col(relation.column).alias("k"))
     if relation.nullable:
         child = child.filter(F.col("k").isNotNull())
     per_key = child.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    parent = (tables(relation.parent).select(F.col(relation.parent_column).alias("k")).distinct()
+    parent = (columns_of(tables, relation.parent, relation.parent_column).select(F.col(relation.parent_column).alias("k")).distinct()
               .withColumn("_hit", F.lit(True)))
     joined = per_key.join(parent, "k", "left")
     return joined.agg(
@@ -59,12 +61,37 @@ def orphans(tables: Tables, relation: Relation) -> DataFrame:
 
 
 def orphans_all(tables: Tables, relations: Iterable[Relation] = specs.RELATIONS) -> DataFrame:
-    """Q3: orphan counts for every declared relation, one row each."""
-    rels = list(relations)
-    out = orphans(tables, rels[0])
-    for r in rels[1:]:
-        out = out.unionByName(orphans(tables, r))
-    return out
+    """Q3: orphan counts for every declared relation, one row each.
+
+    Every table is read once: a child row gives one (relation, key) pair per
+    relation it has, the pairs are counted with partial sums, and one outer
+    join meets them with the distinct keys of all parents.
+    """
+    from ledgerline.plans.corpus import columns_of
+
+    rels = list(enumerate(relations))
+    counted = None
+    for child in dict.fromkeys(r.child for _, r in rels):
+        own = [(i, r) for i, r in rels if r.child == child]
+        pairs = F.array(*[F.struct(F.lit(i).alias("rel"), F.col(r.column).cast("bigint").alias("k")) for i, r in own])
+        df = columns_of(tables, child, *dict.fromkeys(r.column for _, r in own)).select(F.explode(pairs).alias("p")).select("p.*")
+        df = df.groupBy("rel", "k").agg(F.count(F.lit(1)).alias("n"))
+        counted = df if counted is None else counted.unionByName(df)
+    keys = None
+    parents = dict.fromkeys((r.parent, r.parent_column) for _, r in rels)
+    for parent, column in parents:
+        own = F.array(*[F.lit(i) for i, r in rels if (r.parent, r.parent_column) == (parent, column)])
+        df = columns_of(tables, parent, column).select(F.col(column).cast("bigint").alias("key")).distinct().select(F.explode(own).alias("of"), "key")
+        keys = df if keys is None else keys.unionByName(df)
+    nullable = F.array(*[F.lit(i) for i, r in rels if r.nullable] or [F.lit(-1)])
+    found = (counted.filter(F.col("k").isNotNull() | ~F.array_contains(nullable, F.col("rel")))
+             .join(keys, (F.col("rel") == F.col("of")) & (F.col("k") == F.col("key")), "left")
+             .groupBy("rel").agg(F.sum("n").alias("checked"), F.sum(F.when(F.col("key").isNull(), F.col("n"))).alias("orphans")))
+    names = tables(rels[0][1].child).sparkSession.createDataFrame(
+        [(i, r.child, r.column, r.parent) for i, r in rels], "rel int, child string, column string, parent string")
+    zero = F.lit(0).cast("bigint")
+    return names.join(found, "rel", "left").select(
+        "child", "column", "parent", F.coalesce("checked", zero).alias("checked"), F.coalesce("orphans", zero).alias("orphans"))
 
 
 def schema_diff(spark, expected: T.StructType, actual: T.StructType) -> DataFrame:

@@ -11,39 +11,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOW33 = (1 << 33) - 1
+# Sampled rows per bucket, and the most buckets the bounds are cut into.
+_SAMPLE_PER_BUCKET = 60
 
 
 def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def global_row_number(df: DataFrame, order_cols: list, num_partitions: int | None = None,
+def range_bounds(df: DataFrame, order_cols: list[str], buckets: int) -> list:
+    """At most ``buckets - 1`` rows of ``order_cols`` that cut the table's order into even ranges.
+
+    Taken once from a sample whose size follows the number of buckets, not
+    the data; the driver holds the bounds only as literals of the plan.
+    """
+    keys = df.select(*order_cols)
+    n = keys.count()
+    want = buckets * _SAMPLE_PER_BUCKET
+    if n > 2 * want:
+        keys = keys.sample(fraction=want / n, seed=7)
+    rows = keys.distinct().orderBy(*order_cols).collect()
+    step = max(1, len(rows) // buckets)
+    return rows[step::step][:buckets - 1]
+
+
+def _bucket(order_cols: list[str], bounds: list, schema) -> Column:
+    """The number of bounds not above the row: a pure function of the row (binary search over literals)."""
+    if not bounds:
+        return F.lit(0)
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_cols)])
+    literal = F.array(*[F.struct(*[F.lit(v).cast(schema[c].dataType).alias(f"k{i}")
+                                   for i, (c, v) in enumerate(zip(order_cols, r))]) for r in bounds])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+
+    def search(at, step):
+        there = at + step
+        return F.when((there <= len(bounds)) & (F.get(literal, there - 1) <= key), there).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), search)
+
+
+def global_row_number(df: DataFrame, order_cols: list[str], num_partitions: int | None = None,
                       out: str = "row_number") -> DataFrame:
     """1-based position of each row in a total order, without a global window.
 
-    Range-partition on the order (balanced by sampling, even when one value
-    is very frequent, as long as ``order_cols`` end with a unique key), sort
-    each partition, count rows per partition, and add the running count of
-    earlier partitions.  The per-partition counts have one row per
-    partition, so broadcasting them is bounded by the partition count, not
-    by the data.  ``monotonically_increasing_id`` carries (partition,
-    position) in its upper/lower bits.
+    The order is cut into ``num_partitions`` ranges at bounds taken once from
+    a sample and written into the plan as literals, so a row's range is a
+    function of the row alone: the branch that counts rows per range and
+    the branch that numbers rows within a range agree for any frame,
+    whatever else it carries and however the two are executed.  The counts
+    have one row per range; rows of a range are numbered by an ordinary
+    window.  ``order_cols`` (column names, ascending, nulls first) must end
+    with a unique key.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    oc = _cols(order_cols)
-    ranged = (df.repartitionByRange(n, *oc).sortWithinPartitions(*oc)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = (ranged.withColumn("_part", F.shiftright("_mid", 33))
-              .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33))))
+    bounds = range_bounds(df, order_cols, n)
+    ranged = df.withColumn("_part", _bucket(order_cols, bounds, df.schema))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+    offsets = sizes.select(F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
                            F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    return (ranged.join(F.broadcast(offsets), "_part")
-            .withColumn(out, F.col("_offset") + F.col("_pos") + F.lit(1))
-            .drop("_mid", "_part", "_pos", "_offset"))
+    inside = Window.partitionBy("_part").orderBy(*order_cols)
+    return (ranged.withColumn("_pos", F.row_number().over(inside))
+            .join(offsets, F.col("_part") == F.col("_of"))
+            .withColumn(out, F.col("_offset") + F.col("_pos"))
+            .drop("_part", "_pos", "_of", "_offset"))
 
 
 def ntile_from_rank(rank: Column, total: Column, k: int) -> Column:
@@ -67,27 +100,15 @@ def global_ntile(df: DataFrame, order_cols: list, k: int, out: str = "tile",
             .drop("_rank", "_total"))
 
 
-def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list, k: int,
-                    salt_buckets: int = 32, salt_col: str | None = None, out: str = "rank") -> DataFrame:
+def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list, k: int, out: str = "rank") -> DataFrame:
     """Rows ranked 1..k inside each group, by a total order.
 
-    Two phases: rank inside (group, salt) sub-groups and keep the first k,
-    then rank the survivors of each group (at most k * salt_buckets rows).
-    The global top k of a group is always among the sub-group top k, so the
-    result is exact; a group with a third of all rows is spread over
-    ``salt_buckets`` tasks in phase one.  ``salt_col`` (default: a hash of
-    the whole row) picks the sub-group.
+    Spark keeps the first k rows of a group in every task before the
+    shuffle (a window group limit), so a hot group costs k rows a task.
     """
-    oc = _cols(order_cols)
-    salted = [F.col(salt_col)] if salt_col else [F.col(c) for c in df.columns]
-    salt = F.pmod(F.xxhash64(*salted), F.lit(salt_buckets))
-    phase1 = Window.partitionBy(*group_cols, "_salt").orderBy(*oc)
-    survivors = (df.withColumn("_salt", salt)
-                 .withColumn("_r1", F.row_number().over(phase1))
-                 .filter(F.col("_r1") <= k).drop("_r1", "_salt"))
-    phase2 = Window.partitionBy(*group_cols).orderBy(*oc)
-    return (survivors.withColumn(out, F.row_number().over(phase2).cast("bigint"))
-            .filter(F.col(out) <= k))
+    order = Window.partitionBy(*group_cols).orderBy(*_cols(order_cols))
+    ranked = df.withColumn(out, F.row_number().over(order)).filter(F.col(out) <= k)
+    return ranked.withColumn(out, F.col(out).cast("bigint"))
 
 
 def _micros(ts: Column) -> Column:
@@ -158,26 +179,40 @@ def sessionize(df: DataFrame, user: str, ts: str, tiebreak: str, gap_seconds: in
     return numbered.unionByName(unknown)
 
 
-def ordered_funnel(df: DataFrame, user: str, ts: str, step_col: str, steps: list[str]) -> DataFrame:
+def ordered_funnel(df: DataFrame, user: str, ts: str, step_col: str, steps: list[str],
+                   bucket_seconds: int = 3600) -> DataFrame:
     """Users reaching each step of an ordered funnel: ``(step_no, step, users)``.
 
     Step i is reached at the first event of type ``steps[i]`` not before
-    the time step i-1 was reached.  Each step is a per-user ``min`` (partial
-    aggregation, so a hot user is pre-reduced on the map side) joined to
-    the next step's events on the user key, which has one row per user on
-    the reached side.
+    the time step i-1 was reached; events without user or time count for
+    nobody.  The events are read and shuffled once, by (user, time bucket):
+    each bucket folds its events to a map from "steps reached before" to
+    "steps reached after", and each user's maps are applied in time order.
+    A user with a third of all events is spread over their buckets.
     """
-    reached = (df.filter(F.col(step_col) == F.lit(steps[0]))
-               .groupBy(user).agg(F.min(ts).alias("_at")))
-    counts = [reached.agg(F.count(F.lit(1)).alias("users")).select(
-        F.lit(1).cast("int").alias("step_no"), F.lit(steps[0]).alias("step"), "users")]
-    for i, step in enumerate(steps[1:], start=2):
-        nxt = df.filter(F.col(step_col) == F.lit(step)).select(user, F.col(ts).alias("_ts"))
-        reached = (nxt.join(reached, user).filter(F.col("_ts") >= F.col("_at"))
-                   .groupBy(user).agg(F.min("_ts").alias("_at")))
-        counts.append(reached.agg(F.count(F.lit(1)).alias("users")).select(
-            F.lit(i).cast("int").alias("step_no"), F.lit(step).alias("step"), "users"))
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    k = len(steps)
+    names = F.array(*[F.lit(s) for s in steps])
+    seconds = F.floor(_micros(F.col(ts)) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
+    ev = (df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull() & F.col(step_col).isin(steps))
+          .select(F.col(user).alias("_user"), seconds.alias("_b"), F.col(ts).alias("_ts"), F.col(step_col).alias("_step")))
+    moments = ev.groupBy("_user", "_b").agg(F.sort_array(F.collect_set(F.struct("_ts", "_step"))).alias("_events"))
+
+    def same_moment(events):
+        return F.transform(events, lambda e: F.struct(
+            e["_ts"].alias("_ts"), F.transform(F.filter(events, lambda o: o["_ts"] == e["_ts"]), lambda o: o["_step"]).alias("_steps")))
+
+    # events of one moment count in the order of the steps
+    def through(reached, moment):
+        return F.aggregate(F.sequence(F.lit(1), F.lit(k)), reached,
+                           lambda r, _: F.when(F.array_contains(moment["_steps"], F.get(names, r)), r + 1).otherwise(r))
+
+    def fold(start):
+        return F.aggregate(F.array_distinct(same_moment(F.col("_events"))), start, through)
+
+    maps = moments.select("_user", "_b", F.transform(F.sequence(F.lit(0), F.lit(k)), fold).alias("_map"))
+    users = maps.groupBy("_user").agg(F.sort_array(F.collect_list(F.struct("_b", "_map"))).alias("_maps"))
+    done = users.select(F.aggregate("_maps", F.lit(0), lambda r, m: F.get(m["_map"], r)).alias("_done"))
+    counts = done.agg(*[F.count(F.when(F.col("_done") >= i, 1)).alias(f"_{i}") for i in range(1, k + 1)])
+    rows = F.array(*[F.struct(F.lit(i).alias("step_no"), F.lit(s).alias("step"), F.col(f"_{i}").alias("users"))
+                     for i, s in enumerate(steps, start=1)])
+    return counts.select(F.explode(rows).alias("_row")).select("_row.step_no", "_row.step", "_row.users")

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import datetime
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline import specs
 from ledgerline.operators import quality
-from ledgerline.operators.generate import generate
 from ledgerline.plans import corpus, usecases
-from ledgerline.session import scratch_path
-from ledgerline.sinks import layout, snapshots
+from ledgerline.plans.lake import LAKE_QUERIES
 from ledgerline.sources import catalog
 from ledgerline.sources.driver_tables import model, read_raw
 
@@ -26,7 +22,7 @@ DRIVER_CUTOFF = "2000-01-01"
 
 
 def driver_tables(spark: SparkSession, sf_dir: str) -> corpus.Tables:
-    return lambda name: model(spark, sf_dir, name)
+    return lambda name, columns=None: model(spark, sf_dir, name, columns)
 
 
 def _corpus(fn, **kw) -> Query:
@@ -48,44 +44,6 @@ CORPUS_QUERIES: dict[str, Query] = {
 }
 
 
-# Test table whose row count sizes each generated table, so generated
-# volumes grow with the test data.
-SIZE_SOURCES = {
-    "customers": "customer",
-    "products": "part",
-    "suppliers": "supplier",
-    "orders": "orders",
-    "lineitem": "lineitem",
-    "inventory": "part",
-    "events": "events",
-}
-
-_SIZE_CACHE: dict[str, dict[str, int]] = {}
-
-
-def driver_sizes(spark: SparkSession, sf_dir: str) -> dict[str, int]:
-    """Row counts that size the generated tables (Parquet footer counts)."""
-    if sf_dir not in _SIZE_CACHE:
-        counts = {src: read_raw(spark, sf_dir, src).count() for src in set(SIZE_SOURCES.values())}
-        _SIZE_CACHE[sf_dir] = {t: counts[src] for t, src in SIZE_SOURCES.items()}
-    return _SIZE_CACHE[sf_dir]
-
-
-def generated(spark: SparkSession, sf_dir: str, table: str, profile: str = "lake"):
-    sizes = driver_sizes(spark, sf_dir)
-    capped = {t: min(n, specs.ROW_CAPS.get(t, n)) for t, n in sizes.items()}
-    return generate(spark, table, sizes[table], capped, profile=profile)
-
-
-def _gen(table: str, profile: str) -> Query:
-    return lambda spark, sf_dir: generated(spark, sf_dir, table, profile)
-
-
-GENERATOR_QUERIES: dict[str, Query] = {
-    f"gen_{t}_{p}": _gen(t, p) for t in specs.TABLE_ORDER for p in specs.PROFILES
-}
-
-
 # -- inspection (S3, S4) ------------------------------------------------------------
 
 INSPECTED = ("customer", "orders", "lineitem", "part", "supplier", "events")
@@ -106,47 +64,6 @@ INSPECTION_QUERIES: dict[str, Query] = {
 }
 
 
-# -- snapshots (T1, T2, K6) ------------------------------------------------------------
-
-AS_OF = "2000-01-01 00:00:00"
-
-
-def _orders_by_year(spark: SparkSession, sf_dir: str) -> str:
-    """Load the orders as one commit per order year (committed on 1 January
-    of the next year) into a new snapshot table; returns its root."""
-    root = scratch_path(spark, "orders_snapshots")
-    o = model(spark, sf_dir, "orders").withColumn("_year", F.year("order_date"))
-    years = [r._year for r in o.select("_year").distinct().collect()]
-    snapshots.backfill(spark, root, o, "_year", {y: f"{y + 1}-01-01 00:00:00" for y in years})
-    return root
-
-
-def orders_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The yearly-loaded orders counted as of ``AS_OF``."""
-    root = _orders_by_year(spark, sf_dir)
-    return snapshots.read_as_of(spark, root, AS_OF).agg(F.count(F.lit(1)).alias("row_count"))
-
-
-def orders_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The commit log of the yearly loads."""
-    root = _orders_by_year(spark, sf_dir)
-    return snapshots.history(spark, root).select("snapshot_id", "committed_at", "operation", "base_snapshot", "rows")
-
-
-def orders_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4: orders before 2000 committed first; later orders arrive with one
-    more column (the order priority).  The latest read has every order, with
-    null priority for the rows of the first commit."""
-    from ledgerline.sources.driver_tables import orders as driver_orders
-
-    root = scratch_path(spark, "orders_evolved")
-    o = driver_orders(spark, sf_dir, with_priority=True)  # one scan, no self-join
-    cut = F.col("order_date") < F.lit(datetime.date(2000, 1, 1))
-    snapshots.append(spark, root, o.filter(cut).drop("order_priority"), "2000-01-01 00:00:00")
-    snapshots.append(spark, root, o.filter(~cut), "2002-01-01 00:00:00")
-    return snapshots.read_as_of(spark, root)
-
-
 # -- quality (Q3, Q4, Q5) -------------------------------------------------------------------
 
 DRIVER_RELATIONS = [
@@ -175,125 +92,52 @@ def schema_check_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.schema_diff(spark, expected, read_raw(spark, sf_dir, "lineitem").schema)
 
 
-def land_lake(spark: SparkSession, sf_dir: str, tables=specs.TABLE_ORDER, granularity: str = "auto"):
-    """Generate the lake tables sized from the test data and land them
-    partitioned (four table jobs at a time); returns (root, sizes)."""
-    from ledgerline.sinks.land import land
-
-    root = scratch_path(spark, "lake")
-    sizes = driver_sizes(spark, sf_dir)
-    capped = {t: min(n, specs.ROW_CAPS.get(t, n)) for t, n in sizes.items()}
-    report = land(spark, root, sizes=capped, tables=list(tables), profile="lake", granularity=granularity,
-                  manifest=False, parallel=4)
-    failed = [r for r in report.collect() if not r.ok]
-    if failed:
-        raise RuntimeError(f"landing failed: {[(r.table, r.error) for r in failed]}")
-    return root, capped
-
-
-def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q5 (with Q1): land all seven lake tables, count what landed, compare with the plan."""
-    root, planned = land_lake(spark, sf_dir)
-    counts = quality.row_counts(lambda t: layout.read_table(spark, os.path.join(root, t)), specs.TABLE_ORDER)
-    return quality.completeness(spark, planned, counts)
-
-
-def _written_then_read(table: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root, _ = land_lake(spark, sf_dir, tables=[table])
-        return layout.read_table(spark, os.path.join(root, table), table, "lake")
-    return run
-
-
-ROUND_TRIP_TABLES = ("customers", "orders", "lineitem", "events", "suppliers")
-
+def customers_without_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 for a relation with misses: customers that no event names."""
+    relation = specs.Relation("customers", "customer_id", "events", "customer_id")
+    return quality.orphans(driver_tables(spark, sf_dir), relation)
 
-def written_then_read_lineitem_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The base profile's flat layout (one folder, Snappy Parquet), read back."""
-    root = scratch_path(spark, "base")
-    df = generated(spark, sf_dir, "lineitem", "base")
-    path = os.path.join(root, "lineitem")
-    layout.write_table(df, path, "lineitem", "base", layout="flat")
-    return layout.read_table(spark, path, "lineitem", "base")
 
 QUALITY_QUERIES: dict[str, Query] = {
-    "orders_as_of": orders_as_of,
-    "orders_history": orders_history,
-    "orders_evolved": orders_evolved,
     "orphans_all": orphans_all,
+    "customers_without_event": customers_without_event,
     "schema_check_lineitem": schema_check_lineitem,
-    "completeness": completeness,
-    **{f"written_then_read_{t}": _written_then_read(t) for t in ROUND_TRIP_TABLES},
-    "written_then_read_lineitem_base": written_then_read_lineitem_base,
 }
 
 
 # -- use cases (C1-C8) --------------------------------------------------------------------
 
 FUNNEL_STEPS = ["view", "click", "purchase"]
+# so long that not every customer arrives
+LONG_FUNNEL = ["signup", "view", "click", "purchase", "error"] * 4
 
 
 def _use(fn, **kw) -> Query:
     return lambda spark, sf_dir: fn(driver_tables(spark, sf_dir), **kw)
 
 
-def reorder_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C6 over generated inventory (the test data has no inventory table)."""
-    return usecases.reorder_alerts(lambda t: generated(spark, sf_dir, t, "lake"))
-
-
 USECASE_QUERIES: dict[str, Query] = {
     "segments": _use(usecases.segments),
+    "customer_tiles": _use(usecases.customer_tiles),
     "category_stats": _use(usecases.category_stats),
     "supplier_scorecard": _use(usecases.supplier_scorecard),
     "sales_by_month_status": _use(usecases.sales_by_month_status),
     "sales_by_month_status_wide": _use(usecases.sales_by_month_status_wide, statuses=["F", "O", "P"]),
     "top3_per_category": _use(usecases.top3_per_category),
-    "reorder_alerts": reorder_alerts,
     "sessions": _use(usecases.sessions),
     "funnel": _use(usecases.funnel, steps=FUNNEL_STEPS),
-}
-
-
-# -- the published corpus over generated lake tables ------------------------------------
-
-def lake_tables(spark: SparkSession, sf_dir: str) -> corpus.Tables:
-    return lambda name: generated(spark, sf_dir, name, "lake")
-
-
-def _lake(fn, **kw) -> Query:
-    return lambda spark, sf_dir: fn(lake_tables(spark, sf_dir), **kw)
-
-
-LAKE_QUERIES: dict[str, Query] = {
-    "lake_ltv_by_country_region": _lake(corpus.ltv_by_country_region),
-    "lake_top_products": _lake(corpus.top_products),
-    "lake_sales_by_country": _lake(corpus.sales_by_country, since="2023-01-01"),
-    "lake_revenue_by_category": _lake(corpus.revenue_by_category, since="2023-06-01"),
-    "lake_orders_without_customer": _lake(corpus.orders_without_customer),
-    "lake_recent_orders": _lake(corpus.recent_orders, since="2023-12-01"),
-    "lake_sales_by_month_status_wide": _lake(usecases.sales_by_month_status_wide, statuses=specs.ORDER_STATUSES),
+    "funnel_long": _use(usecases.funnel, steps=LONG_FUNNEL),
 }
 
 
 def all_queries() -> dict[str, Query]:
-    out: dict[str, Query] = {}
-    out.update(CORPUS_QUERIES)
-    out.update(GENERATOR_QUERIES)
-    out.update(INSPECTION_QUERIES)
-    out.update(QUALITY_QUERIES)
-    out.update(USECASE_QUERIES)
-    out.update(LAKE_QUERIES)
-    return out
+    """Every registered query reads rows of the given tables."""
+    return {**CORPUS_QUERIES, **INSPECTION_QUERIES, **QUALITY_QUERIES, **USECASE_QUERIES, **LAKE_QUERIES}
 
 
 def all_oracle_sql() -> dict[str, str]:
     from ledgerline.oracle.corpus_sql import CORPUS_SQL
     from ledgerline.oracle.extra_sql import EXTRA_SQL
-    from ledgerline.oracle.generators_sql import all_generator_sql
+    from ledgerline.oracle.lake_sql import LAKE_SQL
 
-    out: dict[str, str] = {}
-    out.update(CORPUS_SQL)
-    out.update(all_generator_sql())
-    out.update(EXTRA_SQL)
-    return out
+    return {name: sql for name, sql in {**CORPUS_SQL, **EXTRA_SQL, **LAKE_SQL}.items() if name in all_queries()}

@@ -8,10 +8,10 @@ published; the DataFrame plans in :mod:`ledgerline.plans.corpus` add total
 tie-break orders where a ``LIMIT`` needs one.
 
 The time-travel text (``... FOR SYSTEM_TIME AS OF '...'``) needs a table
-format connector; on plain Parquet use :func:`ledgerline.sinks.snapshots.read_as_of`.
+format connector, which is not available here.
 
 On a lake landed with coarsened date folders (``order_date_month`` or
-``order_date_year``, see ``layout.auto_layout``), a SQL filter on
+``order_date_year``), a SQL filter on
 ``order_date`` alone skips row groups by statistics but not folders; add
 the same bound on the folder column (``AND order_date_year >= DATE
 '2024-01-01'``) to prune folders, as the DataFrame plans do.

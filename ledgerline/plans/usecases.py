@@ -26,6 +26,13 @@ def segments(tables: Tables, k: int = 4) -> DataFrame:
             .withColumn("segment", F.col("segment").cast("bigint")))
 
 
+def customer_tiles(tables: Tables, k: int = 10) -> DataFrame:
+    """C1, per customer: the lifetime-value tile beside name and country."""
+    c = tables("customers").select("customer_id", "customer_name", "country", "lifetime_value")
+    tiled = global_ntile(c, ["lifetime_value", "customer_id"], k)
+    return tiled.withColumn("tile", F.col("tile").cast("bigint"))
+
+
 def category_stats(tables: Tables) -> DataFrame:
     """Per category: products, distinct brands, average/min/max price."""
     return (tables("products").groupBy("category")
@@ -82,8 +89,7 @@ def top3_per_category(tables: Tables, k: int = 3) -> DataFrame:
     li = tables("lineitem")
     revenue = li.groupBy("product_id").agg(revenue_sum(revenue_column(li)).alias("revenue"))
     p = tables("products").select("product_id", "product_name", "category")
-    ranked = top_k_per_group(revenue.join(p, "product_id"), ["category"],
-                             [F.desc("revenue"), F.asc("product_id")], k, salt_col="product_id")
+    ranked = top_k_per_group(revenue.join(p, "product_id"), ["category"], [F.desc("revenue"), F.asc("product_id")], k)
     return ranked.select("category", "rank", "product_id", "product_name", "revenue")
 
 

@@ -40,13 +40,16 @@ def build_session(master: str | None = None, app: str = "ledgerline",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and intermediate tables.
 
-    Taken from ``spark.checkpoint.dir``. Only when the session has none
-    (local runs and tests) a fresh local folder is made and registered.
+    Taken from ``spark.checkpoint.dir``. Only a local session without one
+    gets a fresh local folder (driver and tasks are one process there); on
+    any other master it is an error, as executors write to disks of their own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -59,18 +62,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def scale_conf(input_bytes: int, total_cores: int, max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, max_shuffle_partitions: int | None = None) -> dict[str, str]:
     """Settings for a job reading ``input_bytes`` on ``total_cores`` cores.
 
     - Scan splits of 256 MB: 100 TB become ~400K scan tasks.
     - AQE starts every shuffle with enough partitions for ~256 MB each
-      (at least two per core, at most ``max_shuffle_partitions`` so the
-      driver's map-status tracking stays small) and coalesces small ones
+      (at least two per core; ``max_shuffle_partitions`` bounds the count
+      for drivers that cannot track as many) and coalesces small ones
       at run time; skewed partitions of joins and rebalances are split.
     - Broadcast only below Spark's size check of 64 MB.
     """
     mb256 = 256 * 1024 * 1024
-    initial = min(max_shuffle_partitions, max(2 * total_cores, -(-input_bytes // mb256)))
+    initial = max(2 * total_cores, -(-input_bytes // mb256))
+    if max_shuffle_partitions is not None:
+        initial = min(initial, max_shuffle_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(mb256),
         "spark.sql.shuffle.partitions": str(initial),

@@ -2,13 +2,13 @@
 
 One Spark job per table; each job commits atomically, so a table is
 either fully written or not visible as written.  The report compares the
-planned rows with the rows counted while writing (no second scan).
+planned rows with the rows the landed files' footers state, so a task that ran
+twice counts once.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
 import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
@@ -23,24 +23,16 @@ REPORT_SCHEMA = ("table string, planned_rows bigint, actual_rows bigint, files b
                  "granularity string, seconds double, ok boolean, error string")
 
 
-def _files(spark: SparkSession, path: str) -> int:
-    from ledgerline.sources.catalog import list_files
-
-    try:
-        return list_files(spark, path).count()
-    except FileNotFoundError:
-        return 0
-
-
 def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: dict[str, int] | None = None,
          tables: list[str] | None = None, profile: str = "lake", layout_kind: str | None = None,
-         granularity: str = "auto", on_error: str = "stop", seed: int = DEFAULT_SEED, hash: str = "md5",
+         granularity: str = "day", on_error: str = "stop", seed: int = DEFAULT_SEED, hash: str = "md5",
          manifest: bool = True, buckets: dict[str, tuple[str, int]] | None = None,
          namespace: str | None = None, parallel: int = 1) -> DataFrame:
     """Generate the chosen tables and write them under ``root/<table>``.
 
-    Sizes come from ``size_gb`` (ratios, rows per GB and caps) or directly
-    from ``sizes``.  Unknown table names raise before any work.  With
+    Sizes come from ``size_gb`` (ratios and rows per GB) or directly from
+    ``sizes``.  The lake profile's folders are those of the published spec
+    unless ``granularity`` asks for coarser ones.  Unknown table names raise before any work.  With
     ``on_error="stop"`` the first failing table ends the run; with
     ``"continue"`` the others are still written.  The base profile lands
     flat folders, the lake profile partitioned ones (override with
@@ -64,7 +56,7 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
     for t in names:
         specs.spec(t)
     planned = ({p["table"]: p["rows"] for p in plan_rows(size_gb)} if size_gb is not None
-               else {t: min(n, specs.ROW_CAPS.get(t, n)) for t, n in sizes.items()})
+               else dict(sizes))
     kind = layout_kind or ("partitioned" if profile == "lake" else "flat")
     todo = [t for t in specs.TABLE_ORDER if t in names]
     stop = threading.Event()
@@ -79,9 +71,8 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
             if t in buckets:
                 rep = _write_bucketed(spark, df, path, t, profile, namespace, *buckets[t])
             else:
-                rep = layout.write_table(df, path, t, profile, layout=kind, granularity=granularity,
-                                         rows=planned[t])
-            row = (t, planned[t], rep["rows"], _files(spark, path), rep["granularity"],
+                rep = layout.write_table(df, path, t, profile, layout=kind, granularity=granularity)
+            row = (t, planned[t], rep["rows"], rep["files"], rep["granularity"],
                    round(time.perf_counter() - t0, 3), rep["rows"] == planned[t], None)
             return rep, row
         except Exception as e:  # noqa: BLE001 - recorded in the report
@@ -109,14 +100,11 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
 
 def _write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, profile: str, namespace: str,
                     key: str, n: int) -> dict:
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
     from ledgerline.sources.catalog import create_namespace
 
     create_namespace(spark, namespace)
-    obs = Observation(f"bucketed_{table}_{uuid.uuid4().hex[:8]}")
-    data = layout.conform(df, specs.spec(table).schema(profile)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    data = layout.conform(df, specs.spec(table).schema(profile))
     layout.write_bucketed(data, f"{namespace}.{table}", key, n, path)
-    return {"table": table, "path": path, "rows": obs.get["rows"], "partition_cols": [],
+    rows, files = layout.landed(spark, path)
+    return {"table": table, "path": path, "rows": rows, "files": files, "partition_cols": [],
             "granularity": f"bucket({n}, {key})"}

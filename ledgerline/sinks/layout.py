@@ -11,11 +11,9 @@ instead of landing in one, so no single task writes a third of a table.
 from __future__ import annotations
 
 import datetime as _dt
-import math
 import os
-import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,81 +21,23 @@ from ledgerline import specs
 
 LAYOUTS = ("partitioned", "flat")
 GRANULARITIES = ("day", "month", "year")
-TARGET_ROWS_PER_PARTITION = 1_000_000
-
-# Distinct values of the identity partition columns of generated tables.
-PARTITION_CARDINALITY = {
-    "country": len(specs.COUNTRIES),
-    "category": len(specs.CATEGORIES),
-    "event_type": len(specs.EVENT_TYPES),
-    "warehouse_location": len(specs.COUNTRIES),
-}
-# Days covered by each date partition column (the generator windows).
-DATE_SPAN_DAYS = {
-    ("customers", "registration_date"): 1461,
-    ("products", "created_date"): 1826,
-    ("orders", "order_date"): 730,
-    ("lineitem", "ship_date"): 730,
-    ("inventory", "last_updated_date"): 30,
-    ("events", "event_date"): 30,
-}
-_PER_UNIT_DAYS = {"day": 1, "month": 30.4, "year": 365.25}
-
-
-def _folders(table: str, cols: tuple[str, ...], granularity: str) -> int:
-    n = 1
-    for c in cols:
-        if (table, c) in DATE_SPAN_DAYS:
-            n *= max(1, math.ceil(DATE_SPAN_DAYS[(table, c)] / _PER_UNIT_DAYS[granularity]))
-        else:
-            n *= PARTITION_CARDINALITY.get(c, 20)
-    return n
-
 
-def auto_layout(table: str, rows: int, target_rows: int = TARGET_ROWS_PER_PARTITION) -> tuple[str, tuple[str, ...]]:
-    """The finest partitioning whose folders hold ``target_rows`` rows.
+def conform(df: DataFrame, schema: T.StructType, allow_extra: bool = False,
+            fill: tuple[str, ...] = ()) -> DataFrame:
+    """Project ``df`` onto ``schema``: cast and order.
 
-    Tries the table's partition columns (and every order-preserving subset)
-    at day, month and year granularity and keeps the layout with the most
-    folders that still meets the target; a table too small for any of them
-    is not partitioned.  At 100 TB lineitem keeps daily folders (tens of
-    millions of rows each); capped customers (10M rows) would get a few
-    hundred rows per country x day folder, so they get fewer folders.
-    """
-    from itertools import combinations
-
-    spec_cols = specs.spec(table).partition_cols
-    best: tuple[int, int, str, tuple[str, ...]] | None = None
-    for size in range(len(spec_cols), 0, -1):
-        for cols in combinations(spec_cols, size):
-            for g in GRANULARITIES:
-                n = _folders(table, cols, g)
-                if rows / n >= target_rows:
-                    cand = (n, len(cols), g, cols)
-                    if best is None or cand[:2] > best[:2]:
-                        best = cand
-    return (best[2], best[3]) if best else ("year", ())
-
-
-def granularity_for(table: str, rows: int, target_rows: int = TARGET_ROWS_PER_PARTITION) -> str:
-    """Date granularity of :func:`auto_layout` for the full partition spec."""
-    for g in GRANULARITIES:
-        if rows / _folders(table, specs.spec(table).partition_cols, g) >= target_rows:
-            return g
-    return "year"
-
-
-def conform(df: DataFrame, schema: T.StructType, allow_extra: bool = False) -> DataFrame:
-    """Project ``df`` onto ``schema``: cast, order, and add missing columns as null.
-
-    Columns not in the schema raise unless ``allow_extra`` (then they are
-    dropped).  Casts follow Spark's ANSI rules, so a value that does not fit
+    A column missing from ``df`` raises unless named in ``fill`` (then it
+    is null).  Columns not in the schema raise unless ``allow_extra`` (then
+    they are dropped).  Casts follow Spark's ANSI rules, so a value that does not fit
     fails the job instead of silently turning into a string or null.
     """
     have = {c.lower(): c for c in df.columns}
     extra = set(have) - {f.name.lower() for f in schema.fields}
     if extra and not allow_extra:
         raise ValueError(f"columns not in target schema: {sorted(extra)}")
+    missing = [f.name for f in schema.fields if f.name.lower() not in have and f.name not in fill]
+    if missing:
+        raise ValueError(f"columns missing from the data: {missing}")
     cols = []
     for f in schema.fields:
         src = have.get(f.name.lower())
@@ -106,8 +46,7 @@ def conform(df: DataFrame, schema: T.StructType, allow_extra: bool = False) -> D
     return df.select(*cols)
 
 
-def partition_columns(table: str, granularity: str = "day",
-                      keep: tuple[str, ...] | None = None) -> tuple[list[str], dict]:
+def partition_columns(table: str, granularity: str = "day") -> tuple[list[str], dict]:
     """Partition columns of a table and any derived columns they need.
 
     ``granularity="month"`` (``"year"``) replaces each ``*_date`` partition
@@ -119,8 +58,6 @@ def partition_columns(table: str, granularity: str = "day",
         raise ValueError(f"unknown granularity {granularity!r}; expected one of {GRANULARITIES}")
     cols, derived = [], {}
     for c in specs.spec(table).partition_cols:
-        if keep is not None and c not in keep:
-            continue
         if granularity != "day" and c.endswith("_date"):
             name = f"{c}_{granularity}"
             derived[name] = F.trunc(F.col(c), granularity)
@@ -130,12 +67,11 @@ def partition_columns(table: str, granularity: str = "day",
     return cols, derived
 
 
-def clustered(df: DataFrame, table: str, granularity: str = "day",
-              keep: tuple[str, ...] | None = None) -> tuple[DataFrame, list[str]]:
+def clustered(df: DataFrame, table: str, granularity: str = "day") -> tuple[DataFrame, list[str]]:
     """Cluster rows for a partitioned write (W7): rebalance on the partition
     columns, then sort each task's rows by partition and sort columns."""
     ts = specs.spec(table)
-    pcols, derived = partition_columns(table, granularity, keep)
+    pcols, derived = partition_columns(table, granularity)
     for name, expr in derived.items():
         df = df.withColumn(name, expr)
     missing = [c for c in pcols + list(ts.sort_cols) if c not in df.columns]
@@ -169,18 +105,16 @@ def date_at_least(df: DataFrame, column: str, since) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", layout: str = "partitioned",
-                mode: str = "overwrite", granularity: str = "day", rows: int | None = None,
-                max_records_per_file: int | None = 5_000_000, replace: str = "table",
-                observe: bool = True) -> dict:
+                mode: str = "overwrite", granularity: str = "day",
+                max_records_per_file: int | None = 5_000_000, replace: str = "table") -> dict:
     """Land one table as Snappy Parquet.
 
     ``layout="flat"`` is the base profile's one-folder layout;
     ``"partitioned"`` uses the table's partition spec; ``granularity``
     ``"day"`` is the published spec, ``"month"``/``"year"`` coarsen the date
-    folders, and ``"auto"`` picks columns and granularity from the planned
-    ``rows`` (:func:`auto_layout`).  ``replace="partitions"`` overwrites only the partitions
+    folders on request; neither depends on the table's size.  ``replace="partitions"`` overwrites only the partitions
     present in ``df`` (a partial re-run); the default replaces the table.
-    Returns a report row with the rows written, counted while writing.
+    Returns a report row with the rows that ``path`` holds afterwards.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}; expected one of {LAYOUTS}")
@@ -188,14 +122,8 @@ def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", lay
         raise ValueError("mode must be 'overwrite' or 'append'")
     if replace not in ("table", "partitions"):
         raise ValueError("replace must be 'table' or 'partitions'")
-    keep = None
-    if granularity == "auto":
-        granularity, keep = auto_layout(table, rows) if rows is not None else ("day", None)
     df = conform(df, specs.spec(table).schema(profile))
-    obs = Observation(f"write_{table}_{uuid.uuid4().hex[:8]}") if observe else None
-    if obs is not None:
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer_df, pcols = (clustered(df, table, granularity, keep) if layout == "partitioned"
+    writer_df, pcols = (clustered(df, table, granularity) if layout == "partitioned"
                         else (df.sortWithinPartitions(*specs.spec(table).sort_cols), []))
     w = writer_df.write.mode(mode).option("compression", "snappy")
     w = w.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
@@ -204,9 +132,16 @@ def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", lay
     if pcols:
         w = w.partitionBy(*pcols)
     w.parquet(path)
-    written = obs.get["rows"] if obs is not None else None
+    written, files = landed(df.sparkSession, path)
     kind = granularity if pcols else ("unpartitioned" if layout == "partitioned" else "flat")
-    return {"table": table, "path": path, "rows": written, "partition_cols": pcols, "granularity": kind}
+    return {"table": table, "path": path, "rows": written, "files": files, "partition_cols": pcols, "granularity": kind}
+
+
+def landed(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(rows, data files) of a landed folder.  Rows come from the files'
+    footers (a count without columns), files from Spark's own listing."""
+    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    return df.count(), len(df.inputFiles())
 
 
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int = 100, path: str | None = None,
@@ -229,12 +164,15 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int = 100, path:
 
 
 def read_table(spark: SparkSession, path: str, table: str | None = None, profile: str = "lake") -> DataFrame:
-    """Read a landed table; with ``table`` the declared schema is enforced."""
+    """Read a landed table; with ``table`` the declared schema is enforced: a
+    missing column raises, and so does one that neither the schema nor a
+    coarsened date folder accounts for."""
     r = spark.read.option("pathGlobFilter", "*.parquet")
     df = r.parquet(path)
     if table:
         schema = specs.spec(table).schema(profile)
-        df = conform(df, schema, allow_extra=True)
+        folders = {f"{c}_{g}" for c in specs.spec(table).partition_cols for g in ("month", "year")}
+        df = conform(df.drop(*(folders - set(schema.fieldNames()))), schema)
     return df
 
 

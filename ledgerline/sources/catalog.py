@@ -43,8 +43,8 @@ def peek(spark: SparkSession, path: str, n: int = 5, suffix: str = ".parquet") -
     Partition columns of a partitioned table are not in the files and are
     not shown.
     """
-    first_path = list_files(spark, path, suffix).agg(F.min("path")).first()[0]
-    first = spark.read.parquet(first_path)
+    files = spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").parquet(path).inputFiles()
+    first = spark.read.parquet(min(files))
     return first.orderBy(*first.columns).limit(n)
 
 
@@ -67,11 +67,10 @@ def list_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> Data
     published inspector does.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
-             .option("recursiveFileLookup", "true").load(path)
-             .select("path", "length", F.col("modificationTime").alias("modification_time")))
-    if files.isEmpty():
+             .option("recursiveFileLookup", "true").load(path))
+    if not files.inputFiles():  # the reader's listing: no job
         raise FileNotFoundError(f"no *{suffix} files under {path}")
-    return files
+    return files.select("path", "length", F.col("modificationTime").alias("modification_time"))
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
@@ -136,8 +135,9 @@ def insert(df: DataFrame, name: str, overwrite: bool = False) -> None:
     partition columns last, so the frame is reordered first."""
     target = df.sparkSession.table(name).columns
     missing = [c for c in target if c not in df.columns]
-    if missing:
-        raise ValueError(f"columns missing for {name}: {missing}")
+    extra = [c for c in df.columns if c not in target]
+    if missing or extra:
+        raise ValueError(f"columns missing for {name}: {missing}; columns it does not have: {extra}")
     df.select(*target).write.insertInto(name, overwrite=overwrite)
 
 
@@ -155,18 +155,27 @@ def register_lake(spark: SparkSession, root: str, namespace: str, tables: list[s
                   catalog: str = "spark_catalog") -> list[str]:
     """Register landed tables (``root/<table>``) as catalog tables ``catalog.namespace.table``.
 
+    Any file system that Spark reads will do.  Without ``tables`` those of
+    the model that are there are registered; a table asked for by name that
+    is not there raises, as does a root without any.
     Schema and partition columns are read from the files; partition folders
     are recovered, so partition pruning works through SQL as well.  Returns
     the three-part names.  Re-registering replaces the table entries, never
     the data (the tables are external).
     """
-    import os
+    from pyspark.errors import AnalysisException
 
     create_namespace(spark, namespace, catalog)
     names = []
     for t in tables or specs.TABLE_ORDER:
-        path = os.path.join(root, t)
-        if not os.path.isdir(path) and not path.startswith(("s3a:", "gs:", "abfs:", "hdfs:")):
+        path = f"{root.rstrip('/')}/{t}"
+        try:  # Spark's reader asks the path's own file system
+            spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            if tables:
+                raise FileNotFoundError(f"no landed table at {path}") from e
             continue
         name = f"{catalog}.{namespace}.{t}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -174,6 +183,8 @@ def register_lake(spark: SparkSession, root: str, namespace: str, tables: list[s
         if any(c.isPartition for c in spark.catalog.listColumns(f"{namespace}.{t}")):
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         names.append(name)
+    if not names:
+        raise FileNotFoundError(f"no landed table under {root}")
     return names
 
 

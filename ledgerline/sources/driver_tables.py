@@ -23,7 +23,7 @@ def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_raw(spark, sf_dir, "nation")
     region = read_raw(spark, sf_dir, "region")
-    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
             .select("n_nationkey", F.col("n_name").alias("country"), F.col("r_name").alias("region")))
 
 
@@ -47,19 +47,31 @@ def net_micros(price: str = "l_extendedprice", discount: str = "l_discount", tax
     return hundredths(price) * (F.lit(100) - hundredths(discount)) * (F.lit(100) + hundredths(tax))
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+GEOGRAPHY = {"country", "region"}
+
+
+def customers(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """A customer without a nation keeps a null country.  Nation and region are
+    joined only when one of their columns is asked for."""
     c = read_raw(spark, sf_dir, "customer")
-    return (c.join(_geo(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
-            .select(F.col("c_custkey").alias("customer_id"),
+    if columns is not None and not GEOGRAPHY & set(columns):
+        c = c.select("*", F.lit(None).cast("string").alias("country"), F.lit(None).cast("string").alias("region"))
+    else:
+        c = c.join(_geo(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"), "left")
+    return (c.select(F.col("c_custkey").alias("customer_id"),
                     F.col("c_name").alias("customer_name"),
                     "country", "region",
                     F.col("c_acctbal").alias("lifetime_value")))
 
 
-def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def suppliers(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """As for customers."""
     s = read_raw(spark, sf_dir, "supplier")
-    return (s.join(_geo(spark, sf_dir), s.s_nationkey == F.col("n_nationkey"))
-            .select(F.col("s_suppkey").alias("supplier_id"),
+    if columns is not None and not GEOGRAPHY & set(columns):
+        s = s.select("*", F.lit(None).cast("string").alias("country"), F.lit(None).cast("string").alias("region"))
+    else:
+        s = s.join(_geo(spark, sf_dir), s.s_nationkey == F.col("n_nationkey"), "left")
+    return (s.select(F.col("s_suppkey").alias("supplier_id"),
                     F.col("s_name").alias("supplier_name"),
                     "country", "region",
                     F.col("s_acctbal").alias("account_balance")))
@@ -118,11 +130,14 @@ MODEL_VIEWS = {
 }
 
 
-def model(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    try:
+def model(spark: SparkSession, sf_dir: str, table: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """A table of the model, or those ``columns`` of it."""
+    if table not in MODEL_VIEWS:
+        raise ValueError(f"no driver mapping for {table!r}; have {sorted(MODEL_VIEWS)}")
+    if columns is None:
         return MODEL_VIEWS[table](spark, sf_dir)
-    except KeyError:
-        raise ValueError(f"no driver mapping for {table!r}; have {sorted(MODEL_VIEWS)}") from None
+    df = MODEL_VIEWS[table](spark, sf_dir, columns) if table in ("customers", "suppliers") else MODEL_VIEWS[table](spark, sf_dir)
+    return df.select(*columns)
 
 
 def register_model_views(spark: SparkSession, sf_dir: str) -> None:

@@ -105,3 +105,27 @@ def test_peek_reads_one_file(spark, tmp_root):
     assert rows == sorted(rows, key=lambda r: (r.id, r.g))
     with pytest.raises(FileNotFoundError):
         catalog.peek(spark, path, 3, suffix=".csv")
+
+
+def test_register_lake_on_any_path(spark, tmp_root):
+    spark.range(30).selectExpr("id AS customer_id", "'x' AS country").write.parquet(os.path.join(tmp_root, "lake", "customers"))
+    for root in (os.path.join(tmp_root, "lake"), f"file://{tmp_root}/lake", f"file:{tmp_root}/lake/"):
+        assert catalog.register_lake(spark, root, "anyfs") == ["spark_catalog.anyfs.customers"]
+        assert spark.sql("SELECT count(*) AS n FROM spark_catalog.anyfs.customers").first().n == 30
+    with pytest.raises(FileNotFoundError):
+        catalog.register_lake(spark, root, "anyfs", tables=["orders"])
+    with pytest.raises(FileNotFoundError):
+        catalog.register_lake(spark, os.path.join(tmp_root, "absent"), "anyfs")
+    spark.sql("DROP TABLE spark_catalog.anyfs.customers")
+
+
+def test_insert_refuses_missing_and_extra_columns(spark, tmp_root):
+    spark.sql(f"CREATE TABLE ins (a int, b string) USING parquet LOCATION '{tmp_root}/ins'")
+    try:
+        for ddl, row in (("a int", (1,)), ("a int, b string, c int", (1, "x", 2))):
+            with pytest.raises(ValueError):
+                catalog.insert(spark.createDataFrame([row], ddl), "ins")
+        catalog.insert(spark.createDataFrame([("x", 1)], "b string, a int"), "ins")
+        assert tuple(spark.table("ins").first()) == (1, "x")
+    finally:
+        spark.sql("DROP TABLE ins")

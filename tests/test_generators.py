@@ -175,9 +175,21 @@ def test_plan_rows_partitions(spark):
     assert lake["lineitem"]["partitions"] == 120  # 60M rows in 500K-row chunks
 
 
-def test_even_dates_refuse_overflowing_sizes(spark):
+def test_even_dates_of_any_size(spark):
     from ledgerline.functions.draws import even_date
 
-    even_date("id", 60_000_000_000, "2022-01-01", "2024-01-01")  # 100 TB plan: fits
-    with pytest.raises(ValueError):
-        even_date("id", 200_000_000_000, "2022-01-01", "2024-01-01")
+    start, span = dt.date(2022, 1, 1), 730 * 86400
+    for n in (1, 2, 1000, 60_000_000_000, 200_000_000_000, 10**12):
+        ids = sorted({1, 2, n // 3 + 1, n // 2 + 1, n - 1 or 1, n})
+        got = spark.createDataFrame([(i,) for i in ids], "id long").select("id", even_date("id", n, "2022-01-01", "2024-01-01").alias("d")).collect()
+        assert {r.id: r.d for r in got} == {i: start + dt.timedelta(days=(i - 1) * span // max(n - 1, 1) // 86400) for i in ids}
+
+
+def test_rows_asked_for_are_made_and_keys_resolve(spark):
+    """No row caps: 30M customers are planned as 30M, and orders point at any of them."""
+    sizes = {"customers": 30_000_000, "orders": 2000}
+    assert generate(spark, "customers", sizes["customers"], sizes).count() == 30_000_000
+    plan = {p["table"]: p["rows"] for p in plan_rows(10_000)}
+    assert plan["customers"] == 500_000_000 and plan["products"] == 300_000_000 and plan["suppliers"] == 200_000_000
+    lo, hi = generate(spark, "orders", 2000, sizes).agg(F.min("customer_id"), F.max("customer_id")).first()
+    assert 1 <= lo and 25_000_000 < hi <= 30_000_000

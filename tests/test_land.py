@@ -18,7 +18,7 @@ SIZES = {"customers": 200, "products": 100, "suppliers": 10, "orders": 800, "lin
 
 @pytest.mark.parametrize("profile", ["lake", "base"])
 def test_land_report_manifest_and_queries(spark, tmp_root, profile):
-    rep = {r.table: r for r in land(spark, tmp_root, sizes=SIZES, profile=profile).collect()}
+    rep = {r.table: r for r in land(spark, tmp_root, sizes=SIZES, profile=profile, granularity="year").collect()}
     assert set(rep) == set(SIZES)
     assert all(r.ok and r.actual_rows == SIZES[t] and r.files >= 1 for t, r in rep.items())
     m = layout.read_manifest(spark, tmp_root)
@@ -28,7 +28,8 @@ def test_land_report_manifest_and_queries(spark, tmp_root, profile):
     top = corpus.top_products(tables).collect()
     assert 0 < len(top) <= 20
     if profile == "lake":
-        assert rep["customers"].granularity == "unpartitioned"  # 200 rows: too small for folders
+        assert rep["customers"].granularity == "year"
+        assert set(os.listdir(os.path.join(tmp_root, "suppliers"))) > {d for d in os.listdir(os.path.join(tmp_root, "suppliers")) if d.startswith("country=")}
         since = corpus.sales_by_country(tables, since="2023-01-01")
         assert since.agg(F.sum("order_count")).first()[0] == \
             tables("orders").filter(F.col("order_date") >= "2023-01-01").count()
@@ -51,10 +52,10 @@ def test_land_rejects_bad_arguments(spark, tmp_root):
 
 def test_land_stops_or_continues_on_failure(spark, tmp_root):
     broken = {k: v for k, v in SIZES.items() if k != "suppliers"}  # products need the supplier count
-    rep = land(spark, tmp_root, sizes=broken, tables=["customers", "products", "orders"], manifest=False).collect()
+    rep = land(spark, tmp_root, sizes=broken, tables=["customers", "products", "orders"], granularity="year", manifest=False).collect()
     assert [(r.table, r.ok) for r in rep] == [("customers", True), ("products", False)]
     assert "suppliers" in rep[1].error
-    rep = land(spark, tmp_root, sizes=broken, tables=["customers", "products", "orders"], on_error="continue",
+    rep = land(spark, tmp_root, sizes=broken, tables=["customers", "products", "orders"], granularity="year", on_error="continue",
                manifest=False).collect()
     assert [(r.table, r.ok) for r in rep] == [("customers", True), ("products", False), ("orders", True)]
 
@@ -62,7 +63,7 @@ def test_land_stops_or_continues_on_failure(spark, tmp_root):
 def test_every_plan_runs_on_a_landed_lake(spark, tmp_root):
     from ledgerline.plans import usecases
 
-    land(spark, tmp_root, sizes=SIZES, profile="lake", manifest=False)
+    land(spark, tmp_root, sizes=SIZES, profile="lake", granularity="year", manifest=False)
     tables = lambda t: layout.read_table(spark, os.path.join(tmp_root, t))
     plans = [
         corpus.ltv_by_country_region(tables), corpus.top_products(tables), corpus.count_rows(tables, "orders"),
@@ -110,11 +111,11 @@ def test_land_bucketed_join_tables(spark, tmp_root):
 
 
 def test_land_in_parallel_matches_sequential(spark, tmp_root):
-    rep = land(spark, tmp_root, sizes=SIZES, profile="lake", parallel=4, manifest=False).collect()
+    rep = land(spark, tmp_root, sizes=SIZES, profile="lake", granularity="year", parallel=4, manifest=False).collect()
     assert [r.table for r in rep] == list(specs_order())
     assert all(r.ok for r in rep)
     broken = {k: v for k, v in SIZES.items() if k != "suppliers"}
-    rep = land(spark, tmp_root, sizes=broken, tables=["customers", "products", "orders"], parallel=3,
+    rep = land(spark, tmp_root, sizes=broken, tables=["customers", "products", "orders"], granularity="year", parallel=3,
                on_error="continue", manifest=False).collect()
     assert [(r.table, r.ok) for r in rep] == [("customers", True), ("products", False), ("orders", True)]
 

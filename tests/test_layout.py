@@ -55,7 +55,7 @@ def test_projection_and_filter_reach_the_scan(spark, tmp_root):
     assert "ReadSchema: struct<order_id:bigint,quantity:int,net_amount:decimal(12,2)>" in plan
 
 
-def test_month_and_auto_granularity(spark, tmp_root):
+def test_month_granularity(spark, tmp_root):
     df = generate(spark, "orders", SIZES["orders"], SIZES)
     path = os.path.join(tmp_root, "orders_m")
     rep = layout.write_table(df, path, "orders", granularity="month")
@@ -63,11 +63,6 @@ def test_month_and_auto_granularity(spark, tmp_root):
     sub = _dirs(os.path.join(path, _dirs(path)[0]))
     assert all(d.startswith("order_date_month=") and d.endswith("-01") for d in sub)
     assert layout.read_table(spark, path, "orders").count() == SIZES["orders"]
-    # Volume decides: lineitem at 100 TB (60B rows) keeps daily folders,
-    # capped customers (10M rows) do not.
-    assert layout.granularity_for("lineitem", 60_000_000_000) == "day"
-    assert layout.granularity_for("customers", 10_000_000) == "year"
-    assert layout.granularity_for("orders", 500_000_000) == "month"  # 14 x 24 folders of ~1.5M rows
     with pytest.raises(ValueError):
         layout.write_table(df, path, "orders", granularity="week")
 
@@ -99,20 +94,23 @@ def test_overwrite_replaces_and_partition_rerun(spark, tmp_root):
     assert layout.read_table(spark, path).count() == one_type.count()
 
 
-def test_conform_casts_orders_and_fills(spark):
+def test_conform_casts_orders_and_fills_by_name_only(spark):
     schema = specs.spec("inventory").schema("lake")
     raw = spark.createDataFrame([(1, 2, 3, "US", 5, 6, 7, 8, 9.999)],
                                 "inventory_id long, supplier_id long, product_id long, warehouse_location string, "
                                 "quantity_on_hand long, quantity_allocated long, reorder_point long, "
                                 "reorder_quantity long, unit_cost double")
-    out = layout.conform(raw, schema)
+    with pytest.raises(ValueError, match="missing"):
+        layout.conform(raw, schema)
+    absent = tuple(c for c in schema.fieldNames() if c not in raw.columns)
+    out = layout.conform(raw, schema, fill=absent)
     assert out.columns == schema.fieldNames()
     row = out.first()
     assert row.unit_cost == __import__("decimal").Decimal("10.00")
     assert row.last_updated is None and row.created_at is None
     with pytest.raises(ValueError):
-        layout.conform(raw.withColumn("extra", F.lit(1)), schema)
-    assert layout.conform(raw.withColumn("extra", F.lit(1)), schema, allow_extra=True).columns == schema.fieldNames()
+        layout.conform(raw.withColumn("extra", F.lit(1)), schema, fill=absent)
+    assert layout.conform(raw.withColumn("extra", F.lit(1)), schema, allow_extra=True, fill=absent).columns == schema.fieldNames()
 
 
 def test_missing_partition_column_raises(spark, tmp_root):
@@ -151,17 +149,13 @@ def test_manifest_round_trip(spark, tmp_root):
     assert back["chunk_size"] == 1_000_000 and back["table_rows"] == {"orders": 10, "lineitem": 40}
 
 
-def test_auto_layout_follows_volume(spark, tmp_root):
-    assert layout.auto_layout("lineitem", 60_000_000_000) == ("day", ("ship_date",))
-    assert layout.auto_layout("events", 20_000_000_000) == ("day", ("event_date", "event_type"))
-    assert layout.auto_layout("customers", 10_000_000) == ("year", ("registration_date",))
-    assert layout.auto_layout("suppliers", 100_000) == ("year", ())  # too small to partition
-    df = generate(spark, "suppliers", 500, SIZES)
-    path = os.path.join(tmp_root, "s")
-    rep = layout.write_table(df, path, "suppliers", granularity="auto", rows=500)
-    assert rep["partition_cols"] == [] and rep["rows"] == 500
-    assert not [d for d in _dirs(path) if "=" in d]
-    assert layout.read_table(spark, path, "suppliers").count() == 500
+def test_layout_does_not_depend_on_size(spark, tmp_root):
+    for rows in (20, 500):
+        path = os.path.join(tmp_root, f"s{rows}")
+        rep = layout.write_table(generate(spark, "suppliers", rows, SIZES), path, "suppliers")
+        assert rep["partition_cols"] == ["country", "established_year"] and rep["rows"] == rows
+        assert all(d.startswith("country=") for d in _dirs(path))
+        assert layout.read_table(spark, path, "suppliers").count() == rows
 
 
 def test_top_products_on_bucketed_tables_skips_the_big_shuffle(spark, tmp_root):
@@ -173,7 +167,7 @@ def test_top_products_on_bucketed_tables_skips_the_big_shuffle(spark, tmp_root):
         spark.sql(f"DROP TABLE IF EXISTS bk_{t}")
         layout.write_bucketed(generate(spark, t, sizes[t], sizes), f"bk_{t}", "order_id", 8,
                               os.path.join(tmp_root, f"bk_{t}"))
-    # At 100 TB orders are far above any broadcast size; capped products (1M rows) are not.
+    # At 100 TB orders are far above any broadcast size; the products are not.
     products = F.broadcast(generate(spark, "products", sizes["products"], sizes))
     tables = {"orders": spark.table("bk_orders"), "lineitem": spark.table("bk_lineitem"), "products": products}
     spark.conf.set("spark.sql.adaptive.enabled", "false")

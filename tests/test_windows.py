@@ -58,8 +58,18 @@ def test_global_ntile_and_row_number(spark):
     rn = windows.global_row_number(df, ["v", "id"], num_partitions=6)
     exp_rn = spark.sql("SELECT id, row_number() OVER (ORDER BY v, id) AS row_number FROM nt")
     assert rn.select("id", "row_number").exceptAll(exp_rn).count() == 0
-    plan = rn._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in plan
+
+
+@pytest.mark.parametrize("partitions", [3, 8, 50])
+def test_row_number_with_a_payload_on_many_rows(spark, partitions):
+    """Two million rows, ties, nulls and a column beside the sort key: every number once, in order."""
+    df = spark.range(2_000_000).select(
+        F.when(F.col("id") % 1000 > 0, F.pmod(F.xxhash64("id"), F.lit(5000)).cast("double")).alias("v"), "id", F.concat(F.lit("payload "), "id").alias("name"))
+    rn = windows.global_row_number(df, ["v", "id"], num_partitions=partitions)
+    checks = rn.agg(F.countDistinct("row_number"), F.min("row_number"), F.max("row_number"), F.countDistinct("name")).first()
+    assert tuple(checks) == (2_000_000, 1, 2_000_000, 2_000_000)
+    exact = df.selectExpr("id", "row_number() OVER (ORDER BY v, id) AS want")
+    assert rn.join(exact, "id").filter("row_number <> want").count() == 0
 
 
 def test_ntile_small_inputs(spark):
@@ -76,7 +86,7 @@ def test_top_k_equals_row_number(spark):
     df.createOrReplaceTempView("tk")
     expected = spark.sql("""SELECT id, g, rank FROM (SELECT id, g, row_number() OVER (PARTITION BY g
                             ORDER BY v DESC, id) AS rank FROM tk) WHERE rank <= 3""")
-    got = windows.top_k_per_group(df, ["g"], [F.desc("v"), F.asc("id")], 3, salt_buckets=16)
+    got = windows.top_k_per_group(df, ["g"], [F.desc("v"), F.asc("id")], 3)
     assert got.select("id", "g", F.col("rank").cast("int")).exceptAll(expected).count() == 0
     assert got.count() == expected.count()
 
@@ -95,6 +105,31 @@ def test_funnel_requires_order(spark):
     assert got == {"view": 3, "click": 2, "purchase": 1}
 
 
+def test_funnel_equals_sql_with_a_hot_user(spark, skewed_events):
+    steps = ["view", "click", "purchase", "click", "view"] * 5
+    skewed_events.createOrReplaceTempView("fe")
+    ctes = ["r1 AS (SELECT customer_id, min(event_timestamp) AS at FROM fe WHERE event_type = 'view' GROUP BY 1)"]
+    for i, step in enumerate(steps[1:], start=2):
+        ctes.append(f"r{i} AS (SELECT e.customer_id, min(event_timestamp) AS at FROM fe e JOIN r{i - 1} p ON e.customer_id = p.customer_id "
+                    f"WHERE event_type = '{step}' AND event_timestamp >= at GROUP BY 1)")
+    want = [r[0] for i in range(1, len(steps) + 1) for r in spark.sql("WITH " + ", ".join(ctes[:i]) + f" SELECT count(*) FROM r{i}").collect()]
+    got = usecases.funnel(lambda _: skewed_events, steps).orderBy("step_no").collect()
+    assert [r.users for r in got] == want and want[0] == 30 and want[-1] < want[0]
+
+
+def test_funnel_reads_events_once_and_splits_users(spark, tmp_root, skewed_events):
+    skewed_events.write.parquet(f"{tmp_root}/ev")
+    out = usecases.funnel(lambda _: spark.read.parquet(f"{tmp_root}/ev"), ["view", "click", "purchase"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    scan = plan[:plan.index("FileScan")]
+    assert "hashpartitioning(_user" in scan and scan[scan.rindex("hashpartitioning("):].split(")")[0].count("#") == 2  # by user and time
+
+
 def test_sessions_use_case_on_boundary(spark):
     t = dt.datetime(2024, 1, 1)
     rows = [(1, 1, t), (2, 1, t + dt.timedelta(minutes=30)), (3, 1, t + dt.timedelta(minutes=60, seconds=1))]
