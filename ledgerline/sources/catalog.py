@@ -43,8 +43,7 @@ def peek(spark: SparkSession, path: str, n: int = 5, suffix: str = ".parquet") -
     Partition columns of a partitioned table are not in the files and are
     not shown.
     """
-    files = spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").parquet(path).inputFiles()
-    first = spark.read.parquet(min(files))
+    first = spark.read.parquet(min(_listing(spark, path, suffix).inputFiles()))
     return first.orderBy(*first.columns).limit(n)
 
 
@@ -66,11 +65,15 @@ def list_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> Data
     file contents are not read.  Raises when nothing matches, as the
     published inspector does.
     """
+    return _listing(spark, path, suffix).select("path", "length", F.col("modificationTime").alias("modification_time"))
+
+
+def _listing(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
              .option("recursiveFileLookup", "true").load(path))
-    if not files.inputFiles():  # the reader's listing: no job
+    if not files.inputFiles():  # the reader's own listing: no job
         raise FileNotFoundError(f"no *{suffix} files under {path}")
-    return files.select("path", "length", F.col("modificationTime").alias("modification_time"))
+    return files
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:

@@ -133,12 +133,12 @@ def test_base_emails_use_row_id(spark):
     assert p.select("description").distinct().count() == 200
 
 
-def test_plan_rows_caps_and_ratios():
+def test_plan_rows_ratios():
     plan = {p["table"]: p for p in plan_rows(1000)}
     assert plan["lineitem"]["rows"] == 600_000_000
     assert plan["events"]["rows"] == 200_000_000
     assert plan["orders"]["rows"] == 80_000_000
-    assert plan["customers"]["target_rows"] == 50_000_000 and plan["customers"]["rows"] == 10_000_000
+    assert plan["customers"]["target_rows"] == 50_000_000 and plan["customers"]["rows"] == 50_000_000
     assert plan["products"]["rows"] == 1_000_000
     assert plan["suppliers"]["rows"] == 100_000
     assert plan["inventory"]["rows"] == 20_000_000
@@ -170,7 +170,7 @@ def test_plan_rows_partitions(spark):
     from ledgerline.operators.generate import plan_rows_df
 
     plan = {r.table: r for r in plan_rows_df(spark, 1000, profile="base").collect()}
-    assert plan["lineitem"].partitions == 600 and plan["suppliers"].partitions == 1
+    assert plan["lineitem"].partitions == 600 and plan["suppliers"].partitions == 20
     lake = {p["table"]: p for p in plan_rows(100)}
     assert lake["lineitem"]["partitions"] == 120  # 60M rows in 500K-row chunks
 
