@@ -71,3 +71,25 @@ def test_stage_on_an_empty_table(spark, stage):
 
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
     assert pipeline.STAGES[stage][1](spark, docs, SF_SMALL).count() == 0
+
+
+def test_exact_stage_keeps_one_row_a_group(spark):
+    import corpus_pipeline as pipeline
+
+    rows = [(1, "a b", "en", "s", 3), (2, "A b", "en", "s", 3), (2, "A b", "en", "s", 3), (3, "c", None, None, 1), (None, "d", "x", "s", 1), (None, "c", "x", "s", 1), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [tuple(r) for r in dict(pipeline.STAGES)["exact"](spark, docs, SF_SMALL).collect()]
+    assert sorted(got, key=str) == sorted([rows[1], rows[3], rows[4], rows[6]], key=str)
+
+
+def test_entry_without_the_subpackage(tmp_path):
+    """The entry module works when this folder and the pipeline are gone."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    shutil.copytree(os.path.join(root, "ledgerline"), tmp_path / "ledgerline", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    code = "import __spark_entry__ as e; assert 'top_products' in e.queries() and 'pipeline' not in e.queries() and not [q for q in e.oracle_sql() if q.startswith('op')]"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
