@@ -285,8 +285,9 @@ def test_components(spark, percent):
 
 
 def test_components_of_chains_and_hot_groups(spark, monkeypatch):
-    """Copies that are only similar to their neighbours, signatures dealt over tasks, and small sets."""
+    """Copies that are only similar to their neighbours, signatures dealt over tasks, small blocks, and small sets."""
     monkeypatch.setattr(ngram_join, "HOT_SHARE", 0.0)
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
     rng = random.Random(8)
     w = [f"v{i}" for i in range(70)]
     own = []
@@ -325,6 +326,18 @@ def test_similar_sets_share_a_signature():
                 assert np.intersect1d(bands.signatures(x), bands.signatures(y)).size
 
 
+def test_sketches_never_hide_a_similar_pair():
+    rng = np.random.default_rng(1)
+    for size in (1, 7, 60, 600, 3000):
+        x = rng.integers(0, 2**63, size, dtype=np.uint64)
+        for swap in {0, 1, size // 20, size // 8, size // 2}:
+            y = np.concatenate([x[swap:], rng.integers(0, 2**63, 2 * swap, dtype=np.uint64)])
+            a, b = ngram_join.sketch(x), ngram_join.sketch(y)
+            width = min(len(a), len(b))
+            cells = ngram_join._same_cells([a, b], width)
+            assert np.bitwise_count(cells[0] ^ cells[1]).sum() <= 3 * swap
+
+
 # -- 7 decontamination
 
 
