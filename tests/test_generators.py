@@ -139,11 +139,11 @@ def test_plan_rows_ratios():
     assert plan["events"]["rows"] == 200_000_000
     assert plan["orders"]["rows"] == 80_000_000
     assert plan["customers"]["target_rows"] == 50_000_000 and plan["customers"]["rows"] == 50_000_000
-    assert plan["products"]["rows"] == 1_000_000
-    assert plan["suppliers"]["rows"] == 100_000
+    assert plan["products"]["rows"] == 30_000_000
+    assert plan["suppliers"]["rows"] == 20_000_000
     assert plan["inventory"]["rows"] == 20_000_000
     assert abs(sum(specs.SIZE_RATIOS.values()) - 1.0) < 1e-9
-    assert plan_sizes(10)["suppliers"] == 100_000 and plan_sizes(10)["lineitem"] == 6_000_000
+    assert plan_sizes(10)["suppliers"] == 200_000 and plan_sizes(10)["lineitem"] == 6_000_000
     assert plan_sizes(0.000001)["customers"] == 1  # never zero rows
     with pytest.raises(ValueError):
         plan_rows(10, ["customers", "nope"])
