@@ -20,6 +20,8 @@ BAND = 1.3
 SEEDS = 8
 #: Documents looked at for signatures that very many share, the share that counts as many, and the tasks for such a one.
 HOT_SAMPLE, HOT_SHARE, HOT_TASKS = 20_000, 0.002, 64
+#: Members of a block when a group is compared.
+BLOCK = 128
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -93,12 +95,49 @@ def _bands(percent: int) -> Bands:
     return Bands(percent)
 
 
-def _describe(n: int):
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def sketch(elements: np.ndarray) -> bytes:
+    """A bit per cell, telling if the cell holds an odd number of elements; cells grow in number with the set.
+
+    An element in only one of two sets flips one cell, so the cells that differ are at most the elements that do."""
+    cells = 1 << max(8, (2 * len(elements)).bit_length())
+    at = (wordhash.mix(elements + np.uint64(11)) & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=cells) & 1, bitorder="little").tobytes()
+
+
+def _same_cells(sketches: list[bytes], size: int) -> np.ndarray:
+    """The sketches over ``size`` bytes of cells: cells that are equal modulo the smaller number are joined."""
+    out = np.empty((len(sketches), size // 8), np.uint64)
+    for i, s in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, size // 8), axis=0)
+    return out
+
+
+def _compare(percent: int):
+    """Pairs of members of two blocks that are in different components and may be similar, by sizes and sketches."""
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [shingles(t, n) for t in batch["text"]]
-            keys = [set_key(s) for s in sets]
-            yield pd.DataFrame({"id": batch["id"], "size": [len(s) for s in sets], "lo": [k[0] for k in keys], "hi": [k[1] for k in keys]})
+            out = [np.zeros((0, 2), np.int64)]
+            for r in batch.itertuples(index=False):
+                size = min(map(len, [*r.sketches, *r.other_sketches]))
+                x, y = _same_cells(r.sketches, size), _same_cells(r.other_sketches, size)
+                for i in range(len(x)):
+                    both = r.sizes[i] + r.other_sizes
+                    near = np.bitwise_count(x[i] ^ y).sum(axis=1) <= (100 - percent) * both // (100 + percent)
+                    fits = 100 * np.minimum(r.sizes[i], r.other_sizes) >= percent * np.maximum(r.sizes[i], r.other_sizes)
+                    at = np.flatnonzero(near & fits & (r.labels[i] != r.other_labels))
+                    pair = np.stack([np.full(len(at), r.classes[i]), r.other_classes[at]], axis=1)
+                    out.append(np.sort(pair, axis=1))
+            yield pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
+
+    return compare
+
+
+def _describe(n: int):
+    @F.pandas_udf("size long, lo long, hi long")
+    def describe(text: pd.Series) -> pd.DataFrame:
+        sets = [shingles(t, n) for t in text]
+        return pd.DataFrame([(len(s), *set_key(s)) for s in sets], columns=["size", "lo", "hi"])
 
     return describe
 
@@ -139,7 +178,8 @@ def _keep_chosen(n: int):
 def _elements(n: int):
     def elements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "elements": [shingles(t, n).view(np.int64) for t in batch["text"]]})
+            sets = [shingles(t, n) for t in batch["text"]]
+            yield pd.DataFrame({"id": batch["id"], "elements": [s.view(np.int64) for s in sets], "sketch": [sketch(s) for s in sets]})
 
     return elements
 
@@ -172,6 +212,28 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found.where(100 * F.col("inner") >= percent * (F.col("both") - F.col("inner"))).select("a", "b")
 
 
+def _open_pairs(labelled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one signature but different components that sizes and sketches allow.
+
+    A group is dealt to blocks of about BLOCK members; a row is a pair of blocks, compared in arrays, so the pairs of
+    a group are never rows. Only pairs that may be similar come out."""
+    counts = labelled.groupBy(F.col("sign").alias("in")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = labelled.join(counts.hint("merge"), F.col("sign") == F.col("in")).join(sets.select("id", "sketch").hint("merge"), F.col("class") == F.col("id"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
+    member = F.collect_list(F.struct("class", "size", "label", "sketch")).alias("members")
+    blocks = dealt.groupBy("sign", "blocks", "block").agg(member)
+    names = {"class": "classes", "size": "sizes", "label": "labels", "sketch": "sketches"}
+
+    def arrays(prefix: str) -> list[Column]:
+        return [F.col("members")[f].alias(prefix + as_) for f, as_ in names.items()]
+
+    blocks = materialise(blocks, "op6-blocks")
+    left = blocks.select("sign", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("to"), *arrays(""))
+    right = blocks.select(F.col("sign").alias("other_sign"), F.col("block").alias("other"), *arrays("other_"))
+    pairs = left.join(right.hint("merge"), (F.col("sign") == F.col("other_sign")) & (F.col("to") == F.col("other"))).drop("sign", "to", "other_sign", "other")
+    return pairs.mapInPandas(_compare(percent), "a long, b long").distinct()
+
+
 def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
@@ -188,14 +250,15 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     partial sums. 2. Every set signs (see Bands); two similar sets share a signature. Signatures shared by very many,
     found on a sample of documents, are dealt over several tasks. 3. Classes that share a signature with another are
     candidates: each is compared with the smallest and the largest class of its group, sizes before elements, and
-    the links' components are found. 4. In groups whose members are still in several components, all members of
-    different components are compared, so no link between components is lost; groups of near copies are in one
-    component by then and give no more pairs. Comparisons are made between plain scans, which adaptive execution
-    splits; nothing is collected per group.
+    the links' components are found. 4. In groups whose members are still in several components, members of
+    different components are compared block by block on bit sketches that never hide a similar pair; what passes is
+    compared by elements, so no link between components is lost. Comparisons are made between plain scans, which
+    adaptive execution splits; no task holds more than two blocks of a group, and pairs are rows only where they may
+    be similar.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     known = rows.where("id IS NOT NULL")
-    described = materialise(rows.mapInPandas(_describe(n), "id long, size long, lo long, hi long"), "op6-sets")
+    described = materialise(rows.select("id", _describe(n)("text").alias("s")).select("id", "s.*"), "op6-sets")
     own = described.where("id IS NOT NULL AND size > 0").groupBy("id").agg(F.min(F.struct("lo", "hi", "size")).alias("set"), F.max("lo").alias("other"))
     own = materialise(own.select("id", "set.*", (F.col("other") != F.col("set.lo")).alias("several")), "op6-own")
     if not own.where("several").isEmpty():  # ids with different texts: only the chosen rows take part
@@ -226,7 +289,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     to_last = groups.where(F.col("class") < F.col("last")).where(_sizes_fit(F.col("size"), F.col("last_size"), percent)).select(F.col("class").alias("a"), F.col("last").alias("b"))
     tried = materialise(to_first.unionByName(to_last).distinct(), "op6-pairs")
     candidates = groups.select(F.col("class").alias("id")).distinct()
-    sets = known.join(materialise(candidates, "op6-candidates"), "id", "left_semi").mapInPandas(_elements(n), "id long, elements array<long>")
+    sets = known.join(materialise(candidates, "op6-candidates"), "id", "left_semi").mapInPandas(_elements(n), "id long, elements array<long>, sketch binary")
     sets = materialise(sets.dropDuplicates(["id"]), "op6-elements")
     links = materialise(_similar(tried, sets, percent), "op6-similar")
     labels = components(candidates, links)
@@ -234,10 +297,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labelled = groups.join(labels, F.col("class") == F.col("id")).select("sign", "class", "size", "label")
     open_ = labelled.groupBy(F.col("sign").alias("in")).agg((F.min("label") < F.max("label")).alias("open")).where("open").select("in")
     labelled = materialise(labelled.join(open_, F.col("sign") == F.col("in"), "left_semi"), "op6-open")
-    x = labelled.select("sign", F.col("class").alias("a"), F.col("size").alias("sa"), F.col("label").alias("la"))
-    y = labelled.select("sign", F.col("class").alias("b"), F.col("size").alias("sb"), F.col("label").alias("lb"))
-    rest = x.join(y, (x["sign"] == y["sign"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _sizes_fit(F.col("sa"), F.col("sb"), percent))
-    rest = materialise(rest.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "op6-rest")
+    rest = _open_pairs(labelled, sets, percent)
+    rest = materialise(rest.join(tried.hint("merge"), ["a", "b"], "left_anti"), "op6-rest")
     more = materialise(_similar(rest, sets, percent), "op6-more")
     if not more.isEmpty():
         labels = components(candidates, links.unionByName(more))
