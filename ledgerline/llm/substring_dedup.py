@@ -8,9 +8,8 @@ from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.llm import wordhash
 from ledgerline.llm.common import materialise
@@ -52,30 +51,29 @@ def _digest(words: list[bytes]) -> str:
 
 
 def _features(window: int):
-    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for text in batch["text"]:
-                data = wordhash.encode(text)
-                words = data.tobytes().split()
-                mini, content, first, count = super_kmers(wordhash.word_hashes(data), window) if len(words) >= window else ([], [], [], [])
-                out.append((len(words), _digest(words), mini, content, first, count))
-            yield pd.concat([batch[["id", "fp"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_words", "sha", "mini", "content", "first", "n"])], axis=1)
+    @F.pandas_udf("n_words long, sha string, mini array<long>, content array<long>, first array<int>, n array<int>")
+    def features(text: pd.Series) -> pd.DataFrame:
+        out = []
+        for t in text:
+            data = wordhash.encode(t)
+            words = data.tobytes().split()
+            mini, content, first, count = super_kmers(wordhash.word_hashes(data), window) if len(words) >= window else ([], [], [], [])
+            out.append((len(words), _digest(words), mini, content, first, count))
+        return pd.DataFrame(out, columns=["n_words", "sha", "mini", "content", "first", "n"])
 
     return features
 
 
 def _pack(window: int):
-    """The packed strings of the chosen runs of each text."""
+    """The packed strings of the chosen runs of each text. Runs come as one array per field."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text, runs in zip(batch["text"], batch["runs"], strict=True):
-                if runs is None or not len(runs):
-                    continue
+            fields = ["mini", "salt", "salts", "content", "times", "first", "n"]
+            for text, *runs in zip(batch["text"], *(batch[f] for f in fields), strict=True):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
-                out += [(r["mini"], r["salt"], r["salts"], r["content"], r["times"], b" ".join(words[r["first"] : r["first"] + r["n"] + window - 1])) for r in runs]
+                out += [(*run, b" ".join(words[first : first + n + window - 1])) for *run, first, n in zip(*runs, strict=True)]
             yield pd.DataFrame(out, columns=["mini", "salt", "salts", "content", "times", "packed"])
 
     return pack
@@ -140,21 +138,25 @@ def _count(window: int):
     return count
 
 
+def _field(name: str) -> Column:
+    """One field of all runs, as an array."""
+    return F.transform("runs", lambda r: r[name]).alias(name)
+
+
 def _remove(window: int):
-    def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for text, runs in zip(batch["text"], batch["runs"], strict=True):
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                edges = np.zeros(len(words) + 1, np.int64)
-                for r in runs:
-                    edges[r["first"]] += 1
-                    edges[r["last"] + window] -= 1
-                gone = np.cumsum(edges)[:-1] > 0
-                change = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]])))
-                spans = [{"first": int(a), "last": int(b) - 1} for a, b in zip(change[::2], change[1::2], strict=True)]
-                out.append((int(gone.sum()), _digest([w for w, g in zip(words, gone, strict=True) if not g]), spans))
-            yield pd.concat([batch[["id", "fp"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_removed", "sha", "spans"])], axis=1)
+    @F.pandas_udf("n_removed long, sha string, spans array<struct<first: int, last: int>>")
+    def remove(text: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.DataFrame:
+        out = []
+        for t, first, last in zip(text, firsts, lasts, strict=True):
+            words = (t or "").encode("utf-8", "surrogatepass").split()
+            edges = np.zeros(len(words) + 1, np.int64)
+            np.add.at(edges, first, 1)
+            np.add.at(edges, last + window, -1)
+            gone = np.cumsum(edges)[:-1] > 0
+            change = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]])))
+            spans = [{"first": int(a), "last": int(b) - 1} for a, b in zip(change[::2], change[1::2], strict=True)]
+            out.append((int(gone.sum()), _digest([w for w, g in zip(words, gone, strict=True) if not g]), spans))
+        return pd.DataFrame(out, columns=["n_removed", "sha", "spans"])
 
     return remove
 
@@ -176,22 +178,17 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     per minimiser; a content or minimiser with a third of all rows is counted with partial sums and joined between
     plain scans, which adaptive execution splits.
     """
-    spark = docs.sparkSession
-    id_type = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), F.hash(F.col(text_col)).alias("fp"), F.col(text_col).cast("string").alias("text"))
-    longs, ints = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
-    key = T.StructType([T.StructField("id", id_type), T.StructField("fp", T.IntegerType())])
-    schema = T.StructType([*key.fields, T.StructField("n_words", T.LongType()), T.StructField("sha", T.StringType()), T.StructField("mini", longs), T.StructField("content", longs), T.StructField("first", ints), T.StructField("n", ints)])
-    per_doc = materialise(rows.mapInPandas(_features(window), schema), "op8-documents")
+    per_doc = materialise(rows.select("id", "fp", _features(window)("text").alias("f")).select("id", "fp", "f.*"), "op8-documents")
 
     places = per_doc.select("id", "fp", F.explode(F.arrays_zip("mini", "content", "first", "n")).alias("p")).select("id", "fp", "p.mini", "p.content", "p.first", "p.n")
     repeated = materialise(places.groupBy("mini").agg(F.count("*").alias("times")).where("times > 1").select(F.col("mini").alias("again")), "op8-minimisers")
-    places = materialise(places.join(repeated, F.col("mini") == F.col("again"), "left_semi"), "op8-places")
+    places = materialise(places.join(repeated.hint("merge"), F.col("mini") == F.col("again"), "left_semi"), "op8-places")
 
     contents = places.groupBy("mini", "content").agg(F.count("*").alias("times"), F.min(F.struct("id", "fp", "first", "n")).alias("at"))
     contents = materialise(contents, "op8-contents")
     buckets = contents.groupBy(F.col("mini").alias("of")).agg(F.count("*").alias("contents"))
-    contents = contents.join(buckets, F.col("mini") == F.col("of")).drop("of")
+    contents = contents.join(buckets.hint("merge"), F.col("mini") == F.col("of")).drop("of")
     alone = contents.where("contents = 1").select("mini", "content", F.expr("array(struct(0 as first, at.n - 1 as last))").cast("array<struct<first:int,last:int>>").alias("runs"))
     salts = F.ceil(F.col("contents") / BUCKET)
     chosen = contents.where("contents > 1").select(
@@ -200,9 +197,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = places.select("id", "fp", F.lit(None).cast(chosen.schema["run"].dataType).alias("run")).distinct().unionByName(chosen)
     chosen = chosen.groupBy(F.col("id").alias("of_id"), F.col("fp").alias("of_fp")).agg(F.collect_list("run").alias("runs"))
     same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("fp") == F.col("of_fp"))
-    texts = materialise(rows.join(chosen, same).select("id", "fp", "text", "runs"), "op8-texts")
+    texts = materialise(rows.join(chosen.hint("merge"), same).select("id", "fp", "text", "runs"), "op8-texts")
 
-    packed = texts.where(F.size("runs") > 0).select("text", "runs").mapInPandas(_pack(window), "mini long, salt long, salts long, content long, times long, packed binary")
+    fields = [_field(f) for f in ("mini", "salt", "salts", "content", "times", "first", "n")]
+    packed = texts.where(F.size("runs") > 0).select("text", *fields).mapInPandas(_pack(window), "mini long, salt long, salts long, content long, times long, packed binary")
     counted = (
         packed.repartition("mini", "salt")
         .sortWithinPartitions("mini", "salt")
@@ -217,16 +215,15 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = materialise(found.select(F.col("mini").alias("m"), F.col("content").alias("c"), "runs"), "op8-repeated")
 
     shift = F.transform("runs", lambda r: F.struct((F.col("first") + r["first"]).alias("first"), (F.col("first") + r["last"]).alias("last")))
-    marked = places.join(found, (F.col("mini") == F.col("m")) & (F.col("content") == F.col("c"))).select("id", "fp", shift.alias("runs"))
+    marked = places.join(found.hint("merge"), (F.col("mini") == F.col("m")) & (F.col("content") == F.col("c"))).select("id", "fp", shift.alias("runs"))
     marked = marked.distinct().groupBy(F.col("id").alias("of_id"), F.col("fp").alias("of_fp")).agg(F.flatten(F.collect_list("runs")).alias("runs"))
-    spans = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())]))
-    changed_schema = T.StructType([*key.fields, T.StructField("n_removed", T.LongType()), T.StructField("sha", T.StringType()), T.StructField("spans", spans)])
     texts = texts.select("id", "fp", "text").dropDuplicates(["id", "fp"])
-    changed = texts.join(marked, same).select("id", "fp", "text", F.col("runs")).mapInPandas(_remove(window), changed_schema)
-    changed = materialise(changed.select(F.col("id").alias("of_id"), F.col("fp").alias("of_fp"), "n_removed", F.col("sha").alias("new_sha"), "spans"), "op8-changed")
+    changed = texts.join(marked.hint("merge"), same).select("id", "fp", _remove(window)("text", _field("first"), _field("last")).alias("r"))
+    changed = materialise(changed.select(F.col("id").alias("of_id"), F.col("fp").alias("of_fp"), "r.n_removed", F.col("r.sha").alias("new_sha"), "r.spans"), "op8-changed")
+    spans = "array<struct<first:int,last:int>>"
     return (
         per_doc.select("id", "fp", "n_words", "sha")
-        .join(changed, same, "left")
+        .join(changed.hint("merge"), same, "left")
         .select(
             F.col("id").alias(id_col),
             "n_words",
