@@ -11,7 +11,6 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerline.llm.common import materialise
@@ -286,11 +285,13 @@ def _induce_host(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"of_host": [rows["host"].iloc[0]], "wrapper": [json.dumps(wrapper)]})
 
 
-def _extract_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        read = {w: json.loads(w) if isinstance(w, str) else None for w in batch["wrapper"].unique()}
-        texts = [extract(h, read.get(w)) for h, w in zip(batch["html"], batch["wrapper"], strict=True)]
-        yield pd.DataFrame({"id": batch["id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+def _extractor():
+    @F.pandas_udf("string")
+    def extracted(html: pd.Series, wrapper: pd.Series) -> pd.Series:
+        read = {w: json.loads(w) if isinstance(w, str) else None for w in wrapper.unique()}
+        return pd.Series([extract(h, read.get(w)) for h, w in zip(html, wrapper, strict=True)], dtype=object)
+
+    return extracted
 
 
 def learn_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", sample_pages: int = 8) -> DataFrame:
@@ -318,7 +319,5 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     wrappers = learn_wrappers(pages, url_col, html_col, sample_pages)
     host, _ = split_url(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
-    rows = rows.join(wrappers, F.col("host") == F.col("of_host"), "left").select("id", "url", "html", "wrapper")
-    id_type, url_type = pages.schema[id_col].dataType, pages.schema[url_col].dataType
-    schema = T.StructType([T.StructField("id", id_type), T.StructField("url", url_type), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return rows.mapInPandas(_extract_pages, schema).withColumnsRenamed({"id": id_col, "url": url_col})
+    rows = rows.join(wrappers, F.col("host") == F.col("of_host"), "left").select("id", "url", _extractor()("html", "wrapper").alias("text"))
+    return rows.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars"))
