@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import WORD, materialise, text_of
+from ledgerline.llm.common import WORD, materialise, shuffle_partitions, text_of
 
 #: A source is repeated up to so many times.
 MOST = 3
@@ -104,24 +104,27 @@ def _place(plan: Plan, drawn: np.ndarray, seed: int):
     excess, short = np.maximum(drawn - plan.slots, 0), np.maximum(plan.slots - drawn, 0)
     excess_from, short_to = np.cumsum(excess) - excess, np.cumsum(short)
 
+    def blocks_of(source: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        owner = np.repeat(source, n)
+        slot = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+        over = slot >= plan.slots[owner]
+        if over.any():
+            at = excess_from[owner[over]] + slot[over] - plan.slots[owner[over]]
+            to = np.searchsorted(short_to, at, side="right")
+            slot[over], owner[over] = drawn[to] + at - (short_to[to] - short[to]), to
+        epoch, block = np.divmod(slot, plan.blocks[owner])
+        for s, e in np.unique(np.stack([owner, epoch]), axis=1).T if len(owner) else []:
+            at = (owner == s) & (epoch == e)
+            block[at] = permute(block[at], int(plan.blocks[s]), seed * 1_000_003 + int(s) * MOST + int(e))
+        return owner, block
+
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for source, first, n, shard in zip(batch["source_no"], batch["first"], batch["n"], batch["shard"], strict=True):
-                slot = np.arange(first, first + n)
-                owner = np.full(n, source)
-                over = slot >= plan.slots[source]
-                if over.any():
-                    place_ = excess_from[source] + slot[over] - plan.slots[source]
-                    to = np.searchsorted(short_to, place_, side="right")
-                    slot[over] = drawn[to] + place_ - (short_to[to] - short[to])
-                    owner[over] = to
-                block = np.empty(n, np.int64)
-                for s in np.unique(owner):
-                    for epoch in np.unique((mine := slot[owner == s]) // plan.blocks[s]):
-                        at = (owner == s) & (slot // plan.blocks[s] == epoch)
-                        block[at] = permute(slot[at] % plan.blocks[s], int(plan.blocks[s]), seed * 1_000_003 + int(s) * MOST + int(epoch))
-                    del mine
-                yield pd.DataFrame({"source_no": owner, "block": block, "shard": shard}, dtype="int64")
+            for k in range(0, len(batch), 256):  # a row has at most a shard's slots
+                part = batch.iloc[k : k + 256]
+                n = part["n"].to_numpy()
+                owner, block = blocks_of(part["source_no"].to_numpy(), part["first"].to_numpy(), n)
+                yield pd.DataFrame({"source_no": owner, "block": block, "shard": np.repeat(part["shard"].to_numpy(), n)})
 
     return place
 
@@ -133,7 +136,7 @@ def _running(rows: DataFrame, keys: list[str], group: str, order: list[str], val
     before = Window.partitionBy(*keys).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     groups = rows.groupBy(*keys, group).agg(F.sum(value).alias("_sum")).withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
     inside = Window.partitionBy(*keys, group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.join(groups, [*keys, group]).withColumn(into, F.col("_base") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("_base")
+    return rows.join(groups.hint("merge"), [*keys, group]).withColumn(into, F.col("_base") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("_base")
 
 
 def _levels(n: int) -> int:
@@ -184,7 +187,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         drawn[r.source_no] = r.n
     wide = 1 << _levels(shards)
     numbered = _running(counts.withColumn("grp", F.expr(f"shard div {wide}")), ["source_no"], "grp", ["shard"], "n", "first").drop("grp")
-    slots = numbered.mapInPandas(_place(plan, drawn, seed), "source_no long, block long, shard long").select("shard", "source_no", "block")
+    # by number, so that rows of few bytes but many slots are not put together in a few tasks
+    spread = max(shuffle_partitions(spark), slots_n // 1_000_000)
+    slots = numbered.repartition(spread, "shard", "source_no").mapInPandas(_place(plan, drawn, seed), "source_no long, block long, shard long").select("shard", "source_no", "block")
 
     draws = slots.groupBy("source_no", "block").agg(F.count("*").alias("draws"))
     end = F.col("start") + F.col("size")
@@ -192,12 +197,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "source_no", "start", "size", F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")).alias("block")
     )
     parts = parts.withColumn("words", F.least(end, (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words))
-    taken = parts.join(draws, ["source_no", "block"]).groupBy("source_no", "start").agg(F.sum(F.col("words") * F.col("draws")).alias("taken"))
+    taken = parts.join(draws.hint("merge"), ["source_no", "block"]).groupBy("source_no", "start").agg(F.sum(F.col("words") * F.col("draws")).alias("taken"))
     empty = F.when(F.col("size") > 0, F.col("start")).alias("at")
     taken = taken.withColumnRenamed("start", "at")
     documents = (
         packed.withColumn("at", empty)
-        .join(taken, ["source_no", "at"], "left")
+        .join(taken.hint("merge"), ["source_no", "at"], "left")
         .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     )
     return documents, slots, plan
