@@ -81,6 +81,6 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
         .select("of_host", "of_path", "found.rule", "found.verdict")
     )
     verdicts = materialise(verdicts, "op2-verdicts")
-    return rows.join(verdicts, (F.col("host") == F.col("of_host")) & (F.col("path") == F.col("of_path")), "left").select(
+    return rows.join(verdicts.hint("merge"), (F.col("host") == F.col("of_host")) & (F.col("path") == F.col("of_path")), "left").select(
         F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
     )
