@@ -228,10 +228,12 @@ def _open_pairs(labelled: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         return [F.col("members")[f].alias(prefix + as_) for f, as_ in names.items()]
 
     blocks = materialise(blocks, "op6-blocks")
+    alone = blocks.where("blocks = 1").select(*arrays(""), *arrays("other_")).mapInPandas(_compare(percent), "a long, b long")
+    blocks = blocks.where("blocks > 1")
     left = blocks.select("sign", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("to"), *arrays(""))
     right = blocks.select(F.col("sign").alias("other_sign"), F.col("block").alias("other"), *arrays("other_"))
     pairs = left.join(right.hint("merge"), (F.col("sign") == F.col("other_sign")) & (F.col("to") == F.col("other"))).drop("sign", "to", "other_sign", "other")
-    return pairs.mapInPandas(_compare(percent), "a long, b long").distinct()
+    return alone.unionByName(pairs.mapInPandas(_compare(percent), "a long, b long")).distinct()
 
 
 def _sizes_fit(x: Column, y: Column, percent: int) -> Column:
@@ -295,7 +297,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labels = components(candidates, links)
 
     labelled = groups.join(labels, F.col("class") == F.col("id")).select("sign", "class", "size", "label")
-    open_ = labelled.groupBy(F.col("sign").alias("in")).agg((F.min("label") < F.max("label")).alias("open")).where("open").select("in")
+    open_ = labelled.groupBy(F.col("sign").alias("in")).agg(F.count("*").alias("n"), (F.min("label") < F.max("label")).alias("open"))
+    open_ = open_.where(F.col("open") & (F.col("n") > 3)).select("in")  # with three classes or fewer all pairs were tried
     labelled = materialise(labelled.join(open_, F.col("sign") == F.col("in"), "left_semi"), "op6-open")
     rest = _open_pairs(labelled, sets, percent)
     rest = materialise(rest.join(tried.hint("merge"), ["a", "b"], "left_anti"), "op6-rest")
