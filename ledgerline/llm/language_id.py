@@ -121,7 +121,8 @@ class Identifier:
         self.gram_logs = model.logs[model.n_words :]
         self.room = max(2 * self.SLICE, 4_000_000 // max(1, len(self.langs)) // 8)
         self.table = np.zeros((model.n_words + self.room, max(1, len(self.langs))))
-        self.table[: model.n_words] = model.logs[: model.n_words]
+        if self.langs:
+            self.table[: model.n_words] = model.logs[: model.n_words]
         self._forget()
 
     def _forget(self) -> None:

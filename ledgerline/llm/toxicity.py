@@ -116,10 +116,10 @@ def _maximise(fired: np.ndarray, p: np.ndarray, anchors: np.ndarray) -> tuple[np
     return rates, float(np.clip(p.mean(), 1e-4, 1 - 1e-4)), 1 / np.where(corr > 0.3, corr, 0).sum(axis=1)
 
 
-def features(facts: np.ndarray, n_words: int, n_lexicon: int) -> np.ndarray:
-    """Presence per lexicon word and pattern, number of different hits, and hits per hundred words."""
+def features(facts: np.ndarray, n_lexicon: int) -> np.ndarray:
+    """Presence per lexicon word and pattern, number of different hits, and of all hits: a long text hides none."""
     hits = facts[:n_lexicon]
-    return np.concatenate([(facts > 0).astype(float), [min(5, (hits > 0).sum()), min(5.0, 100 * hits.sum() / max(1, n_words))]])
+    return np.concatenate([(facts > 0).astype(float), [min(5, (hits > 0).sum()), min(5, hits.sum())]])
 
 
 def fit_classifier(x: np.ndarray, y: np.ndarray, rounds: int = 300, decay: float = 1e-4) -> np.ndarray:
@@ -174,7 +174,7 @@ def _facts_of(voters: Voters):
     def facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [voters.facts(t) for t in batch["text"]]
-            yield pd.DataFrame({"toxic": batch["toxic"], "n_words": [n for _, n in found], "facts": [f.tolist() for f, _ in found]})
+            yield pd.DataFrame({"toxic": batch["toxic"], "facts": [f.tolist() for f, _ in found]})
 
     return facts
 
@@ -207,16 +207,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     general = words.where(F.col("word").isin(INSULTS)).where("2 * t < n").collect()
     voters = Voters(choose_lexicon({r.word: r.t for r in marking}, max_lexicon, {r.word for r in general}))
     names = voters.names
-    got = rows.mapInPandas(_facts_of(voters), "toxic long, n_words long, facts array<double>").toPandas() if n else None
+    got = rows.mapInPandas(_facts_of(voters), "toxic long, facts array<double>").toPandas() if n else None
     if got is None or not toxic or toxic == n:
-        return Model(voters, np.concatenate([np.ones(len(voters.lexicon)), np.zeros(5), [-2.0]]), {})
+        return Model(voters, np.concatenate([2 * np.ones(len(voters.lexicon)), np.zeros(5), [-2.0]]), {})
     facts = np.array(got["facts"].tolist())
     votes = np.stack([voters.votes(f) for f in facts])
     y = got["toxic"].to_numpy()
     fired = votes != ABSTAIN
     anchors = np.stack([fired[y == 0].sum(axis=0), fired[y == 1].sum(axis=0), np.full(len(names), (y == 0).sum()), np.full(len(names), (y == 1).sum())], axis=1)
     posterior, accuracy, _ = fit_label_model(votes, toxic / n, anchors)
-    x = np.stack([features(f, k, len(voters.lexicon)) for f, k in zip(facts, got["n_words"], strict=True)])
+    x = np.stack([features(f, len(voters.lexicon)) for f in facts])
     return Model(voters, fit_classifier(x, posterior), dict(zip(names, accuracy.tolist(), strict=True)))
 
 
@@ -227,8 +227,8 @@ class Scorer:
         self.model, self.n_lexicon = model, len(model.voters.lexicon)
 
     def score(self, text: str | None) -> float:
-        facts, n = self.model.voters.facts(text)
-        x = features(facts, n, self.n_lexicon)
+        facts, _ = self.model.voters.facts(text)
+        x = features(facts, self.n_lexicon)
         return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(x @ self.model.weights[:-1] + self.model.weights[-1]))))))
 
 
