@@ -82,6 +82,33 @@ def test_exact_stage_keeps_one_row_a_group(spark):
     assert sorted(got, key=str) == sorted([rows[1], rows[3], rows[4], rows[6]], key=str)
 
 
+def test_near_stage_takes_five_words_and_80_percent(spark):
+    """Against all pairs, with near copies whose similarity is between 0.80 and 0.85 and just under 0.80."""
+    import random
+
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(5)
+    rows, sets, between = [], {}, 0
+    for i in range(30):
+        w = [f"w{rng.random()}" for _ in range(104)]
+        cut = 14 + i % 10  # of 100 runs of five words, as many are cut as words: 0.86 down to 0.77
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[cut:]))]
+    for id_, text in rows:
+        w = text.split()
+        sets[id_] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    gone = set()
+    for i in range(30):
+        x, y = sets[2 * i], sets[2 * i + 1]
+        if 100 * len(x & y) >= 80 * len(x | y):
+            gone.add(2 * i + 1)
+            between += 100 * len(x & y) < 85 * len(x | y)
+    assert 0 < between < len(gone) < 30
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in dict(pipeline.STAGES)["near"](spark, docs, SF_SMALL).collect()}
+    assert got == set(sets) - gone
+
+
 def test_entry_without_the_subpackage(tmp_path):
     """The entry module works when this folder and the pipeline are gone."""
     import shutil
