@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -35,6 +36,10 @@ MARKS = set(
 footer gdpr masthead menu modal nav navbar navigation newsletter notice notices overlay pagination popup promo promotion related replies
 respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget widgets""".split()
 )
+#: Marks of boxes with what readers wrote: main text only where the page has no other.
+READERS = set("comment comments commentlist disqus replies respond".split())
+#: What a head may hold; anything else ends it, as in HTML.
+IN_HEAD = set("html head title meta link base script style noscript template".split())
 #: Elements that hold sentences of the text itself. Fixed values.
 PROSE = set("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre article main".split())
 #: Deeper elements are hung to their ancestor of this depth; their text stays.
@@ -43,10 +48,12 @@ CONTAINERS = ("article", "main")
 
 
 class Node:
-    __slots__ = ("tag", "label", "path", "furniture", "children", "depth")
+    """``soft``: furniture by a mark, role or as a form only, which may hold main text after all: "box" or "readers"."""
 
-    def __init__(self, tag: str, label: str, path: str, furniture: bool, depth: int):
-        self.tag, self.label, self.path, self.furniture, self.depth = tag, label, path, furniture, depth
+    __slots__ = ("tag", "label", "path", "furniture", "soft", "children", "depth")
+
+    def __init__(self, tag: str, label: str, path: str, furniture: bool, depth: int, soft: str = ""):
+        self.tag, self.label, self.path, self.furniture, self.depth, self.soft = tag, label, path, furniture, depth, soft
         self.children: list[Node | str] = []
 
 
@@ -70,7 +77,17 @@ class _Builder(HTMLParser):
     def _close_to(self, index: int) -> None:
         del self.open[index:]
 
+    def _end_head(self) -> None:
+        for i in range(1, len(self.open)):
+            if self.open[i].tag == "head":
+                # a title, script or template in the head holds anything
+                if all(n.tag not in FURNITURE for n in self.open[i + 1 :]):
+                    self._close_to(i)
+                return
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in ENDS_P:
             for i in range(len(self.open) - 1, 0, -1):
                 if self.open[i].tag == "p":
@@ -91,8 +108,9 @@ class _Builder(HTMLParser):
         furniture = tag in FURNITURE or bool(words and not MARKS.isdisjoint(words)) or role in ("navigation", "banner", "contentinfo", "complementary", "search", "form")
         if tag in ("html", "body", "main"):
             furniture = False
+        soft = "" if not furniture or tag in FURNITURE - {"form"} else "readers" if words and not READERS.isdisjoint(words) else "box"
         label = f"{tag}.{name}" if name else tag
-        node = Node(tag, label, f"{parent.path}/{label}", furniture, parent.depth + 1)
+        node = Node(tag, label, f"{parent.path}/{label}", furniture, parent.depth + 1, soft)
         parent.children.append(node)
         if tag not in VOID and node.depth < DEEPEST:
             self.open.append(node)
@@ -107,6 +125,8 @@ class _Builder(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if not data.isspace():
+            self._end_head()
         self.open[-1].children.append(data)
 
 
@@ -216,68 +236,91 @@ def induce(pages: list[str]) -> dict:
 # -- extraction
 
 
-def _roots(node: Node, wanted) -> list[Node]:
-    """Outermost nodes that ``wanted`` takes, outside furniture, in page order."""
-    if node.furniture:
-        return []
-    if wanted(node):
-        return [node]
-    return [r for c in node.children if isinstance(c, Node) for r in _roots(c, wanted)]
+class Line(NamedTuple):
+    """A line of text: path of the block that holds it, and what of ``soft`` furniture and of CONTAINERS and headers it is in."""
+
+    path: str
+    text: str
+    soft: tuple[Node, ...]
+    inside: frozenset[str]
 
 
-def _blocks(node: Node, template: dict[str, str], out: list[str], line: list[str]) -> None:
+def _lines(node: Node, at: str, soft: tuple[Node, ...], inside: frozenset[str], out: list[Line], line: list[str]) -> None:
     def end() -> None:
         if text := " ".join("".join(line).split()):
-            out.append(text)
+            out.append(Line(at, text, soft, inside))
         line.clear()
 
-    if template and node.path in template and " ".join(" ".join(c for c in node.children if isinstance(c, str)).split()) == template[node.path]:
-        texts = False
-    else:
-        texts = True
     for child in node.children:
         if isinstance(child, str):
-            if texts:
-                line.append(child)
-        elif child.furniture:
-            if child.tag in BLOCKS:
-                end()
+            line.append(child)
+            continue
+        block = child.tag in BLOCKS
+        if block:
+            end()
+        if child.furniture and not child.soft:
+            continue
+        within = inside | {child.tag} if child.tag in (*CONTAINERS, "header") else inside
+        if child.soft:
+            own: list[str] = []
+            held = (*soft, child)
+            _lines(child, child.path, held, within, out, own)
+            if text := " ".join("".join(own).split()):
+                out.append(Line(child.path, text, held, within))
+        elif block:
+            _lines(child, child.path, soft, within, out, line)
+            if text := " ".join("".join(line).split()):
+                out.append(Line(child.path, text, soft, within))
+            line.clear()
         else:
-            if child.tag in BLOCKS:
-                end()
-            _blocks(child, template, out, line)
-            if child.tag in BLOCKS:
-                end()
+            _lines(child, at, soft, within, out, line)
+
+
+def lines_of(html: str | None) -> list[Line]:
+    """All lines of a page but those of elements that never hold main text."""
+    tree, out, line = parse(html), [], []
+    _lines(tree, "", (), frozenset(), out, line)
+    if text := " ".join("".join(line).split()):
+        out.append(Line("", text, (), frozenset()))
+    return out
+
+
+def _outside_furniture(lines: list[Line]) -> list[Line]:
+    """Lines outside soft furniture, and in such of it as holds the page's article or most of its text."""
+    total = sum(len(x.text) for x in lines)
+    weight, holds, free = Counter(), set(), False
+    for x in lines:
+        contained = not x.inside.isdisjoint(CONTAINERS)
+        free |= contained and not x.soft
+        for box in x.soft:
+            weight[box] += len(x.text)
+            if contained:
+                holds.add(box)
+
+    def main(box: Node) -> bool:
+        if box.soft == "readers":
+            return weight[box] == total
+        return not free and (3 if box in holds else 2) * weight[box] >= total
+
+    kept = {box for box in weight if main(box)}
+    return [x for x in lines if kept.issuperset(x.soft)]
 
 
 def extract(html: str | None, wrapper: dict | None = None) -> str:
     """The main text of a page: its blocks, each with white space as single blanks, joined by line feeds.
 
     The page's content is what the host's wrapper points to; where the page has no such node, its articles, else its
-    main element, else the whole body without furniture and page headers."""
-    tree = parse(html)
-    roots, template = [], (wrapper or {}).get("template") or {}
+    main element, else the whole body without furniture and page headers. Forms and boxes with a mark of furniture
+    are content where they hold the page's article or most of its text."""
+    template = (wrapper or {}).get("template") or {}
+    lines = _outside_furniture([x for x in lines_of(html) if template.get(x.path) != x.text])
+    found: list[Line] = []
     for path in (wrapper or {}).get("roots") or []:
-        roots = roots or _roots(tree, lambda n, p=path: n.path == p)
+        found = found or [x for x in lines if x.path == path or x.path.startswith(f"{path}/")]
     for tag in CONTAINERS:
-        roots = roots or _roots(tree, lambda n, t=tag: n.tag == t)
-    if not roots:
-        _drop_headers(tree)
-        roots = [tree]
-    out: list[str] = []
-    for root in roots:
-        line: list[str] = []
-        _blocks(root, template, out, line)
-        if text := " ".join("".join(line).split()):
-            out.append(text)
-    return "\n".join(out)
-
-
-def _drop_headers(node: Node) -> None:
-    for child in node.children:
-        if isinstance(child, Node):
-            child.furniture |= child.tag == "header"
-            _drop_headers(child)
+        found = found or [x for x in lines if tag in x.inside]
+    found = found or [x for x in lines if "header" not in x.inside]
+    return "\n".join(x.text for x in found)
 
 
 def _induce_host(rows: pd.DataFrame) -> pd.DataFrame:

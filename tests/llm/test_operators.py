@@ -451,6 +451,24 @@ def test_wrapper_tells_template_from_slots():
     assert html_extract.extract(pages[0], copies) == "T0\ntext 0 of some length\nSame on all"
 
 
+def test_whole_pages_are_not_lost():
+    text = "<h1>Title</h1><p>One long paragraph of the page.</p><p>Another paragraph.</p>"
+    want = "Title\nOne long paragraph of the page.\nAnother paragraph."
+    for page in (
+        f"<html><head><title>t</title><meta name=a><body>{text}</body></html>",
+        f"<head><title>t</title><script>x<y</script>{text}",
+        f"<head><title>t</title><style>p {{}}</style><div>{text}</div>",
+        f"<html><body><form action='/'>{text}</form></body></html>",
+        f"<html><body><div>Menu</div><form><div class=share>Share</div><article>{text}</article></form></body></html>",
+        f"<html><body><article class='notice-page'>{text}<div class=related>Other</div></article></body></html>",
+        f"<html><body><div id='social-widget'>{text}<form>Name</form></div></body></html>",
+        f"<html><body>{text}<section class=comments><p>{'Much longer words of readers. ' * 20}</p></section></body></html>",
+        f"<html><body><article>{text}</article><div class=widget>{'Much longer box. ' * 20}</div></body></html>",
+    ):
+        assert html_extract.extract(page) == want, page
+    assert html_extract.extract("<head>lone words<p>more") == "lone words\nmore"
+
+
 def test_tree_matching_counts_pairs():
     one = html_extract.Shape([html_extract.parse("<div><p>a</p><ul></ul><b>x</b></div>")])
     two = html_extract.Shape([html_extract.parse("<div><p>a</p><i></i><b>y</b></div>")])
