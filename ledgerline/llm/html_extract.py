@@ -6,6 +6,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -45,6 +46,8 @@ PROSE = set("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre article main".spl
 #: Deeper elements are hung to their ancestor of this depth; their text stays.
 DEEPEST = 150
 CONTAINERS = ("article", "main")
+#: Boxes that make a page's layout. Fixed values.
+LAYOUT = set("header footer nav main article section aside div form".split())
 
 
 class Node:
@@ -188,68 +191,27 @@ def match(a: Shape, b: Shape, pairs: list[tuple[Shape, Shape]] | None = None) ->
     return score[n][m] + 1
 
 
-def _shapes(shape: Shape, furniture: bool = False) -> Iterator[tuple[Shape, bool]]:
-    furniture = furniture or shape.furniture
-    yield shape, furniture
-    for child in shape.children:
-        yield from _shapes(child, furniture)
-
-
-def induce(pages: list[str]) -> dict:
-    """The wrapper of a host from some of its pages: ``template``, the named boxes (path -> text) that are the same in
-    all pages, and ``roots``, the paths of the smallest nodes that hold nearly all the text that varies outside furniture.
-
-    The first page is aligned with each other one. With one page, or nothing that varies, the wrapper is empty."""
-    trees = [Shape([parse(p)]) for p in pages]
-    if len(trees) < 2:
-        return {"template": {}, "roots": []}
-    first, same, met = trees[0], Counter(), Counter()
-    for other in trees[1:]:
-        pairs: list[tuple[Shape, Shape]] = []
-        match(first, other, pairs)
-        for x, y in pairs:
-            met[id(x)] += 1
-            same[id(x)] += x.text == y.text
-    template, varying, changes = {}, Counter(), False
-    for shape, furniture in _shapes(first):
-        if not shape.text or furniture:
-            continue
-        changes |= same[id(shape)] < met[id(shape)]
-        # prose that happens to be the same on all pages is still prose: only named boxes can be template
-        named = "." in shape.label and shape.label.split(".")[0] not in PROSE
-        if named and len(trees) > 2 and met[id(shape)] == len(trees) - 1 == same[id(shape)]:
-            template[shape.path] = shape.text
-        else:
-            varying[shape.path] += len(shape.text)
-    total = sum(varying.values())
-    if not changes:  # copies of one page show no template
-        template = {}
-    inside: Counter = Counter()
-    for path, n in varying.items():
-        parts = path.split("/")
-        for k in range(1, len(parts) + 1):
-            inside["/".join(parts[:k])] += n
-    held = [p for p, n in inside.items() if n >= 0.9 * total and p.rsplit("/", 1)[-1].split(".")[0] in CONTAINERS]
-    return {"template": template, "roots": [max(held, key=lambda p: (p.count("/"), p))] if held else []}
-
-
 # -- extraction
 
 
 class Line(NamedTuple):
-    """A line of text: path of the block that holds it, and what of ``soft`` furniture and of CONTAINERS and headers it is in."""
+    """A line of text: the blocks that hold it, and what of ``soft`` furniture and of CONTAINERS and headers it is in."""
 
-    path: str
+    holders: tuple[Node, ...]
     text: str
     soft: tuple[Node, ...]
     inside: frozenset[str]
 
+    @property
+    def path(self) -> str:
+        return self.holders[-1].path
+
 
-def _lines(node: Node, at: str, soft: tuple[Node, ...], inside: frozenset[str], out: list[Line], line: list[str]) -> None:
-    def end() -> None:
-        if text := " ".join("".join(line).split()):
-            out.append(Line(at, text, soft, inside))
-        line.clear()
+def _lines(node: Node, at: tuple[Node, ...], soft: tuple[Node, ...], inside: frozenset[str], out: list[Line], line: list[str]) -> None:
+    def end(holders: tuple[Node, ...], held: tuple[Node, ...], within: frozenset[str], parts: list[str]) -> None:
+        if text := " ".join("".join(parts).split()):
+            out.append(Line(holders, text, held, within))
+        parts.clear()
 
     for child in node.children:
         if isinstance(child, str):
@@ -257,36 +219,63 @@ def _lines(node: Node, at: str, soft: tuple[Node, ...], inside: frozenset[str],
             continue
         block = child.tag in BLOCKS
         if block:
-            end()
+            end(at, soft, inside, line)
         if child.furniture and not child.soft:
             continue
         within = inside | {child.tag} if child.tag in (*CONTAINERS, "header") else inside
-        if child.soft:
-            own: list[str] = []
-            held = (*soft, child)
-            _lines(child, child.path, held, within, out, own)
-            if text := " ".join("".join(own).split()):
-                out.append(Line(child.path, text, held, within))
-        elif block:
-            _lines(child, child.path, soft, within, out, line)
-            if text := " ".join("".join(line).split()):
-                out.append(Line(child.path, text, soft, within))
-            line.clear()
+        if block or child.soft:
+            holders, held, own = (*at, child), (*soft, child) if child.soft else soft, []
+            _lines(child, holders, held, within, out, own)
+            end(holders, held, within, own)
         else:
             _lines(child, at, soft, within, out, line)
 
 
-def lines_of(html: str | None) -> list[Line]:
+def lines_of(tree: Node) -> list[Line]:
     """All lines of a page but those of elements that never hold main text."""
-    tree, out, line = parse(html), [], []
-    _lines(tree, "", (), frozenset(), out, line)
+    out, line = [], []
+    _lines(tree, (tree,), (), frozenset(), out, line)
     if text := " ".join("".join(line).split()):
-        out.append(Line("", text, (), frozenset()))
+        out.append(Line((tree,), text, (), frozenset()))
+    return out
+
+
+def _key(*parts: str) -> str:
+    return str(int.from_bytes(blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True))
+
+
+def _skeleton(node: Node, out: set[str]) -> set[str]:
+    """Paths of the page's boxes: pages with the same ones are of one layout."""
+    for child in node.children:
+        if isinstance(child, Node) and (child.soft or not child.furniture):
+            if child.tag in LAYOUT:
+                out.add(child.path)
+            _skeleton(child, out)
     return out
 
 
-def _outside_furniture(lines: list[Line]) -> list[Line]:
-    """Lines outside soft furniture, and in such of it as holds the page's article or most of its text."""
+def _layout(tree: Node) -> str:
+    return _key(*sorted(_skeleton(tree, set())))
+
+
+def _is_box(path: str) -> bool:
+    """A named element that is not prose: template on every host, even if most of its text is the same on all pages."""
+    tag, dot, _ = path.rsplit("/", 1)[-1].partition(".")
+    return bool(dot) and tag not in PROSE
+
+
+def is_template(times: int, pages_with_path: int, host_pages: int) -> bool:
+    """A line is template if it is on at least 90 percent of the pages that have its path, and on three pages and a hundredth of the host's at least."""
+    return times >= 3 and 100 * times >= host_pages and 10 * times >= 9 * pages_with_path
+
+
+def varies_enough(constant: int, total: int) -> bool:
+    """Near copies of one page look like template to the last sentence: at least a quarter of a host's text must vary."""
+    return 4 * (total - constant) >= total
+
+
+def _main_boxes(lines: list[Line]) -> set[Node]:
+    """Soft furniture that holds the page's article or most of its text."""
     total = sum(len(x.text) for x in lines)
     weight, holds, free = Counter(), set(), False
     for x in lines:
@@ -302,22 +291,95 @@ def _outside_furniture(lines: list[Line]) -> list[Line]:
             return weight[box] == total
         return not free and (3 if box in holds else 2) * weight[box] >= total
 
-    kept = {box for box in weight if main(box)}
-    return [x for x in lines if kept.issuperset(x.soft)]
+    return {box for box in weight if main(box)}
+
+
+def _region(lines: list[Line]) -> tuple[Node, ...]:
+    """The smallest node that holds all lines and is no prose itself, with its ancestors."""
+    region = lines[0].holders
+    for x in lines:
+        n = min(len(region), len(x.holders))
+        region = region[: next((k for k in range(n) if region[k] is not x.holders[k]), n)]
+    while region[-1].tag in PROSE and region[-1].tag not in CONTAINERS:
+        region = region[:-1]
+    return region
+
+
+def content(lines: list[Line], constant: list[bool]) -> tuple[list[Line], tuple[Node, ...]] | None:
+    """The lines of the region that varies, and the region: the smallest node that holds all varying text outside furniture.
+
+    Lines that are constant go outside the region, whatever their tag; in it, if they are no prose or their part of it
+    is a box without varying text. Where the region is the body, it reaches from its first to its last varying line.
+    None if nothing varies."""
+    varies = [x for x, same in zip(lines, constant, strict=True) if not same]
+    boxes = _main_boxes(varies)
+    kept = [(x, same) for x, same in zip(lines, constant, strict=True) if boxes.issuperset(x.soft)]
+    at = [k for k, (_, same) in enumerate(kept) if not same]
+    if not at:
+        return None
+    region = _region([kept[k][0] for k in at])
+    n, last = len(region), region[-1]
+    first, end = (at[0], at[-1]) if last.tag in ("", "html", "body") else (0, len(kept))
+    alive = {x.holders[n] for x, same in kept if not same and x.holders[:n] == region and len(x.holders) > n}
+
+    def stays(k: int, x: Line, same: bool) -> bool:
+        if not same:
+            return True
+        if x.holders[:n] != region or not first <= k <= end or x.holders[-1].tag not in PROSE:
+            return False
+        return len(x.holders) <= n + 1 or x.holders[n] in alive
+
+    return [x for k, (x, same) in enumerate(kept) if stays(k, x, same)], region
+
+
+def induce(pages: list[str]) -> dict:
+    """The wrapper of a host from some of its pages: ``template``, key -> text of the lines of any tag that are the same on
+    the pages, ``roots``, the path of the smallest node of the first page that holds all its other lines outside
+    furniture, and ``whole``: that region is the content.
+
+    The first page is aligned with each other one by simple tree matching; lines of nodes that were paired are counted.
+    Copies count once. With fewer than three pages the wrapper is empty; where less than a quarter of the text varies,
+    only named boxes are template and no region is told."""
+    trees = [parse(p) for p in dict.fromkeys(pages)]
+    if len(trees) < 3:
+        return {"template": {}, "roots": []}
+    first, met, times = Shape([trees[0]]), Counter(), Counter()
+    read = [lines_of(t) for t in trees]
+    for tree, found in zip(trees, read, strict=True):
+        pairs: list[tuple[Shape, Shape]] = []
+        match(first, Shape([tree]), pairs)
+        paired = {x.path for x, _ in pairs}
+        met.update({x.path for x in found} & paired)
+        times.update({(x.path, x.text) for x in found if x.path in paired})
+    same = {x for x, n in times.items() if is_template(n, met[x[0]], len(trees))}
+    lengths = [(len(x.text), (x.path, x.text) in same) for found in read for x in found]
+    whole = varies_enough(sum(n for n, c in lengths if c), sum(n for n, _ in lengths))
+    same = {x for x in same if whole or _is_box(x[0])}
+    found = content(read[0], [(x.path, x.text) in same for x in read[0]]) if whole else None
+    return {"template": {_key("", *x): x[1] for x in sorted(same)}, "roots": [found[1][-1].path] if found else [], "whole": whole}
 
 
 def extract(html: str | None, wrapper: dict | None = None) -> str:
     """The main text of a page: its blocks, each with white space as single blanks, joined by line feeds.
 
-    The page's content is what the host's wrapper points to; where the page has no such node, its articles, else its
-    main element, else the whole body without furniture and page headers. Forms and boxes with a mark of furniture
-    are content where they hold the page's article or most of its text."""
-    template = (wrapper or {}).get("template") or {}
-    lines = _outside_furniture([x for x in lines_of(html) if template.get(x.path) != x.text])
-    found: list[Line] = []
-    for path in (wrapper or {}).get("roots") or []:
-        found = found or [x for x in lines if x.path == path or x.path.startswith(f"{path}/")]
-    for tag in CONTAINERS:
+    Where the host's wrapper tells template from varying text, that is the region that varies (see ``content``). Else it
+    is the page's main element, else its articles, else the whole body without page headers. Furniture is left out;
+    forms and boxes with a mark of furniture are content where they hold the page's article or most of its text. A
+    page of nothing but template keeps it."""
+    tree = parse(html)
+    lines = lines_of(tree)
+    if template := (wrapper or {}).get("template"):
+        layout = _layout(tree)
+        constant = [_key("", x.path, x.text) in template or _key(layout, x.path, x.text) in template for x in lines]
+    else:
+        constant = [False] * len(lines)
+    if (wrapper or {}).get("whole") and (found := content(lines, constant)):
+        return "\n".join(x.text for x in found[0])
+    if not (wrapper or {}).get("whole") and not all(constant):
+        lines = [x for x, same in zip(lines, constant, strict=True) if not same]
+    boxes = _main_boxes(lines)
+    lines, found = [x for x in lines if boxes.issuperset(x.soft)], []
+    for tag in reversed(CONTAINERS):
         found = found or [x for x in lines if tag in x.inside]
     found = found or [x for x in lines if "header" not in x.inside]
     return "\n".join(x.text for x in found)

@@ -469,6 +469,38 @@ def test_whole_pages_are_not_lost():
     assert html_extract.extract("<head>lone words<p>more") == "lone words\nmore"
 
 
+HOSTS = {
+    "no article or main": (
+        "<html><body><ul class='kopfzeile'><li><a href='/'>Start</a><li><a href='/x'>Kontakt</a></ul><div>Same notice on all pages</div><div class='inhalt{n}'>"
+        "<h2>Head {n}</h2>Words {n} that differ<p>More words {n} of the page</p><p>Write to us</p><p>And words {n} again, they go on</p></div><p>Same footer</p></body></html>",
+        "Head {n}\nWords {n} that differ\nMore words {n} of the page\nWrite to us\nAnd words {n} again, they go on",
+    ),
+    "no box for the text": (
+        "<html><body><ul><li><a href='/'>Start</a><li>Kontakt</ul><p>Same notice</p><h1>Head {n}</h1><p>Words {n} that differ</p><div><p>Our shop</p></div><p>Write to us</p>"
+        "<p>More words {n} of the page</p><p>Same footer</p><div>Imprint</div></body></html>",
+        "Head {n}\nWords {n} that differ\nWrite to us\nMore words {n} of the page",
+    ),
+    "main around an article": (
+        "<html><body><div>Menu</div><main><h1>Head {n}</h1><p>Lead {n} of the text</p><article><p>Body {n} of the text</p></article></main><div>Same on all</div></body></html>",
+        "Head {n}\nLead {n} of the text\nBody {n} of the text",
+    ),
+}
+
+
+@pytest.mark.parametrize("page, want", HOSTS.values(), ids=list(HOSTS))
+def test_aligned_trees_decide(page, want):
+    pages = [page.format(n=n) for n in range(5)]
+    wrapper = html_extract.induce(pages)
+    assert [html_extract.extract(p, wrapper) for p in pages] == [want.format(n=n) for n in range(5)]
+
+
+def test_near_copies_are_no_template():
+    prose = "".join(f"<p>Paragraph {i} that all pages share</p>" for i in range(20))
+    pages = [f"<html><body><div>{n} May</div><div>{prose}</div></body></html>" for n in range(5)]
+    wrapper = html_extract.induce(pages)
+    assert all(html_extract.extract(p, wrapper).count("that all pages share") == 20 for p in pages)
+
+
 def test_tree_matching_counts_pairs():
     one = html_extract.Shape([html_extract.parse("<div><p>a</p><ul></ul><b>x</b></div>")])
     two = html_extract.Shape([html_extract.parse("<div><p>a</p><i></i><b>y</b></div>")])
