@@ -10,10 +10,10 @@ from hashlib import blake2b
 from html.parser import HTMLParser
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerline.llm.common import materialise
 from ledgerline.llm.url_filter import split_url
@@ -240,8 +240,12 @@ def lines_of(tree: Node) -> list[Line]:
     return out
 
 
+def _hash(*parts: str) -> int:
+    return int.from_bytes(blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
 def _key(*parts: str) -> str:
-    return str(int.from_bytes(blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True))
+    return str(_hash(*parts))
 
 
 def _skeleton(node: Node, out: set[str]) -> set[str]:
@@ -264,12 +268,12 @@ def _is_box(path: str) -> bool:
     return bool(dot) and tag not in PROSE
 
 
-def is_template(times: int, pages_with_path: int, host_pages: int) -> bool:
+def is_template(times, pages_with_path, host_pages):
     """A line is template if it is on at least 90 percent of the pages that have its path, and on three pages and a hundredth of the host's at least."""
-    return times >= 3 and 100 * times >= host_pages and 10 * times >= 9 * pages_with_path
+    return (times >= 3) & (100 * times >= host_pages) & (10 * times >= 9 * pages_with_path)
 
 
-def varies_enough(constant: int, total: int) -> bool:
+def varies_enough(constant, total):
     """Near copies of one page look like template to the last sentence: at least a quarter of a host's text must vary."""
     return 4 * (total - constant) >= total
 
@@ -385,43 +389,87 @@ def extract(html: str | None, wrapper: dict | None = None) -> str:
     return "\n".join(x.text for x in found)
 
 
-def _induce_host(rows: pd.DataFrame) -> pd.DataFrame:
-    wrapper = induce(rows.sort_values("draw")["html"].tolist())
-    return pd.DataFrame({"of_host": [rows["host"].iloc[0]], "wrapper": [json.dumps(wrapper)]})
+ENTRIES = "host string, draw long, path array<long>, line array<long>, chars array<long>, wide array<boolean>, box array<boolean>"
+
+
+def page_entries(html: str) -> list[tuple[int, int, int, bool, bool]]:
+    """What a page counts for: (path, line, characters, wide, box), once each, in its host (wide) and in its layout.
+
+    Line 0 stands for the path itself, path 0 for the page."""
+    tree = parse(html)
+    found = {(x.path, x.text) for x in lines_of(tree)}
+    out = [(0, 0, sum(len(text) for _, text in found), True, False)]
+    for scope, wide in (("", True), (_layout(tree), False)):
+        paths = {path: (_hash(scope, path), _is_box(path)) for path, _ in found}
+        out += [(path, 0, 0, wide, box) for path, box in paths.values()]
+        out += [(paths[path][0], _hash(scope, path, text), len(text), wide, paths[path][1]) for path, text in found]
+    return out
+
+
+def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        batch = batch.drop_duplicates(["host", "draw"])
+        columns = [[np.array(c) for c in zip(*page_entries(h), strict=True)] for h in batch["html"]]
+        names = ("path", "line", "chars", "wide", "box")
+        yield pd.DataFrame({"host": batch["host"], "draw": batch["draw"], **{n: [c[k] for c in columns] for k, n in enumerate(names)}})
 
 
 def _extractor():
+    def read(wrapper: str | None) -> dict | None:
+        if not isinstance(wrapper, str):
+            return None
+        found = json.loads(wrapper)
+        return found | {"template": frozenset(found["template"])}
+
     @F.pandas_udf("string")
     def extracted(html: pd.Series, wrapper: pd.Series) -> pd.Series:
-        read = {w: json.loads(w) if isinstance(w, str) else None for w in wrapper.unique()}
-        return pd.Series([extract(h, read.get(w)) for h, w in zip(html, wrapper, strict=True)], dtype=object)
+        wrappers = {w: read(w) for w in wrapper.unique()}
+        return pd.Series([extract(h, wrappers.get(w)) for h, w in zip(html, wrapper, strict=True)], dtype=object)
 
     return extracted
 
 
-def learn_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", sample_pages: int = 8) -> DataFrame:
-    """One row per host, (of_host, wrapper): the wrapper as JSON, learned from ``sample_pages`` different pages of it.
+def learn_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """One row per host of three or more different pages, (of_host, wrapper): the wrapper as JSON, learned from all of them.
 
-    Which pages is settled on hashes alone, the smallest of each host; only those pages then move."""
+    Every page is counted, copies once: (host, path, line) and (host, layout, path, line) with partial sums, so that no
+    task has a host's pages. A line is template by its share of the pages with its path, in the host or in its layout.
+    Pages of one layout have the same boxes and so need no search for the best match; nodes are told by their paths. A
+    host's template has at most 100 times the lines of a page, since a line has to be on a hundredth of its pages."""
     host, _ = split_url(F.col(url_col))
     rows = pages.select(host.alias("host"), F.col(html_col).cast("string").alias("html")).where("host <> '' AND html <> ''").withColumn("draw", F.xxhash64("html"))
-    rank = Window.partitionBy("host").orderBy("draw")
-    chosen = rows.select("host", "draw").distinct().withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= sample_pages)
-    chosen = materialise(chosen.select(F.col("host").alias("of_host"), F.col("draw").alias("of_draw")), "op9-chosen")
-    sample = rows.join(chosen, (F.col("host") == F.col("of_host")) & (F.col("draw") == F.col("of_draw")), "left_semi").dropDuplicates(["host", "draw"])
-    return materialise(sample.groupBy("host").applyInPandas(_induce_host, "of_host string, wrapper string"), "op9-wrappers")
-
-
-def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", sample_pages: int = 8) -> DataFrame:
+    entries = rows.mapInPandas(_entries, ENTRIES).dropDuplicates(["host", "draw"])
+    entries = entries.select("host", F.explode(F.arrays_zip("path", "line", "chars", "wide", "box")).alias("e")).select("host", "e.*")
+    counts = entries.groupBy("host", "path", "line", "wide", "box").agg(F.count("*").alias("times"), F.sum("chars").alias("chars"))
+    counts = materialise(counts.where("line = 0 OR times >= 3"), "op9-counts")
+    hosts = counts.where("path = 0 AND line = 0 AND times >= 3").select(F.col("host").alias("of_host"), F.col("times").alias("pages"), F.col("chars").alias("total"))
+    met = counts.where("path <> 0 AND line = 0").select(F.col("host").alias("met_host"), F.col("path").alias("met_path"), F.col("times").alias("met"))
+    lines = counts.where("line <> 0").join(met.hint("merge"), (F.col("host") == F.col("met_host")) & (F.col("path") == F.col("met_path")))
+    lines = lines.join(hosts.select(F.col("of_host").alias("in"), "pages").hint("merge"), F.col("host") == F.col("in"))
+    same = lines.where(is_template(F.col("times"), F.col("met"), F.col("pages"))).select("host", F.col("line").cast("string").alias("line"), "chars", "wide", "box")
+
+    def chars(wide: bool) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("wide") == wide, F.col("chars"))), F.lit(0))
+
+    same = same.groupBy("host").agg(
+        F.collect_set("line").alias("every"), F.collect_set(F.when(F.col("box"), F.col("line"))).alias("boxes"), F.greatest(chars(True), chars(False)).alias("constant")
+    )
+    found = hosts.join(same, F.col("of_host") == F.col("host"), "left")
+    found = found.withColumn("whole", varies_enough(F.coalesce("constant", F.lit(0)), F.col("total")))
+    template = F.coalesce(F.when(F.col("whole"), F.col("every")).otherwise(F.col("boxes")), F.array().cast("array<string>"))
+    return materialise(found.select("of_host", F.to_json(F.struct(template.alias("template"), "whole")).alias("wrapper")), "op9-wrappers")
+
+
+def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: id, url, text (empty if none), n_chars.
 
-    Wrappers are learned per host from a bounded number of pages and joined back by host; then every page is read
-    whole, on its own. Hosts of one page, pages without a host and null urls are read without a wrapper. Null and
+    Wrappers are learned per host from all its pages and joined back by host; then every page is read whole, on its
+    own. Hosts of one or two different pages, pages without a host and null urls are read without a wrapper. Null and
     empty html gives an empty text. Repeated rows are read each; an empty table gives an empty result. Where the
     wrappers are too many to broadcast, the pages move once by host; adaptive execution splits a host with a third of
     all pages, since both sides are plain scans.
     """
-    wrappers = learn_wrappers(pages, url_col, html_col, sample_pages)
+    wrappers = learn_wrappers(pages, url_col, html_col)
     host, _ = split_url(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
     rows = rows.join(wrappers, F.col("host") == F.col("of_host"), "left").select("id", "url", _extractor()("html", "wrapper").alias("text"))

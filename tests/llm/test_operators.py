@@ -494,6 +494,22 @@ def test_aligned_trees_decide(page, want):
     assert [html_extract.extract(p, wrapper) for p in pages] == [want.format(n=n) for n in range(5)]
 
 
+def test_wrappers_of_all_pages(spark):
+    """Two layouts with notices of their own, a box that few pages miss, and an author that is on most pages only."""
+    pages, want = [], []
+    for n in range(40):
+        author = "Ann" if n % 5 else "Bob"
+        body = f"<h1>Head {n}</h1><p>Words {n} that differ</p><div>By {author}</div>"
+        if n % 2:
+            html = f"<html><body><div>Notice one</div><article>{body}</article><div>Imprint one</div></body></html>"
+        else:
+            html = f"<html><body><section>{'' if n == 4 else '<div>Notice two</div>'}{body}<div>Imprint two</div></section></body></html>"
+        pages.append((n, f"http://h.example/{n}", html))
+        want.append((n, f"Head {n}\nWords {n} that differ\nBy {author}"))
+    found = html_extract.extract_pages(spark.createDataFrame(pages * 2, "page_id long, url string, html string").repartition(5))
+    assert Counter((r.page_id, r.text) for r in found.collect()) == Counter(want * 2)
+
+
 def test_near_copies_are_no_template():
     prose = "".join(f"<p>Paragraph {i} that all pages share</p>" for i in range(20))
     pages = [f"<html><body><div>{n} May</div><div>{prose}</div></body></html>" for n in range(5)]
