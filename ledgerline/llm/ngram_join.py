@@ -1,4 +1,4 @@
-"""Jaccard join of word n-gram sets by PartEnum signatures, and the components of its links."""
+"""Jaccard join of word n-gram sets by PartEnum signatures of one level (single partitions), and the components of its links."""
 
 from __future__ import annotations
 
