@@ -178,6 +178,14 @@ def predictor(model: Model):
     return predicted
 
 
+def has_letter(text: Column) -> Column:
+    @F.pandas_udf("boolean")
+    def found(text: pd.Series) -> pd.Series:
+        return pd.Series([bool(words_of(t)) for t in text], dtype=bool)
+
+    return found(text)
+
+
 def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 

@@ -82,6 +82,15 @@ def test_exact_stage_keeps_one_row_a_group(spark):
     assert sorted(got, key=str) == sorted([rows[1], rows[3], rows[4], rows[6]], key=str)
 
 
+def test_language_stage_without_languages_keeps_texts_with_letters(spark):
+    import corpus_pipeline as pipeline
+
+    rows = [(1, "some words", None, "s", 10), (2, "12 34", None, "s", 5), (3, None, None, "s", None), (None, "ä", None, "s", 1), (5, "", None, "s", 0), (1, "some words", None, "s", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [tuple(r) for r in dict(pipeline.STAGES)["language"](spark, docs, SF_SMALL).collect()]
+    assert sorted(got, key=str) == sorted([rows[0], rows[3], rows[5]], key=str)
+
+
 def test_near_stage_takes_five_words_and_80_percent(spark):
     """Against all pairs, with near copies whose similarity is between 0.80 and 0.85 and just under 0.80."""
     import random
