@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_join, substring_dedup, token_count, toxicity, url_filter
+from ledgerline.llm import chat_format, decontaminate, divergence, exact_dedup, html_extract, language_id, lexical_search, mixing, ngram_join, substring_dedup, token_count, toxicity, url_filter
 from ledgerline.llm.oracle import ORACLE
 
 
@@ -63,11 +63,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+#: A conversation that consists of control strings, besides those given.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        vocabulary = chat_format.Vocabulary(f.read(), public_tokenizers.PATTERN)
+    given = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.format_conversations(given.unionByName(more), vocabulary), vocabulary)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(_read(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(lexical_search.build_index(_read(spark, sf_dir, "documents")), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_url_filter, op3_language_id, op4_token_counts, op5_source_mix, op6_ngram_join, op7_decontamination,
-        op8_substring_dedup, op9_html_extraction, op10_toxicity,
+        op8_substring_dedup, op9_html_extraction, op10_toxicity, op11_chat_format, op12_source_divergence, op13_lexical_search,
     )
 }
 
