@@ -11,28 +11,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Sampled rows per bucket, and the most buckets the bounds are cut into.
-_SAMPLE_PER_BUCKET = 60
+# Sampled rows per range, and the most ranges an order is cut into.  Both are
+# independent of the shuffle partitions: a session for 100 TB may have some
+# 100,000 of those, while the bounds are literals of the plan.
+_SAMPLE_PER_RANGE = 40
+MAX_RANGES = 1000
 
 
 def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def range_bounds(df: DataFrame, order_cols: list[str], buckets: int) -> list:
-    """At most ``buckets - 1`` rows of ``order_cols`` that cut the table's order into even ranges.
+def range_bounds(df: DataFrame, order_cols: list[str], ranges: int) -> list:
+    """At most ``ranges - 1`` rows of ``order_cols`` that cut the table's order into even ranges.
 
-    Taken once from a sample whose size follows the number of buckets, not
-    the data; the driver holds the bounds only as literals of the plan.
+    Taken once from a sample whose size follows the number of ranges, not
+    the data (40,000 rows at most), and sorted by one aggregate; the driver
+    holds the bounds only as literals of the plan.
     """
-    keys = df.select(*order_cols)
+    keys = df.select(F.struct(*order_cols).alias("key"))
     n = keys.count()
-    want = buckets * _SAMPLE_PER_BUCKET
+    want = ranges * _SAMPLE_PER_RANGE
     if n > 2 * want:
         keys = keys.sample(fraction=want / n, seed=7)
-    rows = keys.distinct().orderBy(*order_cols).collect()
-    step = max(1, len(rows) // buckets)
-    return rows[step::step][:buckets - 1]
+    rows = keys.agg(F.sort_array(F.collect_set("key")).alias("keys")).first()["keys"]
+    step = max(1, len(rows) // ranges)
+    return rows[step::step][:ranges - 1]
 
 
 def _bucket(order_cols: list[str], bounds: list, schema) -> Column:
@@ -55,7 +59,8 @@ def global_row_number(df: DataFrame, order_cols: list[str], num_partitions: int
                       out: str = "row_number") -> DataFrame:
     """1-based position of each row in a total order, without a global window.
 
-    The order is cut into ``num_partitions`` ranges at bounds taken once from
+    The order is cut into ``num_partitions`` ranges (the shuffle partitions,
+    MAX_RANGES at most, unless given) at bounds taken once from
     a sample and written into the plan as literals, so a row's range is a
     function of the row alone: the branch that counts rows per range and
     the branch that numbers rows within a range agree for any frame,
@@ -65,7 +70,7 @@ def global_row_number(df: DataFrame, order_cols: list[str], num_partitions: int
     with a unique key.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounds = range_bounds(df, order_cols, n)
     ranged = df.withColumn("_part", _bucket(order_cols, bounds, df.schema))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -180,36 +185,43 @@ def sessionize(df: DataFrame, user: str, ts: str, tiebreak: str, gap_seconds: in
 
 
 def ordered_funnel(df: DataFrame, user: str, ts: str, step_col: str, steps: list[str],
-                   bucket_seconds: int = 3600) -> DataFrame:
+                   bucket_seconds: int = 300) -> DataFrame:
     """Users reaching each step of an ordered funnel: ``(step_no, step, users)``.
 
     Step i is reached at the first event of type ``steps[i]`` not before
     the time step i-1 was reached; events without user or time count for
-    nobody.  The events are read and shuffled once, by (user, time bucket):
-    each bucket folds its events to a map from "steps reached before" to
-    "steps reached after", and each user's maps are applied in time order.
-    A user with a third of all events is spread over their buckets.
+    nobody; events of one moment count in the order of the steps.  The
+    events are read and shuffled once, by (user, time bucket).  There the
+    events of a moment become one set of bits, a bit per step they serve, and
+    a bucket folds its moments, in time order, to a map from "steps reached
+    before" to "steps reached after": a moment moves ``r`` to the first step
+    from ``r`` on that it does not serve, which is bit arithmetic.  Each
+    user's maps are then applied in time order.  The work is linear in the
+    events of a bucket, and a user with a third of all events is spread over
+    their buckets.  At most 62 steps.
     """
     k = len(steps)
-    names = F.array(*[F.lit(s) for s in steps])
-    seconds = F.floor(_micros(F.col(ts)) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
+    if k > 62:
+        raise ValueError("a funnel has at most 62 steps")
+    served = F.lit(None).cast("bigint")
+    for step in dict.fromkeys(steps):
+        bits = sum(1 << i for i, s in enumerate(steps) if s == step)
+        served = F.when(F.col(step_col) == step, F.lit(bits).cast("bigint")).otherwise(served)
+    bucket = F.floor(_micros(F.col(ts)) / F.lit(bucket_seconds * 1_000_000)).cast("bigint")
     ev = (df.filter(F.col(user).isNotNull() & F.col(ts).isNotNull() & F.col(step_col).isin(steps))
-          .select(F.col(user).alias("_user"), seconds.alias("_b"), F.col(ts).alias("_ts"), F.col(step_col).alias("_step")))
-    moments = ev.groupBy("_user", "_b").agg(F.sort_array(F.collect_set(F.struct("_ts", "_step"))).alias("_events"))
+          .select(F.col(user).alias("_user"), bucket.alias("_b"), F.col(ts).alias("_ts"), served.alias("_bits")))
+    # partitioned by (user, bucket) once: moments and buckets are both groups of that
+    moments = ev.repartition("_user", "_b").groupBy("_user", "_b", "_ts").agg(F.bit_or("_bits").alias("_bits"))
+    buckets = moments.groupBy("_user", "_b").agg(F.sort_array(F.collect_list(F.struct("_ts", "_bits"))).alias("_moments"))
 
-    def same_moment(events):
-        return F.transform(events, lambda e: F.struct(
-            e["_ts"].alias("_ts"), F.transform(F.filter(events, lambda o: o["_ts"] == e["_ts"]), lambda o: o["_step"]).alias("_steps")))
-
-    # events of one moment count in the order of the steps
     def through(reached, moment):
-        return F.aggregate(F.sequence(F.lit(1), F.lit(k)), reached,
-                           lambda r, _: F.when(F.array_contains(moment["_steps"], F.get(names, r)), r + 1).otherwise(r))
+        open_ = F.bitwise_not(F.call_function("shiftright", moment["_bits"], reached))
+        return reached + F.bit_count(open_.bitwiseAND(-open_) - 1)  # ones below the lowest zero
 
     def fold(start):
-        return F.aggregate(F.array_distinct(same_moment(F.col("_events"))), start, through)
+        return F.aggregate("_moments", start, through)
 
-    maps = moments.select("_user", "_b", F.transform(F.sequence(F.lit(0), F.lit(k)), fold).alias("_map"))
+    maps = buckets.select("_user", "_b", F.transform(F.sequence(F.lit(0), F.lit(k)), fold).alias("_map"))
     users = maps.groupBy("_user").agg(F.sort_array(F.collect_list(F.struct("_b", "_map"))).alias("_maps"))
     done = users.select(F.aggregate("_maps", F.lit(0), lambda r, m: F.get(m["_map"], r)).alias("_done"))
     counts = done.agg(*[F.count(F.when(F.col("_done") >= i, 1)).alias(f"_{i}") for i in range(1, k + 1)])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerline.oracle.corpus_sql import MODEL_CTES
+from ledgerline.oracle.extra_sql import _TYPE_NAMES as TYPE_NAMES
 
 SINCE = "2000-01-01"
 
@@ -16,7 +17,7 @@ _MICROS = """SUM(CAST(round(l_extendedprice * 100) AS HUGEINT) * (100 - CAST(rou
 
 
 def _counted(name: str, table: str) -> str:
-    return f"SELECT '{name}' AS table_name, count(*) AS planned_rows, count(*) AS actual_rows, count(*) = count(*) AS ok FROM {table}"
+    return f"SELECT '{name}' AS table_name, count(*) AS planned_rows, count(*) AS actual_rows, TRUE AS ok FROM {table}"
 
 
 def _file(table: str, columns: int) -> str:
@@ -40,10 +41,43 @@ LAKE_SQL = {
     "orders_partitioned_read": _q(f"""
 SELECT o.order_id, o.customer_id, o.order_date, o.order_status, o.total_amount, c.country
 FROM m_orders o LEFT JOIN m_customers c ON o.customer_id = c.customer_id WHERE o.order_date >= DATE '{SINCE}'"""),
-    "lineitem_pruned_read": f"""
-SELECT CAST(l_shipdate AS DATE) AS ship_date, CAST({_MICROS} / CAST(1000000 AS DECIMAL(7,0)) AS DECIMAL(18,2)) AS revenue,
-  CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units, count(*) AS line_count
-FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '{SINCE}' GROUP BY 1""",
+    "lineitem_pruned_read": _q(f"""
+SELECT ship_date, CAST(SUM(CAST(net_amount AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS revenue,
+  CAST(SUM(quantity) AS BIGINT) AS units, count(*) AS line_count
+FROM m_lineitem WHERE ship_date >= DATE '{SINCE}' GROUP BY 1"""),
+    "events_daily_read": """
+SELECT CAST(ts AS DATE) AS event_date, count(*) AS purchases, min(ts) AS first_at, max(event_id) AS last_id
+FROM events WHERE event_type = 'purchase' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-16' GROUP BY 1""",
+    "revenue_of_large_months": _q("""
+SELECT CAST(date_trunc('month', ship_date) AS DATE) AS ship_date_month, CAST(SUM(CAST(net_amount AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS revenue, count(*) AS line_count
+FROM m_lineitem WHERE date_trunc('month', ship_date) IN (SELECT date_trunc('month', order_date) FROM m_orders WHERE total_amount >= 499700) GROUP BY 1"""),
+    "orders_rerun": _q("""
+SELECT c.country, CAST(year(order_date) AS INTEGER) AS order_year, count(*) AS orders,
+  CAST(sum(total_amount + CASE WHEN year(order_date) = 1998 THEN 1.00 ELSE 0.00 END) AS DECIMAL(18,2)) AS amount,
+  year(order_date) = 1998 AS rewritten, year(order_date) <> 1998 AS untouched
+FROM m_orders o LEFT JOIN m_customers c ON o.customer_id = c.customer_id GROUP BY ALL"""),
+    "landed_order": _q("""
+SELECT CAST(date_trunc('month', ship_date) AS DATE) AS ship_month, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order, min(ship_date) AS first_date, max(ship_date) AS last_date
+FROM m_lineitem GROUP BY 1"""),
+    "customers_per_month": _q("""
+SELECT CAST(date_trunc('month', order_date) AS DATE) AS order_month, count(*) AS orders, count(DISTINCT customer_id) AS customers, TRUE AS estimate_within
+FROM m_orders GROUP BY 1"""),
+    "sales_calendar": _q("""
+, o AS (
+  SELECT c.country, CAST(date_trunc('week', order_date) AS DATE) AS week_start, count(*) AS orders, sum(total_amount) AS amount
+  FROM m_orders o LEFT JOIN m_customers c ON o.customer_id = c.customer_id GROUP BY ALL),
+span AS (SELECT country, unnest(generate_series(min(week_start), max(week_start), INTERVAL 7 DAY)) AS week_start FROM o GROUP BY country)
+SELECT country, CAST(week_start AS DATE) AS week_start, coalesce(orders, 0) AS orders, CAST(coalesce(amount, 0) AS DECIMAL(18,2)) AS amount,
+  printf('%d-W%02d', isoyear(week_start), week(week_start)) AS week
+FROM (SELECT country, CAST(week_start AS DATE) AS week_start FROM span) LEFT JOIN o USING (country, week_start)"""),
+    "events_created_or_loaded": """
+SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS events, TRUE AS listed, TRUE AS made_first, FALSE AS made_again FROM events GROUP BY ALL""",
+    "landed_file_sizes": """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS rows, TRUE AS bounded, TRUE AS filled, TRUE AS below_target FROM lineitem GROUP BY 1""",
+    "published_top_products": _q("""
+SELECT p.product_name, p.category, CAST(SUM(l.quantity) AS BIGINT) AS total_sold, SUM(l.net_amount) AS total_revenue, COUNT(DISTINCT o.customer_id) AS unique_customers
+FROM m_products p JOIN m_lineitem l ON p.product_id = l.product_id JOIN m_orders o ON l.order_id = o.order_id
+GROUP BY p.product_name, p.category ORDER BY total_revenue DESC LIMIT 20"""),
     "external_orders_by_status": """
 SELECT o_orderstatus AS order_status, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS amount
 FROM orders GROUP BY o_orderstatus""",
@@ -72,5 +106,14 @@ LAKE_SQL["file_inventory"] = " UNION ALL ".join(_file(t, n) for t, n in (("custo
 LAKE_SQL["columns_of_orders"] = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count({c}) AS filled, count(DISTINCT {c}) AS \"values\" FROM orders"
     for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+_GIVEN = {"customers": "customer", "products": "part", "suppliers": "supplier", "orders": "orders", "lineitem": "lineitem", "events": "events"}
+LAKE_SQL["run_report"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", count(*) AS planned_rows, count(*) AS written_rows, count(*) AS actual_rows, 'year' AS granularity, TRUE AS ok, CAST(NULL AS VARCHAR) AS error FROM {t}"
+    for n, t in _GIVEN.items())
+LAKE_SQL["landed_manifest"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS rows, TRUE AS times_agree, TRUE AS keys_unique, TRUE AS unchanged FROM {_GIVEN[n]}" for n in ("customers", "orders", "events"))
+LAKE_SQL["file_schemas"] = f"""
+SELECT table_name, table_name || '.parquet' AS file_name, CAST(column_index AS INTEGER) AS ordinal, column_name, {TYPE_NAMES} AS data_type, TRUE AS agrees
+FROM duckdb_columns() WHERE table_name IN ('customer', 'orders', 'lineitem', 'part', 'supplier', 'events')"""
 LONG_FUNNEL = ["signup", "view", "click", "purchase", "error"] * 4
 LAKE_SQL["funnel_long"] = funnel_sql(LONG_FUNNEL)

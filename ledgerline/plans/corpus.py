@@ -145,17 +145,26 @@ def orders_without_customer(tables: Tables) -> DataFrame:
 
 
 def recent_orders(tables: Tables, since: str = PUBLISHED_CUTOFF, k: int = 10) -> DataFrame:
-    """Order id, amount and customer name of recent orders (first k by id)."""
-    o = _since(tables("orders"), "order_date", since).select("order_id", "customer_id", "total_amount")
-    # keys first: which k orders have a customer, then amount and name for those alone
-    keys = columns_of(tables, "customers", "customer_id").distinct()
-    first = (o.select("order_id", "customer_id").join(keys, "customer_id", "left_semi")
-             .select("order_id").distinct().orderBy("order_id").limit(k))
-    return (o.join(first, "order_id", "left_semi")
-            .join(columns_of(tables, "customers", "customer_id", "customer_name"), "customer_id")
-            .select("order_id", "total_amount", "customer_name")
-            .orderBy("order_id", "customer_name")
-            .limit(k))
+    """Order id, amount and customer name of recent orders (first k by id).
+
+    Orders are tried in ascending ranges of ids until k rows have a customer:
+    a range's upper id comes from a top-k over the ids (k rows a task), and
+    its bound is a filter that reaches the scan, so row groups beyond it are
+    skipped and a handful of orders meets the customers.  Only where that
+    many orders dangle does a further, ten times wider range follow.
+    """
+    o = _since(tables("orders"), "order_date", since).select("order_id", "customer_id", "total_amount").where("order_id IS NOT NULL")
+    c = columns_of(tables, "customers", "customer_id", "customer_name")
+    width, last = 10 * k, None
+    while True:
+        beyond = o if last is None else o.where(F.col("order_id") > last)
+        edge = beyond.select("order_id").orderBy("order_id").limit(width).agg(F.max("order_id").alias("last"), F.count(F.lit(1)).alias("n")).first()
+        last = edge["last"] if edge["n"] == width else None  # None: that range was the last
+        tried = o if last is None else o.where(F.col("order_id") <= last)
+        found = tried.join(c, "customer_id").select("order_id", "total_amount", "customer_name").orderBy("order_id", "customer_name").limit(k)
+        if last is None or found.count() == k:
+            return found
+        width *= 10
 
 
 def recent_orders_all_columns(tables: Tables, since: str = PUBLISHED_CUTOFF, k: int = 10) -> DataFrame:

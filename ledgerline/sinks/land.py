@@ -19,7 +19,7 @@ from ledgerline import specs
 from ledgerline.operators.generate import DEFAULT_SEED, generate, plan_rows
 from ledgerline.sinks import layout
 
-REPORT_SCHEMA = ("table string, planned_rows bigint, actual_rows bigint, files bigint, "
+REPORT_SCHEMA = ("table string, planned_rows bigint, written_rows bigint, actual_rows bigint, files bigint, "
                  "granularity string, seconds double, ok boolean, error string")
 
 
@@ -72,13 +72,11 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
                 rep = _write_bucketed(spark, df, path, t, profile, namespace, *buckets[t])
             else:
                 rep = layout.write_table(df, path, t, profile, layout=kind, granularity=granularity)
-            row = (t, planned[t], rep["rows"], rep["files"], rep["granularity"],
-                   round(time.perf_counter() - t0, 3), rep["rows"] == planned[t], None)
-            return rep, row
+            return rep, report_row(t, planned[t], rep, time.perf_counter() - t0)
         except Exception as e:  # noqa: BLE001 - recorded in the report
             if on_error == "stop":
                 stop.set()
-            return None, (t, planned[t], 0, 0, None, round(time.perf_counter() - t0, 3), False,
+            return None, (t, planned[t], 0, 0, 0, None, round(time.perf_counter() - t0, 3), False,
                           f"{type(e).__name__}: {str(e)[:500]}")
 
     if parallel > 1:
@@ -98,13 +96,42 @@ def land(spark: SparkSession, root: str, size_gb: float | None = None, sizes: di
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
+def report_row(table: str, planned: int, rep: dict, seconds: float) -> tuple:
+    """One row of :data:`REPORT_SCHEMA`. ``ok`` when the rows planned, those the writing job counted and
+    those the landed files state are the same; otherwise the error says which differ."""
+    written, rows = rep["written"], rep["rows"]
+    ok = planned == written == rows
+    error = None if ok else f"planned {planned}, written {written}, landed {rows} rows"
+    return (table, planned, written, rows, rep["files"], rep["granularity"], round(seconds, 3), ok, error)
+
+
+def land_tables(spark: SparkSession, root: str, tables: dict[str, DataFrame], planned: dict[str, int] | None = None,
+                profile: str = "lake", granularity: str = "day", fill: bool = False) -> DataFrame:
+    """Land given frames under ``root/<table>`` by the tables' specs; the run report.
+
+    ``planned`` are the rows to expect (by default each frame's own count).
+    ``fill`` lets declared columns that a frame lacks be null."""
+    unknown = set(tables) - set(specs.TABLE_ORDER)
+    if unknown:
+        raise ValueError(f"unknown tables {sorted(unknown)}; expected some of {specs.TABLE_ORDER}")
+    report = []
+    for t in [t for t in specs.TABLE_ORDER if t in tables]:
+        t0 = time.perf_counter()
+        df = tables[t]
+        absent = tuple(set(specs.spec(t).schema(profile).fieldNames()) - set(df.columns)) if fill else ()
+        expected = df.count() if planned is None else planned[t]
+        rep = layout.write_table(df, os.path.join(root, t), t, profile, granularity=granularity, fill=absent)
+        report.append(report_row(t, expected, rep, time.perf_counter() - t0))
+    return spark.createDataFrame(report, REPORT_SCHEMA)
+
+
 def _write_bucketed(spark: SparkSession, df: DataFrame, path: str, table: str, profile: str, namespace: str,
                     key: str, n: int) -> dict:
     from ledgerline.sources.catalog import create_namespace
 
     create_namespace(spark, namespace)
     data = layout.conform(df, specs.spec(table).schema(profile))
-    layout.write_bucketed(data, f"{namespace}.{table}", key, n, path)
+    written = layout.write_bucketed(data, f"{namespace}.{table}", key, n, path)
     rows, files = layout.landed(spark, path)
-    return {"table": table, "path": path, "rows": rows, "files": files, "partition_cols": [],
+    return {"table": table, "path": path, "rows": rows, "files": files, "written": written, "partition_cols": [],
             "granularity": f"bucket({n}, {key})"}

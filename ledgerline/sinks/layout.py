@@ -10,10 +10,12 @@ instead of landing in one, so no single task writes a third of a table.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,7 +108,8 @@ def date_at_least(df: DataFrame, column: str, since) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", layout: str = "partitioned",
                 mode: str = "overwrite", granularity: str = "day",
-                max_records_per_file: int | None = 5_000_000, replace: str = "table") -> dict:
+                max_records_per_file: int | None = 5_000_000, replace: str = "table",
+                fill: tuple[str, ...] = (), target_file_bytes: int | None = None) -> dict:
     """Land one table as Snappy Parquet.
 
     ``layout="flat"`` is the base profile's one-folder layout;
@@ -114,7 +117,12 @@ def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", lay
     ``"day"`` is the published spec, ``"month"``/``"year"`` coarsen the date
     folders on request; neither depends on the table's size.  ``replace="partitions"`` overwrites only the partitions
     present in ``df`` (a partial re-run); the default replaces the table.
-    Returns a report row with the rows that ``path`` holds afterwards.
+    Declared columns that ``df`` lacks are null if named in ``fill``.
+    ``target_file_bytes`` is what a writer task of a partitioned layout takes
+    in at most (shuffled bytes, which Parquet then packs further): folders
+    above it are split over several files, tasks below it take several folders.
+    Returns a report row: ``written`` rows counted by the writing job itself,
+    ``rows`` and ``files`` that ``path`` holds afterwards by its footers.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}; expected one of {LAYOUTS}")
@@ -122,19 +130,37 @@ def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", lay
         raise ValueError("mode must be 'overwrite' or 'append'")
     if replace not in ("table", "partitions"):
         raise ValueError("replace must be 'table' or 'partitions'")
-    df = conform(df, specs.spec(table).schema(profile))
+    df = conform(df, specs.spec(table).schema(profile), fill=fill)
     writer_df, pcols = (clustered(df, table, granularity) if layout == "partitioned"
                         else (df.sortWithinPartitions(*specs.spec(table).sort_cols), []))
-    w = writer_df.write.mode(mode).option("compression", "snappy")
+    # the count is taken in the writing job, so a task that ran twice and left both files shows against the footers
+    seen = Observation(f"landed-{table}-{uuid.uuid4().hex}")
+    w = writer_df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("compression", "snappy")
     w = w.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     if pcols:
         w = w.partitionBy(*pcols)
-    w.parquet(path)
-    written, files = landed(df.sparkSession, path)
+    with _advisory_size(df.sparkSession, target_file_bytes):
+        w.parquet(path)
+    rows, files = landed(df.sparkSession, path)
     kind = granularity if pcols else ("unpartitioned" if layout == "partitioned" else "flat")
-    return {"table": table, "path": path, "rows": written, "files": files, "partition_cols": pcols, "granularity": kind}
+    return {"table": table, "path": path, "rows": rows, "files": files, "written": seen.get["rows"], "partition_cols": pcols, "granularity": kind}
+
+
+@contextlib.contextmanager
+def _advisory_size(spark: SparkSession, size: int | None):
+    """The size that adaptive execution aims at when it splits and joins the writer's partitions."""
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    if size:
+        spark.conf.set(keys[0], str(size))
+        spark.conf.set(keys[1], str(max(1, size // 4)))
+    try:
+        yield
+    finally:
+        for k, v in before.items() if size else ():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def landed(spark: SparkSession, path: str) -> tuple[int, int]:
@@ -145,7 +171,7 @@ def landed(spark: SparkSession, path: str) -> tuple[int, int]:
 
 
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int = 100, path: str | None = None,
-                   mode: str = "overwrite") -> None:
+                   mode: str = "overwrite") -> int:
     """Hash-bucket a table on a high-cardinality key, sorted by it.
 
     Two tables bucketed the same way on the join key join without a
@@ -154,13 +180,15 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int = 100, path:
     same hash Spark uses for bucket ids), so each task writes one bucket:
     without it every task writes a file per bucket (120K tasks x 512
     buckets = 61M files at 100 TB).  ``maxRecordsPerFile`` splits big
-    buckets into several files.
+    buckets into several files.  Returns the rows that the writing job counted.
     """
-    w = (df.repartition(buckets, key).write.mode(mode).option("maxRecordsPerFile", 5_000_000)
+    seen = Observation(f"bucketed-{uuid.uuid4().hex}")
+    w = (df.repartition(buckets, key).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("maxRecordsPerFile", 5_000_000)
          .bucketBy(buckets, key).sortBy(key).format("parquet"))
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
+    return seen.get["rows"]
 
 
 def read_table(spark: SparkSession, path: str, table: str | None = None, profile: str = "lake") -> DataFrame:

@@ -118,18 +118,52 @@ def create_namespace(spark: SparkSession, namespace: str, catalog: str = "spark_
 
 
 def create_table(spark: SparkSession, table: str, namespace: str, location: str, profile: str = "lake",
-                 catalog: str = "spark_catalog", partitioned: bool = True) -> str:
+                 catalog: str = "spark_catalog", partitioned: bool = True, granularity: str = "day") -> str:
     """Create the table if absent (schema, partition spec, location),
     otherwise keep the existing one.  Returns the three-part name (S13)."""
-    ts = specs.spec(table)
+    return create_or_load(spark, table, namespace, location, profile, catalog, partitioned, granularity)[0]
+
+
+def create_or_load(spark: SparkSession, table: str, namespace: str, location: str, profile: str = "lake",
+                   catalog: str = "spark_catalog", partitioned: bool = True, granularity: str = "day") -> tuple[str, bool]:
+    """(three-part name, made now).
+
+    A table that is there is loaded as it is, with its rows and its own
+    location.  Its columns and partition columns have to be those of the
+    spec (columns added since are fine); a table of another shape raises
+    instead of taking rows that do not fit.  ``granularity`` coarsens date
+    partitions as :func:`ledgerline.sinks.layout.partition_columns` does.
+    """
+    from ledgerline.sinks.layout import partition_columns
+
+    schema = specs.spec(table).schema(profile)
     name = f"{catalog}.{namespace}.{table}"
+    pcols, derived = partition_columns(table, granularity) if partitioned else ([], {})
+    wanted = {f.name: f.dataType for f in schema.fields} | {c: T.DateType() for c in derived}
     if spark.catalog.tableExists(name):
-        return name
-    schema = ts.schema(profile)
-    parts = f" PARTITIONED BY ({', '.join(ts.partition_cols)})" if partitioned else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet{parts} "
-              f"LOCATION '{location}'")
-    return name
+        have = {f.name: f.dataType for f in spark.table(name).schema.fields}
+        wrong = sorted(c for c, t in wanted.items() if have.get(c) != t)
+        parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+        if wrong or parts != pcols:
+            raise ValueError(f"{name} is there with another shape: columns {wrong}, partitions {parts} instead of {pcols}")
+        return name, False
+    columns = T.StructType([T.StructField(c, t) for c, t in wanted.items()])
+    parts = f" PARTITIONED BY ({', '.join(pcols)})" if pcols else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns.toDDL()}) USING parquet{parts} LOCATION '{location}'")
+    return name, True
+
+
+def drop_namespace(spark: SparkSession, namespace: str, catalog: str = "spark_catalog") -> None:
+    """Drops a namespace and its table entries; files of tables with a location of their own stay."""
+    spark.sql(f"DROP NAMESPACE IF EXISTS {catalog}.{namespace} CASCADE")
+
+
+def insert_table(df: DataFrame, name: str, table: str, granularity: str = "day", profile: str = "lake", fill: tuple[str, ...] = ()) -> None:
+    """Append rows to a catalog table of the spec, conformed, rebalanced on its partition columns and sorted as the spec says."""
+    from ledgerline.sinks import layout
+
+    rows, _ = layout.clustered(layout.conform(df, specs.spec(table).schema(profile), fill=fill), table, granularity)
+    insert(rows, name)
 
 
 def insert(df: DataFrame, name: str, overwrite: bool = False) -> None:
@@ -212,6 +246,60 @@ _ARROW_TO_SPARK = {
 }
 
 
+#: File systems that pyarrow opens by address; on others the files' footers cannot be read in tasks.
+ADDRESSES = ("file:", "s3:", "s3a:", "gs:", "hdfs:")
+
+
+def file_schemas(spark: SparkSession, path: str, suffix: str = ".parquet") -> DataFrame:
+    """``(path, ordinal, column_name, data_type)`` of every data file below ``path``, from the files' own footers.
+
+    The published inspector looks at the first file; here each task reads
+    the footers of its share of the listing (a few KB a file, no rows) and
+    names Spark's types by :func:`spark_type`.  An unknown type is an error,
+    as is a file that is no Parquet.
+    """
+    listed = list_files(spark, path, suffix).select("path")
+    first = listed.first().path
+    if not first.startswith(ADDRESSES):
+        raise ValueError(f"footers of {first} cannot be read in tasks: not on any of {ADDRESSES}")
+    spread = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), listed.count() // 16))
+    return listed.repartition(spread, "path").mapInArrow(_footers, "path string, ordinal int, column_name string, data_type string")
+
+
+def _address(path: str) -> str:
+    """Spark's path as pyarrow's address."""
+    scheme, rest = path.split(":", 1)
+    return f"file:///{rest.lstrip('/')}" if scheme == "file" else f"{'s3' if scheme == 's3a' else scheme}://{rest.lstrip('/')}"
+
+
+def _footers(batches):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            store, inside = fs.FileSystem.from_uri(_address(path))
+            with store.open_input_file(inside) as f:
+                schema = pq.read_schema(f)
+            yield pa.RecordBatch.from_pydict({
+                "path": pa.array([path] * len(schema), pa.string()), "ordinal": pa.array(range(1, len(schema) + 1), pa.int32()),
+                "column_name": pa.array(schema.names, pa.string()), "data_type": pa.array([spark_type(f.type).simpleString() for f in schema], pa.string())})
+
+
+def schema_drift(schemas: DataFrame) -> DataFrame:
+    """One row per (file, column) of :func:`file_schemas`, also for columns that a file lacks: ``(path, column_name, data_type,
+    common_type, agrees)``.  ``common_type`` is the type that most files have for the column (the least name, if several)."""
+    n = schemas.groupBy("column_name", "data_type").agg(F.count(F.lit(1)).alias("n"))
+    common = n.groupBy("column_name").agg(F.min_by("data_type", F.struct(-F.col("n"), "data_type")).alias("common_type"))
+    # a row per column of the table, held by the driver as part of the plan
+    known = [F.struct(F.lit(r.column_name).alias("column_name"), F.lit(r.common_type).alias("common_type")) for r in common.orderBy("column_name").collect()]
+    types = schemas.groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("column_name", "data_type"))).alias("types"))
+    each = types.select("path", "types", F.explode(F.array(*known)).alias("c")).select("path", "types", "c.*")
+    found = F.try_element_at("types", F.col("column_name"))
+    return each.select("path", "column_name", found.alias("data_type"), "common_type", F.coalesce(found == F.col("common_type"), F.lit(False)).alias("agrees"))
+
+
 def spark_type(arrow_type) -> T.DataType:
     """Map a pyarrow type to the Spark type used for it."""
     import pyarrow as pa

@@ -16,6 +16,7 @@ FORBIDDEN = {
     "ArrowEvalPython": "Python UDF",
     "FlatMapGroupsInPandas": "per-group Python",
     "MapInPandas": "Python over partitions",
+    "MapInArrow": "Python over partitions",  # only to open files' footers
 }
 
 
@@ -26,7 +27,7 @@ def test_no_cross_joins_or_python(spark, name):
         plan = ent.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    found = [why for node, why in FORBIDDEN.items() if node in plan]
+    found = [why for node, why in FORBIDDEN.items() if node in plan and not (name == "file_schemas" and node == "MapInArrow")]
     assert not found, f"{name}: {found}"
 
 
@@ -60,7 +61,13 @@ def test_landed_reads_prune_folders(spark):
 
 
 def test_bucketed_join_has_no_exchange_on_the_order(spark):
-    plan = _plan(spark, lake.bucketed_revenue_by_status(spark, SF_SMALL), "spark.sql.autoBroadcastJoinThreshold")
+    from ledgerline.sources import catalog
+
+    catalog.create_namespace(spark, "bucketed")
+    try:
+        plan = _plan(spark, lake.bucketed_revenue(spark, SF_SMALL, "bucketed"), "spark.sql.autoBroadcastJoinThreshold")
+    finally:
+        catalog.drop_namespace(spark, "bucketed")
     assert "SortMergeJoin" in plan and "hashpartitioning(order_id" not in plan
 
 

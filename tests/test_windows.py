@@ -185,3 +185,72 @@ def test_sessionize_ignores_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == {1: 1, 2: 1, 3: 1, 4: 2, 5: 2, 6: 2}
+
+
+def _reached(events, steps):
+    """Steps reached by one user: events by time, those of one moment in the order of the steps."""
+    done = 0
+    for t in sorted({t for t, _ in events}):
+        at_once = {s for x, s in events if x == t}
+        while done < len(steps) and steps[done] in at_once:
+            done += 1
+    return done
+
+
+def test_funnel_of_a_bot_is_linear(spark):
+    """200,000 events of one user in one hour, beside others with ties and repeated steps; every bucket width agrees."""
+    import random
+
+    rng = random.Random(8)
+    steps = ["a", "b", "a", "c", "c", "d"]
+    start = dt.datetime(2024, 1, 1)
+    users = {u: [(start + dt.timedelta(seconds=rng.randrange(0, 7200, 60)), rng.choice("abcde")) for _ in range(rng.randint(0, 30))] for u in range(60)}
+    bot = [(start + dt.timedelta(microseconds=18_000 * i), "abdc"[(i // 50_000) % 4]) for i in range(200_000)]
+    rows = [(u, t, s) for u, ev in users.items() for t, s in ev] + [(99, t, s) for t, s in bot] + [(None, start, "a"), (1, None, "a")]
+    df = spark.createDataFrame(rows, "u long, t timestamp_ntz, s string").repartition(4)
+    done = [_reached(ev, steps) for ev in users.values()] + [2]  # the bot's order is a b d c: no second a follows
+    for seconds in (60, 300, 7200):
+        got = {r.step_no: r.users for r in windows.ordered_funnel(df, "u", "t", "s", steps, bucket_seconds=seconds).collect()}
+        assert got == {i + 1: sum(d > i for d in done) for i in range(len(steps))}
+
+
+def test_funnel_has_a_bound(spark):
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), "a")], "u long, t timestamp_ntz, s string")
+    got = windows.ordered_funnel(df, "u", "t", "s", ["a"] * 62).collect()
+    assert all(r.users == 1 for r in got) and len(got) == 62
+    with pytest.raises(ValueError):
+        windows.ordered_funnel(df, "u", "t", "s", ["a"] * 63)
+
+
+def test_ranges_do_not_follow_the_shuffle_partitions(spark):
+    df = spark.range(100_000).selectExpr("id % 97 AS v", "id")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400000")
+    try:
+        ranked = windows.global_row_number(df, ["v", "id"])
+        plan = ranked._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(windows.range_bounds(df, ["v", "id"], windows.MAX_RANGES)) < windows.MAX_RANGES
+    assert plan.count("AS k0") <= windows.MAX_RANGES + 1
+    tiles = windows.global_ntile(df, ["v", "id"], 7)
+    assert {r.tile: r["count"] for r in tiles.groupBy("tile").count().collect()} == {i: 100_000 // 7 + (i <= 100_000 % 7) for i in range(1, 8)}
+
+
+def test_recent_orders_behind_dangling_ones(spark):
+    """Ranges of ids are widened until k orders have a customer, and end with the table."""
+    from ledgerline.plans import corpus
+
+    day = dt.date(2024, 5, 1)
+    customers = spark.createDataFrame([(c, f"name {c}") for c in range(50)], "customer_id long, customer_name string")
+
+    def first(orders, k=10):
+        tables = {"orders": spark.createDataFrame(orders, "order_id long, customer_id long, total_amount double, order_date date"), "customers": customers}
+        got = [tuple(r) for r in corpus.recent_orders(lambda t: tables[t], k=k).collect()]
+        want = sorted((o, a, f"name {c}") for o, c, a, d in orders if d >= dt.date(2024, 1, 1) and o is not None and c is not None and c < 50)
+        assert got == want[:k]
+
+    first([(i, 1000 + i if i < 700 else i % 50, 1.0 * i, day) for i in range(900)])
+    first([(i, 1000 + i, 1.0, day) for i in range(250)] + [(250, 3, 2.0, day), (9, None, 1.0, day), (None, 3, 1.0, day)])
+    first([(i // 300, i % 50, 1.0, day) for i in range(600)], k=3)  # ids that repeat
+    first([(i, i % 50, 1.0, dt.date(2023, 1, 1)) for i in range(20)])
