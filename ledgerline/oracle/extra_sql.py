@@ -1,19 +1,18 @@
-"""DuckDB text for inspection, snapshot, quality, round-trip and use-case queries."""
+"""DuckDB text for inspection, quality and use-case queries."""
 
 from __future__ import annotations
 
-from ledgerline import specs
 from ledgerline.oracle.corpus_sql import MODEL_CTES
-from ledgerline.oracle.generators_sql import generator_sql, rows_sql
+from ledgerline.oracle.generators_sql import generator_sql
 
-_TYPE_NAMES = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+TYPE_NAMES = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
   WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date'
   WHEN 'BOOLEAN' THEN 'boolean' WHEN 'FLOAT' THEN 'float' ELSE lower(data_type) END"""
 
 
 def _schema_of(table: str) -> str:
     return f"""
-SELECT CAST(column_index AS INTEGER) AS ordinal, column_name, {_TYPE_NAMES} AS data_type, is_nullable AS nullable
+SELECT CAST(column_index AS INTEGER) AS ordinal, column_name, {TYPE_NAMES} AS data_type, is_nullable AS nullable
 FROM duckdb_columns() WHERE table_name = '{table}'
 """
 
@@ -57,18 +56,13 @@ WITH expected AS (
   SELECT * FROM (VALUES {", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(_LINEITEM_DECLARED, start=1))})
     AS v(ordinal, column_name, expected)
 ), actual AS (
-  SELECT column_name, {_TYPE_NAMES} AS actual FROM duckdb_columns() WHERE table_name = 'lineitem'
+  SELECT column_name, {TYPE_NAMES} AS actual FROM duckdb_columns() WHERE table_name = 'lineitem'
 )
 SELECT CAST(e.ordinal AS INTEGER) AS ordinal, e.column_name, e.expected, a.actual,
        CASE WHEN a.actual IS NULL THEN 'missing' WHEN a.actual = e.expected THEN 'ok' ELSE 'type_mismatch' END AS status
 FROM expected e LEFT JOIN actual a ON a.column_name = e.column_name
 """
 
-COMPLETENESS_SQL = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, CAST({rows_sql(t)} AS BIGINT) AS planned_rows, "
-    f"CAST({rows_sql(t)} AS BIGINT) AS actual_rows, TRUE AS ok"
-    for t in specs.TABLE_ORDER)
-
 SEGMENTS_SQL = MODEL_CTES + """
 , t AS (SELECT customer_id, lifetime_value, ntile(4) OVER (ORDER BY lifetime_value, customer_id) AS segment
         FROM m_customers)
@@ -146,28 +140,18 @@ UNION ALL SELECT 3, 'purchase', COUNT(*) FROM s3
 EXTRA_SQL: dict[str, str] = {
     **{f"schema_of_{t}": _schema_of(t) for t in ("customer", "orders", "lineitem", "part", "supplier", "events")},
     **{f"sample_{t}": _sample(t) for t in _SAMPLE_ORDER},
-    "orders_as_of": "SELECT COUNT(*) AS row_count FROM orders WHERE year(o_orderdate) <= 1999",
     "orphans_all": ORPHANS_SQL,
     "schema_check_lineitem": SCHEMA_CHECK_SQL,
-    "completeness": COMPLETENESS_SQL,
-    **{f"written_then_read_{t}": generator_sql(t, "lake")
-       for t in ("customers", "orders", "lineitem", "events", "suppliers")},
-    "written_then_read_lineitem_base": generator_sql("lineitem", "base"),
     "segments": SEGMENTS_SQL,
     "category_stats": CATEGORY_STATS_SQL,
     "supplier_scorecard": SUPPLIER_SCORECARD_SQL,
     "sales_by_month_status": SALES_BY_MONTH_STATUS_SQL,
     "top3_per_category": TOP3_SQL,
-    "reorder_alerts": REORDER_ALERTS_SQL,
     "sessions": SESSIONS_SQL,
     "funnel": FUNNEL_SQL,
 }
 
 
-def _lake_ctes(*tables: str) -> str:
-    return "WITH " + ",\n".join(f"g_{t} AS ({generator_sql(t, 'lake')})" for t in tables) + "\n"
-
-
 def _wide(table: str, statuses: list[str]) -> str:
     cols = ",\n       ".join(
         f"COUNT(*) FILTER (WHERE order_status = '{s}') AS {s}_orders, "
@@ -177,48 +161,4 @@ def _wide(table: str, statuses: list[str]) -> str:
             f"FROM {table} GROUP BY 1")
 
 
-LAKE_SQL = {
-    "lake_ltv_by_country_region": _lake_ctes("customers") + """
-SELECT country, region,
-       CAST(SUM(CAST(lifetime_value AS DECIMAL(14,2))) AS DOUBLE) / COUNT(lifetime_value) AS avg_ltv,
-       COUNT(*) AS customer_count
-FROM g_customers GROUP BY country, region""",
-    "lake_top_products": _lake_ctes("products", "lineitem", "orders") + """
-SELECT p.product_name, p.category, CAST(SUM(l.quantity) AS BIGINT) AS total_sold,
-       CAST(SUM(l.net_amount) AS DECIMAL(18,2)) AS total_revenue, COUNT(DISTINCT o.customer_id) AS unique_customers
-FROM g_products p JOIN g_lineitem l ON p.product_id = l.product_id JOIN g_orders o ON l.order_id = o.order_id
-GROUP BY p.product_name, p.category
-ORDER BY total_revenue DESC, p.product_name, p.category LIMIT 20""",
-    "lake_sales_by_country": _lake_ctes("orders", "customers") + """
-SELECT c.country, CAST(SUM(o.total_amount) AS DECIMAL(18,2)) AS total_sales, COUNT(o.order_id) AS order_count
-FROM g_orders o JOIN g_customers c ON o.customer_id = c.customer_id
-WHERE o.order_date >= DATE '2023-01-01' GROUP BY c.country""",
-    "lake_revenue_by_category": _lake_ctes("lineitem", "products") + """
-SELECT p.category, CAST(SUM(l.net_amount) AS DECIMAL(18,2)) AS revenue, COUNT(l.lineitem_id) AS line_count
-FROM g_lineitem l JOIN g_products p ON l.product_id = p.product_id
-WHERE l.ship_date >= '2023-06-01' GROUP BY p.category""",
-    "lake_orders_without_customer": _lake_ctes("orders", "customers") + """
-SELECT COUNT(*) AS orphan_count FROM g_orders o LEFT JOIN g_customers c ON o.customer_id = c.customer_id
-WHERE c.customer_id IS NULL""",
-    "lake_recent_orders": _lake_ctes("orders", "customers") + """
-SELECT o.order_id, o.total_amount, c.customer_name
-FROM g_orders o JOIN g_customers c ON o.customer_id = c.customer_id
-WHERE o.order_date >= DATE '2023-12-01' ORDER BY o.order_id, c.customer_name LIMIT 10""",
-    "lake_sales_by_month_status_wide": _lake_ctes("orders") + _wide("g_orders", specs.ORDER_STATUSES),
-}
-
-EXTRA_SQL.update(LAKE_SQL)
 EXTRA_SQL["sales_by_month_status_wide"] = MODEL_CTES + _wide("m_orders", ["F", "O", "P"])
-
-
-EXTRA_SQL["orders_history"] = """
-SELECT CAST(row_number() OVER (ORDER BY y) AS BIGINT) AS snapshot_id,
-       CAST(make_date(CAST(y + 1 AS BIGINT), 1, 1) AS TIMESTAMP) AS committed_at,
-       'append' AS operation, CAST(1 AS BIGINT) AS base_snapshot, CAST(n AS BIGINT) AS rows
-FROM (SELECT year(o_orderdate) AS y, COUNT(*) AS n FROM orders GROUP BY 1)
-"""
-
-EXTRA_SQL["orders_evolved"] = MODEL_CTES + """
-SELECT o.*, CASE WHEN o.order_date >= DATE '2000-01-01' THEN r.o_orderpriority END AS order_priority
-FROM m_orders o JOIN orders r ON o.order_id = r.o_orderkey
-"""

@@ -345,7 +345,3 @@ RECIPES = {
 def generator_sql(table: str, profile: str, seed: int = 42) -> str:
     cols = RECIPES[table](Q(table, profile, seed))
     return f"SELECT {', '.join(cols)}\nFROM range(1, {rows_sql(table)} + 1) t(id)"
-
-
-def all_generator_sql() -> dict[str, str]:
-    return {f"gen_{t}_{p}": generator_sql(t, p) for t in specs.TABLE_ORDER for p in specs.PROFILES}

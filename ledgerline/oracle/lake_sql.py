@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerline.oracle.corpus_sql import MODEL_CTES
-from ledgerline.oracle.extra_sql import _TYPE_NAMES as TYPE_NAMES
+from ledgerline.oracle.extra_sql import TYPE_NAMES
 
 SINCE = "2000-01-01"
 
@@ -68,7 +68,7 @@ FROM m_orders GROUP BY 1"""),
   FROM m_orders o LEFT JOIN m_customers c ON o.customer_id = c.customer_id GROUP BY ALL),
 span AS (SELECT country, unnest(generate_series(min(week_start), max(week_start), INTERVAL 7 DAY)) AS week_start FROM o GROUP BY country)
 SELECT country, CAST(week_start AS DATE) AS week_start, coalesce(orders, 0) AS orders, CAST(coalesce(amount, 0) AS DECIMAL(18,2)) AS amount,
-  printf('%d-W%02d', isoyear(week_start), week(week_start)) AS week
+  printf('%d-W%02d', isoyear(week_start), week(week_start)) AS week, CAST(week_start + INTERVAL 6 DAY AS DATE) AS week_end
 FROM (SELECT country, CAST(week_start AS DATE) AS week_start FROM span) LEFT JOIN o USING (country, week_start)"""),
     "events_created_or_loaded": """
 SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS events, TRUE AS listed, TRUE AS made_first, FALSE AS made_again FROM events GROUP BY ALL""",

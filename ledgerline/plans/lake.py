@@ -184,11 +184,11 @@ def customers_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders and amount per country and week, weeks without orders as zeros."""
+    """Orders and amount per country and week, weeks without orders as zeros."""
     o = given(spark, sf_dir, "orders")
     sums = {"orders": F.count(F.lit(1)), "amount": money_sum("total_amount")}
     weeks = calendar.fill_periods(o, "order_date", "week", ["country"], sums, out="week_start")
-    return weeks.withColumn("week", calendar.period_label(F.col("week_start"), "week"))
+    return weeks.withColumns({"week": calendar.period_label(F.col("week_start"), "week"), "week_end": F.date_add("week_start", 6)})
 
 
 def events_created_or_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
