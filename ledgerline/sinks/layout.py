@@ -13,6 +13,7 @@ from __future__ import annotations
 import contextlib
 import datetime as _dt
 import os
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -148,19 +149,33 @@ def write_table(df: DataFrame, path: str, table: str, profile: str = "lake", lay
     return {"table": table, "path": path, "rows": rows, "files": files, "written": seen.get["rows"], "partition_cols": pcols, "granularity": kind}
 
 
+_SIZES = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+_writers, _writers_lock = {}, threading.Lock()
+
+
 @contextlib.contextmanager
 def _advisory_size(spark: SparkSession, size: int | None):
-    """The size that adaptive execution aims at when it splits and joins the writer's partitions."""
-    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
-    before = {k: spark.conf.get(k, None) for k in keys}
-    if size:
-        spark.conf.set(keys[0], str(size))
-        spark.conf.set(keys[1], str(max(1, size // 4)))
+    """Sizes that adaptive execution aims at when it splits and joins a writer's partitions.
+
+    ``size`` bounds a task's share.  Without one the session's size stays, and only the least size is lowered: a
+    small table of many folders is then written by as many tasks as there are cores, since opening files costs more than
+    bytes there.  Writes that run side by side share the settings; the last to end restores them."""
+    with _writers_lock:
+        if not _writers:
+            _writers.update({k: spark.conf.get(k, None) for k in _SIZES} | {"running": 0})
+        _writers["running"] += 1
+        spark.conf.set(_SIZES[0], str(max(1024, size // 4) if size else 1024))
+        if size:
+            spark.conf.set(_SIZES[1], str(size))
     try:
         yield
     finally:
-        for k, v in before.items() if size else ():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        with _writers_lock:
+            _writers["running"] -= 1
+            if not _writers["running"]:
+                for k in _SIZES:
+                    spark.conf.unset(k) if _writers[k] is None else spark.conf.set(k, _writers[k])
+                _writers.clear()
 
 
 def landed(spark: SparkSession, path: str) -> tuple[int, int]:
