@@ -44,5 +44,30 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one run, in a folder of its own on shared storage, each deleted once it is spent.
+
+    A table is dropped when what was made of it is written: nothing that can be lost afterwards needs it."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.count = spark, shared_dir(spark, name), 0
+
+    def keep(self, df: DataFrame, table: str) -> DataFrame:
+        """As ``materialise``; ``table`` names it for ``drop``, a later table of that name is another one."""
+        self.count += 1
+        path = f"{self.root}/{table}-{self.count}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *tables: str) -> None:
+        """Deletes all tables of these names."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        files = root.getFileSystem(conf)
+        for table in tables:
+            for found in files.globStatus(jvm.org.apache.hadoop.fs.Path(root, f"{table}-*")) or []:
+                files.delete(found.getPath(), True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
