@@ -296,7 +296,8 @@ def search(index: Index, items: DataFrame, id_col: str = "item_id", text_col: st
     pairs = wanted.count()
     if not index.docs or not pairs:
         return spark.createDataFrame([], schema).withColumn("rank", F.lit(0)).select(F.col("item_id").alias(id_col), "rank", "doc_id", "score")
-    needed = wanted.select("term").distinct().unionByName(spark.createDataFrame([("",)], "term string"))
+    # written, so that its size is known: Spark sends it to the tasks if it is small, instead of dealing out the whole index
+    needed = materialise(wanted.select("term").distinct().unionByName(spark.sql("SELECT '' AS term")), "op13-needed")
     matched = materialise(index.postings.join(needed, "term", "left_semi"), "op13-matched")
     weight = F.floor(1000 * F.log(F.lit(2 * index.docs + 2).cast("double") / (2 * F.sum("df") + 1))).cast("long")
     weights = matched.where("term <> ''").groupBy("term").agg(weight.alias("w"))
