@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import materialise
+
 #: Bytes that part words; every other byte, all of UTF-8's lead and tail bytes among them, is part of a word.
 _SEPARATORS = [b for b in range(0x80) if not (0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A)]
 _TABLE = bytes(0x20 if b in _SEPARATORS else b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -31,15 +33,20 @@ def windows(words: list[bytes], size: int) -> set[bytes]:
     return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
 
 
-def pattern_slices(benchmark: DataFrame, size: int, max_bytes: int, id_col: str, text_col: str) -> Iterator[dict[bytes, set[str]]]:
-    """Windows of the benchmark's items with the items they come from, in slices of about ``max_bytes`` of items."""
+def _ordered(items: set[str | None]) -> list[str | None]:
+    """Item ids in order, null last: an item without id has windows like any other."""
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
+def pattern_slices(benchmark: DataFrame, size: int, max_bytes: int, id_col: str, text_col: str) -> Iterator[dict[bytes, set[str | None]]]:
+    """Windows of the benchmark's items with the items they come from, in slices of about ``max_bytes`` of windows."""
     slice_, held = defaultdict(set), 0
     for item, text in benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).toLocalIterator():
-        if item is None or not (words := normalise(text)):
+        if not (words := normalise(text)):
             continue
         for window in windows(words, size):
             slice_[window].add(item)
-        held += sum(map(len, words))
+            held += len(window)
         if held >= max_bytes:
             yield dict(slice_)
             slice_, held = defaultdict(set), 0
@@ -50,13 +57,13 @@ def pattern_slices(benchmark: DataFrame, size: int, max_bytes: int, id_col: str,
 class Scanner:
     """The automaton of one slice. Built once per Python worker."""
 
-    def __init__(self, patterns: dict[bytes, set[str]]):
+    def __init__(self, patterns: dict[bytes, set[str | None]]):
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
         for window, items in patterns.items():
             # latin-1 gives one character a byte, so offsets are byte offsets; blanks at both ends keep to whole words
-            self.automaton.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, sorted(items)))
+            self.automaton.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, _ordered(items)))
         if patterns:
             self.automaton.make_automaton()
         self.empty = not patterns
@@ -85,8 +92,8 @@ def covered(spans, n_words: int) -> np.ndarray:
 _scanners: dict[str, Scanner] = {}
 
 
-def _scan(patterns: dict[bytes, set[str]], first: bool):
-    key = hashlib.sha256(repr(sorted((k, sorted(v)) for k, v in patterns.items())).encode()).hexdigest()
+def _scan(patterns: dict[bytes, set[str | None]], first: bool):
+    key = hashlib.sha256(repr(sorted((k, _ordered(v)) for k, v in patterns.items())).encode()).hexdigest()
 
     def scan(text: str | None, before) -> tuple[int, int, list[dict]]:
         if key not in _scanners:
@@ -119,16 +126,22 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = 13, max_byte
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z; a window is ``size`` consecutive words
     of an item, or a whole shorter item. ``spans`` lists every occurrence by its first and last word, ``n_hit`` counts
     the words inside any; ``word_offsets`` maps word numbers to offsets of the original text. No shuffle: every text is
-    scanned where it is read, whole, in one pass of one automaton. The automaton is sent with the task; a benchmark of
-    more than ``max_bytes`` is cut into several of that size, each of which scans the texts once more.
-    Null and empty texts have no words; null and empty items no window; an empty benchmark hits nothing.
+    scanned where it is read, whole, in one pass of one automaton. The automaton is sent with the task; a benchmark whose
+    windows take more than ``max_bytes`` is cut into several of that size, each of which scans the texts once more, after
+    what was found before is written down: the driver holds two slices at a time, however many there are.
+    Null and empty texts have no words; null and empty items no window; an empty benchmark hits nothing. Items without id
+    count as one item of that (null) id. A column ``into`` that ``docs`` has is replaced: name another one to keep it.
     """
-    slices = list(pattern_slices(benchmark, size, max_bytes, item_id, item_text)) or [{}]
-    for k, patterns in enumerate(slices):
-        scan = _scan(patterns, first=k == 0)
-        args = [F.col(text_col).cast("string")] + ([F.col(into)["spans"]] if k else [])
+    slices = pattern_slices(benchmark, size, max_bytes, item_id, item_text)
+    patterns, first = next(slices, {}), True
+    while True:
+        scan = _scan(patterns, first)
+        args = [F.col(text_col).cast("string")] + ([] if first else [F.col(into)["spans"]])
         docs = docs.withColumn(into, scan(*args))
-    return docs
+        patterns, first = next(slices, None), False
+        if patterns is None:
+            return docs
+        docs = materialise(docs, "op7-slice")
 
 
 def word_offsets(text: str) -> list[tuple[int, int]]:
