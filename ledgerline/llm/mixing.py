@@ -8,24 +8,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import WORD, materialise, shuffle_partitions, text_of
 
 #: A source is repeated up to so many times.
 MOST = 3
+#: Blocks that a source has at least, so that its taken words come within half a hundredth of its size to the target.
+LEAST_BLOCKS = 128
 #: Weights by the sources' order, repeating.
 WEIGHTS = (1, 2, 3)
 
 
 @dataclass
 class Plan:
-    """Per source, in order: name, words, target, blocks, slots (block draws of the whole mix)."""
+    """Per source, in order: name, words, target, words of a block, blocks, slots (block draws of the whole mix)."""
 
     names: list[str | None]
     sizes: np.ndarray
     targets: np.ndarray
+    block_words: np.ndarray
     blocks: np.ndarray
     slots: np.ndarray
 
@@ -47,15 +50,18 @@ def targets(sizes: list[int], weights: list[float]) -> list[float]:
 
 
 def make_plan(sizes: dict[str | None, int], block_words: int) -> Plan:
+    """Blocks have ``block_words`` words; sources of less than LEAST_BLOCKS such blocks have shorter ones, as many as that, so
+    that a whole number of blocks comes near any target."""
     names = sorted((n for n in sizes if n is not None)) + [None] * (None in sizes)
     words = [int(sizes[n]) for n in names]
     goal = targets(words, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(names))])
-    blocks = [-(-w // block_words) for w in words]
+    lengths = [max(1, min(block_words, w // LEAST_BLOCKS)) for w in words]
+    blocks = [-(-w // n) for w, n in zip(words, lengths, strict=True)]
     slots = []
-    for w, t, b in zip(words, goal, blocks, strict=True):
+    for w, t, n, b in zip(words, goal, lengths, blocks, strict=True):
         whole = min(MOST, int(t // w)) if w else 0  # times that every block is drawn
-        slots.append(whole * b + (min(b, round((t - whole * w) / block_words)) if whole < MOST else 0))
-    return Plan(names, np.array(words, np.int64), np.array(goal), np.array(blocks, np.int64), np.array(slots, np.int64))
+        slots.append(whole * b + (min(b, round((t - whole * w) / n)) if whole < MOST else 0))
+    return Plan(names, np.array(words, np.int64), np.array(goal), *(np.array(x, np.int64) for x in (lengths, blocks, slots)))
 
 
 def _mix64(x: np.ndarray) -> np.ndarray:
@@ -144,22 +150,8 @@ def _levels(n: int) -> int:
     return max(1, math.ceil(math.log2(max(2, n)) / 2))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = 256, shard_slots: int = 1024, seed: int = 20) -> tuple[DataFrame, DataFrame, Plan]:
-    """(documents, slots, plan). ``documents``: one row per input row, (id, source, size, source_size, target, taken).
-    ``slots``: the mix itself, one row per place, (shard, source_no, block), blocks of ``block_words`` words of a
-    source's documents in the order of a hash. ``plan``: the sources, their targets and draws.
-
-    A source's words are packed end to end into blocks. Each output shard draws how many of its slots every source
-    gets, from a multinomial at the targets' shares; a slot's number within its source gives, through that source's
-    permutation for each round over its blocks, the block. Draws beyond a source's slots pass to sources short of
-    theirs, so the whole mix holds each source's target up to a block or two. A source whose target is k times its
-    size has every block k times, and no block is drawn more than MOST times, so no document is either.
-
-    Null texts have size 0 and are never taken; null is a source, the last. Repeated rows are packed each; equal ids
-    need not be unique. Empty tables and tables without words give targets of 0. Every draw depends on ``seed``, the
-    texts and ids alone, so reruns and other partitionings agree. The driver holds a few numbers per source.
-    Documents and slots are numbered in two levels of about sqrt(n) rows, whatever share a source has.
-    """
+def _dealt(docs: DataFrame, id_col: str, text_col: str, source_col: str, block_words: int, shard_slots: int, seed: int) -> tuple[DataFrame, DataFrame, Plan]:
+    """(packed, slots, plan): every input row with its place ``start`` among its source's words, and the mix's draws of blocks."""
     spark = docs.sparkSession
     text = text_of(text_col)
     rows = materialise(
@@ -169,13 +161,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     plan = make_plan({r["source"]: r["size"] for r in found}, block_words)
     numbers = spark.createDataFrame(
-        [(n, i, int(s), float(t)) for i, (n, s, t) in enumerate(zip(plan.names, plan.sizes, plan.targets, strict=True))],
-        "of_source string, source_no long, source_size long, target double",
+        [(n, i, int(s), float(t), int(b)) for i, (n, s, t, b) in enumerate(zip(plan.names, plan.sizes, plan.targets, plan.block_words, strict=True))],
+        "of_source string, source_no long, source_size long, target double, block_words long",
     )
     rows = rows.join(numbers, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
     bits = _levels(sum(r["n"] for r in found))
     packed = _running(rows.withColumn("grp", F.shiftrightunsigned("tie", 64 - bits)), ["source_no"], "grp", ["tie", "id", "size"], "size", "start")
-    packed = materialise(packed.drop("grp", "tie"), "op5-packed")
+    packed = materialise(packed.drop("grp"), "op5-packed")
 
     slots_n = int(plan.slots.sum())
     shards = -(-slots_n // shard_slots)
@@ -190,13 +182,33 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # by number, so that rows of few bytes but many slots are not put together in a few tasks
     spread = max(shuffle_partitions(spark), slots_n // 1_000_000)
     slots = numbered.repartition(spread, "shard", "source_no").mapInPandas(_place(plan, drawn, seed), "source_no long, block long, shard long").select("shard", "source_no", "block")
+    return packed, slots, plan
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = 256, shard_slots: int = 1024, seed: int = 20) -> tuple[DataFrame, DataFrame, Plan]:
+    """(documents, slots, plan). ``documents``: one row per input row, (id, source, size, source_size, target, taken).
+    ``slots``: the mix itself, one row per place, (shard, source_no, block), blocks of ``block_words`` words (fewer in
+    small sources, see make_plan) of a source's documents in the order of a hash. ``plan``: the sources, their targets and draws.
 
+    A source's words are packed end to end into blocks. Each output shard draws how many of its slots every source
+    gets, from a multinomial at the targets' shares; a slot's number within its source gives, through that source's
+    permutation for each round over its blocks, the block. Draws beyond a source's slots pass to sources short of
+    theirs, so the whole mix holds each source's target up to a block or two. A source whose target is k times its
+    size has every block k times, and no block is drawn more than MOST times, so no document is either.
+
+    Null texts have size 0 and are never taken; null is a source, the last. Repeated rows are packed each; equal ids
+    need not be unique. Empty tables and tables without words give targets of 0. Every draw depends on ``seed``, the
+    texts and ids alone, so reruns and other partitionings agree. The driver holds a few numbers per source.
+    Documents and slots are numbered in two levels of about sqrt(n) rows, whatever share a source has.
+    """
+    packed, slots, plan = _dealt(docs, id_col, text_col, source_col, block_words, shard_slots, seed)
     draws = slots.groupBy("source_no", "block").agg(F.count("*").alias("draws"))
     end = F.col("start") + F.col("size")
     parts = packed.where("size > 0").select(
-        "source_no", "start", "size", F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")).alias("block")
+        "source_no", "start", "size", "block_words", F.explode(F.expr("sequence(start div block_words, (start + size - 1) div block_words)")).alias("block")
     )
-    parts = parts.withColumn("words", F.least(end, (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words))
+    width = F.col("block_words")
+    parts = parts.withColumn("words", F.least(end, (F.col("block") + 1) * width) - F.greatest(F.col("start"), F.col("block") * width))
     taken = parts.join(draws.hint("merge"), ["source_no", "block"]).groupBy("source_no", "start").agg(F.sum(F.col("words") * F.col("draws")).alias("taken"))
     empty = F.when(F.col("size") > 0, F.col("start")).alias("at")
     taken = taken.withColumnRenamed("start", "at")
@@ -206,3 +218,40 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     )
     return documents, slots, plan
+
+
+def mix_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_words: int = 256, shard_slots: int = 1024, seed: int = 20) -> DataFrame:
+    """The mixed corpus itself: one row per passage of a document in it, (shard, place, at, id, source, first, words, text).
+
+    ``place`` numbers the blocks of a shard, ``at`` is the passage's first word in its block, ``first`` that in its
+    document; ``text`` has its words, joined by blanks. A block is the passages of its place, by ``at``: ``block_words``
+    words of one source, fewer in small sources and in a source's last block. Shards are in order within tasks, and whole.
+
+    Draws are those of ``mix_sources`` with the same parameters: a document's words here add up to its ``taken``. Blocks
+    are joined to slots by (source, block), so a passage moves once to its block's draws and once to its shard. Null and
+    empty texts have no passages; repeated rows have theirs each; other columns are not read."""
+    packed, slots, _ = _dealt(docs, id_col, text_col, source_col, block_words, shard_slots, seed)
+    text = text_of(text_col)
+    source = F.col(source_col).cast("string")
+    texts = docs.select(F.col(id_col).alias("of_id"), source.alias("of_source"), F.xxhash64(F.col(id_col), text).alias("of_tie"), text.alias("text"))
+    # dealt once, by the tie: repeated rows, which are packed each but have one text, and the join are both in order with that
+    texts = texts.repartition("of_tie").dropDuplicates(["of_tie", "of_id", "of_source"])
+    # a sum, which Spark doesn't turn into further join keys: those would deal the texts anew
+    own = F.col("id").eqNullSafe(F.col("of_id")).cast("int") + F.col("source").eqNullSafe(F.col("of_source")).cast("int") == 2
+    rows = packed.where("size > 0").join(texts.hint("merge"), (F.col("tie") == F.col("of_tie")) & own).withColumn("all", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+
+    def passage(block: Column) -> Column:
+        begin = F.greatest(F.col("start"), block * F.col("block_words"))
+        n = (F.least(F.col("start") + F.col("size"), (block + 1) * F.col("block_words")) - begin).cast("int")
+        first = (begin - F.col("start")).cast("int")
+        words = F.array_join(F.slice("all", first + 1, n), " ")
+        return F.struct(block.alias("block"), (begin - block * F.col("block_words")).cast("int").alias("at"), first.alias("first"), n.alias("words"), words.alias("text"))
+
+    blocks = F.expr("sequence(start div block_words, (start + size - 1) div block_words)")
+    passages = rows.select("id", "source", "source_no", F.explode(F.transform(blocks, passage)).alias("p")).select("id", "source", "source_no", "p.*")
+    in_shard = Window.partitionBy("shard").orderBy(F.xxhash64("shard", "source_no", "block", F.lit(seed)), "source_no", "block")
+    placed = slots.withColumn("place", F.row_number().over(in_shard)).select("shard", "place", F.col("source_no").alias("of_no"), F.col("block").alias("of_block"))
+    placed = materialise(placed, "op5-slots")
+    mixed = passages.join(placed.hint("merge"), (F.col("source_no") == F.col("of_no")) & (F.col("block") == F.col("of_block")))
+    mixed = mixed.select("shard", "place", "at", F.col("id").alias(id_col), "source", "first", "words", "text")
+    return mixed.repartition("shard").sortWithinPartitions("shard", "place", "at")
