@@ -262,15 +262,21 @@ def _layout(tree: Node) -> str:
     return _key(*sorted(_skeleton(tree, set())))
 
 
+def layout_of(html: str | None) -> int:
+    """The number of a page's layout."""
+    return int(_layout(parse(html)))
+
+
 def _is_box(path: str) -> bool:
     """A named element that is not prose: template on every host, even if most of its text is the same on all pages."""
     tag, dot, _ = path.rsplit("/", 1)[-1].partition(".")
     return bool(dot) and tag not in PROSE
 
 
-def is_template(times, pages_with_path, host_pages):
-    """A line is template if it is on at least 90 percent of the pages that have its path, and on three pages and a hundredth of the host's at least."""
-    return (times >= 3) & (100 * times >= host_pages) & (10 * times >= 9 * pages_with_path)
+def is_template(times, pages_with_path, pages):
+    """A line is template if it is on at least 90 percent of the pages that have its path, and on three pages and a hundredth at
+    least of ``pages``: the host's, or those of the layout for a line that is counted per layout."""
+    return (times >= 3) & (100 * times >= pages) & (10 * times >= 9 * pages_with_path)
 
 
 def varies_enough(constant, total):
@@ -389,88 +395,110 @@ def extract(html: str | None, wrapper: dict | None = None) -> str:
     return "\n".join(x.text for x in found)
 
 
-ENTRIES = "host string, draw long, path array<long>, line array<long>, chars array<long>, wide array<boolean>, box array<boolean>"
+ENTRIES = "host string, draw long, layout long, path array<long>, line array<long>, chars array<long>, wide array<boolean>, box array<boolean>"
 
 
-def page_entries(html: str) -> list[tuple[int, int, int, bool, bool]]:
-    """What a page counts for: (path, line, characters, wide, box), once each, in its host (wide) and in its layout.
+def page_entries(html: str) -> tuple[int, list[tuple[int, int, int, bool, bool]]]:
+    """The page's layout, and what it counts for: (path, line, characters, wide, box), once each, in its host (wide) and in its layout.
 
     Line 0 stands for the path itself, path 0 for the page."""
     tree = parse(html)
+    layout = _layout(tree)
     found = {(x.path, x.text) for x in lines_of(tree)}
-    out = [(0, 0, sum(len(text) for _, text in found), True, False)]
-    for scope, wide in (("", True), (_layout(tree), False)):
+    out = []
+    for scope, wide in (("", True), (layout, False)):
+        out.append((0, 0, sum(len(text) for _, text in found), wide, False))
         paths = {path: (_hash(scope, path), _is_box(path)) for path, _ in found}
         out += [(path, 0, 0, wide, box) for path, box in paths.values()]
         out += [(paths[path][0], _hash(scope, path, text), len(text), wide, paths[path][1]) for path, text in found]
-    return out
+    return int(layout), out
 
 
 def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         batch = batch.drop_duplicates(["host", "draw"])
-        columns = [[np.array(c) for c in zip(*page_entries(h), strict=True)] for h in batch["html"]]
+        read = [page_entries(h) for h in batch["html"]]
+        columns = [[np.array(c) for c in zip(*found, strict=True)] for _, found in read]
         names = ("path", "line", "chars", "wide", "box")
-        yield pd.DataFrame({"host": batch["host"], "draw": batch["draw"], **{n: [c[k] for c in columns] for k, n in enumerate(names)}})
+        yield pd.DataFrame({"host": batch["host"], "draw": batch["draw"], "layout": [r[0] for r in read], **{n: [c[k] for c in columns] for k, n in enumerate(names)}})
+
+
+def _layouts(html: pd.Series) -> pd.Series:
+    return pd.Series([layout_of(h) for h in html], dtype="int64")
 
 
 def _extractor():
-    def read(wrapper: str | None) -> dict | None:
+    def read(wrapper: str | None, own: str | None) -> dict | None:
         if not isinstance(wrapper, str):
             return None
         found = json.loads(wrapper)
-        return found | {"template": frozenset(found["template"])}
+        return found | {"template": frozenset(found["template"]).union(json.loads(own) if isinstance(own, str) else ())}
 
     @F.pandas_udf("string")
-    def extracted(html: pd.Series, wrapper: pd.Series) -> pd.Series:
-        wrappers = {w: read(w) for w in wrapper.unique()}
-        return pd.Series([extract(h, wrappers.get(w)) for h, w in zip(html, wrapper, strict=True)], dtype=object)
+    def extracted(html: pd.Series, wrapper: pd.Series, own: pd.Series) -> pd.Series:
+        keys = list(zip(wrapper, own, strict=True))
+        wrappers = {k: read(*k) for k in set(keys)}
+        return pd.Series([extract(h, wrappers[k]) for h, k in zip(html, keys, strict=True)], dtype=object)
 
     return extracted
 
 
-def learn_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host of three or more different pages, (of_host, wrapper): the wrapper as JSON, learned from all of them.
+def learn_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> tuple[DataFrame, DataFrame]:
+    """Wrappers of all hosts of three or more different pages, learned from all of them, as JSON: (of_host, several, wrapper), and what
+    the layouts of hosts with several have besides, (in_host, of_layout, own).
 
     Every page is counted, copies once: (host, path, line) and (host, layout, path, line) with partial sums, so that no
-    task has a host's pages. A line is template by its share of the pages with its path, in the host or in its layout.
-    Pages of one layout have the same boxes and so need no search for the best match; nodes are told by their paths. A
-    host's template has at most 100 times the lines of a page, since a line has to be on a hundredth of its pages."""
+    task has a host's pages. A line is template by its share of the pages with its path, in the host or in its layout,
+    however rare that is. Pages of one layout have the same boxes and so need no search for the best match; nodes are
+    told by their paths. A wrapper has at most 100 times the lines of a page, since a line has to be on a hundredth of
+    the pages of its host or layout."""
     host, _ = split_url(F.col(url_col))
     rows = pages.select(host.alias("host"), F.col(html_col).cast("string").alias("html")).where("host <> '' AND html <> ''").withColumn("draw", F.xxhash64("html"))
     entries = rows.mapInPandas(_entries, ENTRIES).dropDuplicates(["host", "draw"])
-    entries = entries.select("host", F.explode(F.arrays_zip("path", "line", "chars", "wide", "box")).alias("e")).select("host", "e.*")
-    counts = entries.groupBy("host", "path", "line", "wide", "box").agg(F.count("*").alias("times"), F.sum("chars").alias("chars"))
+    entries = entries.select("host", "layout", F.explode(F.arrays_zip("path", "line", "chars", "wide", "box")).alias("e")).select("host", F.when(~F.col("e.wide"), F.col("layout")).alias("layout"), "e.*")
+    counts = entries.groupBy("host", "layout", "path", "line", "box").agg(F.count("*").alias("times"), F.sum("chars").alias("chars"))
     counts = materialise(counts.where("line = 0 OR times >= 3"), "op9-counts")
-    hosts = counts.where("path = 0 AND line = 0 AND times >= 3").select(F.col("host").alias("of_host"), F.col("times").alias("pages"), F.col("chars").alias("total"))
+    sizes = counts.where("path = 0 AND line = 0 AND times >= 3").select(F.col("host").alias("of_host"), F.col("layout").alias("of_layout"), F.col("times").alias("pages"), F.col("chars").alias("total"))
+    hosts = sizes.where("of_layout IS NULL")
     met = counts.where("path <> 0 AND line = 0").select(F.col("host").alias("met_host"), F.col("path").alias("met_path"), F.col("times").alias("met"))
     lines = counts.where("line <> 0").join(met.hint("merge"), (F.col("host") == F.col("met_host")) & (F.col("path") == F.col("met_path")))
-    lines = lines.join(hosts.select(F.col("of_host").alias("in"), "pages").hint("merge"), F.col("host") == F.col("in"))
-    same = lines.where(is_template(F.col("times"), F.col("met"), F.col("pages"))).select("host", F.col("line").cast("string").alias("line"), "chars", "wide", "box")
+    lines = lines.join(sizes.hint("merge"), (F.col("host") == F.col("of_host")) & F.col("layout").eqNullSafe(F.col("of_layout")))
+    same = lines.where(is_template(F.col("times"), F.col("met"), F.col("pages"))).select("host", "layout", F.col("line").cast("string").alias("line"), "chars", "box")
+    same = same.groupBy("host", "layout").agg(F.collect_set("line").alias("every"), F.collect_set(F.when(F.col("box"), F.col("line"))).alias("boxes"), F.sum("chars").alias("constant"))
+    same = materialise(same, "op9-same")
+
+    def constant(scope: Column) -> Column:
+        return F.coalesce(F.sum(F.when(scope, F.col("constant"))), F.lit(0))
+
+    wide = F.col("layout").isNull()
+    shares = same.groupBy("host").agg(F.greatest(constant(wide), constant(~wide)).alias("constant"), F.max(F.when(wide, F.struct("every", "boxes"))).alias("wide"))
+    # where one layout has all pages of the host, its lines are the host's
+    largest = sizes.where("of_layout IS NOT NULL").groupBy(F.col("of_host").alias("largest_of")).agg(F.max("pages").alias("largest"))
+    found = hosts.join(shares, F.col("of_host") == F.col("host"), "left").join(largest, F.col("of_host") == F.col("largest_of"), "left")
+    found = found.withColumns({"whole": varies_enough(F.coalesce("constant", F.lit(0)), F.col("total")), "several": F.coalesce(F.col("largest"), F.lit(0)) < F.col("pages")})
 
-    def chars(wide: bool) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("wide") == wide, F.col("chars"))), F.lit(0))
+    def template(of: str = "") -> Column:
+        return F.coalesce(F.when(F.col("whole"), F.col(f"{of}every")).otherwise(F.col(f"{of}boxes")), F.array().cast("array<string>"))
 
-    same = same.groupBy("host").agg(
-        F.collect_set("line").alias("every"), F.collect_set(F.when(F.col("box"), F.col("line"))).alias("boxes"), F.greatest(chars(True), chars(False)).alias("constant")
-    )
-    found = hosts.join(same, F.col("of_host") == F.col("host"), "left")
-    found = found.withColumn("whole", varies_enough(F.coalesce("constant", F.lit(0)), F.col("total")))
-    template = F.coalesce(F.when(F.col("whole"), F.col("every")).otherwise(F.col("boxes")), F.array().cast("array<string>"))
-    return materialise(found.select("of_host", F.to_json(F.struct(template.alias("template"), "whole")).alias("wrapper")), "op9-wrappers")
+    found = materialise(found.select("of_host", "whole", "several", F.to_json(F.struct(template("wide.").alias("template"), "whole")).alias("wrapper")), "op9-wrappers")
+    own = same.where(~wide).join(found.where("several").select("of_host", "whole"), F.col("host") == F.col("of_host")).select(F.col("host").alias("in_host"), F.col("layout").alias("of_layout"), F.to_json(template()).alias("own"))
+    return found.select("of_host", "several", "wrapper"), materialise(own, "op9-layouts")
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: id, url, text (empty if none), n_chars.
 
-    Wrappers are learned per host from all its pages and joined back by host; then every page is read whole, on its
+    Wrappers are learned per host from all its pages and joined back by host, and by layout within the host; then every page is read whole, on its
     own. Hosts of one or two different pages, pages without a host and null urls are read without a wrapper. Null and
     empty html gives an empty text. Repeated rows are read each; an empty table gives an empty result. Where the
     wrappers are too many to broadcast, the pages move once by host; adaptive execution splits a host with a third of
     all pages, since both sides are plain scans.
     """
-    wrappers = learn_wrappers(pages, url_col, html_col)
+    wrappers, layouts = learn_wrappers(pages, url_col, html_col)
     host, _ = split_url(F.col(url_col))
+    layout = F.pandas_udf(_layouts, "long")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
-    rows = rows.join(wrappers, F.col("host") == F.col("of_host"), "left").select("id", "url", _extractor()("html", "wrapper").alias("text"))
+    rows = rows.join(wrappers, F.col("host") == F.col("of_host"), "left").withColumn("layout", layout(F.when(F.col("several"), F.col("html"))))
+    rows = rows.join(layouts, (F.col("host") == F.col("in_host")) & (F.col("layout") == F.col("of_layout")), "left")
+    rows = rows.select("id", "url", _extractor()("html", "wrapper", "own").alias("text"))
     return rows.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars"))
