@@ -17,7 +17,7 @@ def connection():
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
 
@@ -31,8 +31,9 @@ def test_query(spark, connection, name):
     found = llm.queries()[name](spark, SF_SMALL)
     columns = sorted(found.columns)
     got = found.select(columns).collect()
-    table = "pages" if name.startswith(("op2_", "op9_")) else "documents"
-    assert len(got) == spark.read.parquet(os.path.join(SF_SMALL, f"{table}.parquet")).count()
+    if not name.startswith(("op11_", "op12_", "op13_")):  # those have a row per conversation, group or item
+        table = "pages" if name.startswith(("op2_", "op9_")) else "documents"
+        assert len(got) == spark.read.parquet(os.path.join(SF_SMALL, f"{table}.parquet")).count()
     if name in ORACLE:
         rel = connection.execute(ORACLE[name])
         names = [d[0] for d in rel.description]
@@ -55,7 +56,7 @@ def test_pipeline(spark):
         elif name == "exact":
             kept = {r.doc_id for r in exact_dedup.exact_dedup(docs).where("kept").collect()}
         elif name == "near":
-            kept = {r.component_id for r in ngram_join.similar_components(docs).collect()}
+            kept = {r.component_id for r in ngram_join.similar_components(docs, n=5, percent=80).collect()}
         else:
             kept = {r.doc_id for r in decontaminate.decontaminate(docs, spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")).where("NOT contaminated").collect()}
         docs = stage(spark, docs, SF_SMALL).cache()
@@ -129,3 +130,22 @@ def test_entry_without_the_subpackage(tmp_path):
     shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
     code = "import __spark_entry__ as e; assert 'top_products' in e.queries() and 'pipeline' not in e.queries() and not [q for q in e.oracle_sql() if q.startswith('op')]"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+
+
+CLASHES = ["kept_id", "kept_sha", "own_sha", "found_language", "found_windows", "found", "row", "sha", "told", "component_id", "size", "id"]
+
+
+@pytest.mark.parametrize("stage", ["language", "exact", "near", "decontaminated"])
+def test_stages_keep_columns_of_any_name(spark, stage):
+    """Columns named like those that the stages make come through unchanged, nulls and repeated rows included."""
+    import corpus_pipeline as pipeline
+
+    texts = ["some words of a text that is long enough", "SOME words of a text that is long enough", "other words of quite another text here", None, "", "12"]
+    rows = [(i if i != 2 else None, t, ["en", None][i % 2], "s", 1, *[f"{c}-{i}" for c in CLASHES]) for i, t in enumerate(texts)]
+    rows.append(rows[0])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHES))
+    got = dict(pipeline.STAGES)[stage](spark, docs, SF_SMALL)
+    found = [tuple(r) for r in got.collect()]
+    assert got.columns == docs.columns and set(found) <= set(rows) and rows[2] in found
+    if stage == "exact":
+        assert sorted(map(str, found)) == sorted(map(str, [rows[1], rows[2], rows[4], rows[5]]))
