@@ -28,11 +28,13 @@ def file_key(table: str, folder: str = "folder", file: str = "file") -> F.Column
 
 
 def describe(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """``(key, rows, bytes, modified)`` of the files below ``root/<table>``: rows by their footers, the rest by the listing."""
+    """``(key, rows, bytes, modified)`` of the files below ``root/<table>``: rows by their footers, the rest by the listing.
+
+    Both sides have a file's address as Spark writes it, so rows are counted by that alone: folder and file taken from it on
+    the counted side would be join keys, whose null checks Spark puts below the count, at several regular expressions a row."""
     path = f"{root.rstrip('/')}/{table}"
-    counted = spark.read.option("pathGlobFilter", "*.parquet").parquet(path).groupBy(audit.metadata_path().alias("path")).agg(F.count(F.lit(1)).alias("rows"))
-    counted = counted.select(audit.folder_of("path", path).alias("folder"), F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "rows")
-    both = audit.files(spark, path).join(counted, ["folder", "file"], "left")
+    counted = spark.read.option("pathGlobFilter", "*.parquet").parquet(path).groupBy(F.col("_metadata.file_path").alias("address")).agg(F.count(F.lit(1)).alias("rows"))
+    both = audit.files(spark, path, address=True).join(counted, "address", "left")
     return both.select(file_key(table).alias("key"), F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"), "bytes", F.date_format("modified", ISO_FORMAT).alias("modified"))
 
 

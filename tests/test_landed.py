@@ -188,6 +188,20 @@ def test_manifest_states_files_and_shows_changes(spark, tmp_root):
     assert all("country=US/order_date_year=2023-01-01" in r.key for r in changed)
 
 
+def test_rows_of_files_are_counted_by_their_addresses(spark, tmp_root):
+    """Nothing is cut out of a path row by row: below the counts of files stand their addresses as Spark has them."""
+    df = _orders(spark).withColumn("country", F.when(F.col("order_id") % 2 == 0, F.lit("Côte d'Ivoire / 100%")).otherwise(F.lit("A B+C")))
+    layout.write_table(df, os.path.join(tmp_root, "orders"), "orders", granularity="year")
+    described = manifest.describe(spark, tmp_root, "orders")
+    assert sorted(r.rows for r in described.collect()) == sorted(r.rows for r in audit.order_in_files(spark, os.path.join(tmp_root, "orders"), ["order_id"]).collect())
+    assert sum(r.rows for r in described.collect()) == SIZES["orders"]
+    for counts in (described, audit.file_sizes(spark, os.path.join(tmp_root, "orders"), 1 << 20)):
+        lines = counts._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        scan = next(i for i, x in enumerate(lines) if "Relation" in x and x.endswith("parquet"))
+        count = max(i for i in range(scan) if "Aggregate" in lines[i])
+        assert not [x for x in lines[count + 1 : scan] if "regexp" in x or "UrlCodec" in x], lines
+
+
 def test_manifest_of_broken_lines_is_an_error(spark, tmp_root):
     os.makedirs(os.path.join(tmp_root, "_files"))
     with open(os.path.join(tmp_root, "_files", "part-0.txt"), "w") as f:
