@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from ledgerline import specs
 from ledgerline.sources.catalog import list_files
 
+#: Consecutive rows of a file that are put in order together, and rows that a task puts in order, about.
+BLOCK_ROWS, TASK_ROWS = 32_768, 1_000_000
+
 
 def folder_of(path: str | Column, root: str) -> Column:
     """The partition folders of a file below ``root`` (``country=US/order_date=2024-01-01``), empty at the top."""
@@ -47,17 +50,26 @@ def order_in_files(spark: SparkSession, path: str, sort_cols: list[str]) -> Data
 
     ``out_of_order`` counts rows whose key is below that of the row before
     them in the file; 0 everywhere means the declared order holds.  A row's
-    place is Parquet's own row index.  Only the sort columns are read; a
-    file's rows are put in order by one task, and files are bounded by
-    ``maxRecordsPerFile``.
+    place is Parquet's own row index.  Only the sort columns are read.  A
+    file is cut into blocks of BLOCK_ROWS consecutive rows, dealt out to so
+    many tasks that each orders about TASK_ROWS rows however large the files
+    are and however well their paths pack; the first row of a block is then
+    compared with the last of the block before.
     """
     df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
     key = F.struct(*[F.col(c) for c in sort_cols])
-    rows = df.select(metadata_path().alias("path"), F.col("_metadata.row_index").alias("at"), key.alias("key"))
-    in_file = Window.partitionBy("path").orderBy("at")
-    rows = rows.withColumn("below", (F.col("key") < F.lag("key").over(in_file)).cast("int"))
-    per = rows.groupBy("path").agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("below"), F.lit(0)).cast("bigint").alias("out_of_order"),
-                                   F.min("key").alias("first_key"), F.max("key").alias("last_key"))
+    at = F.col("_metadata.row_index")
+    rows = df.select(F.floor(at / BLOCK_ROWS).alias("block"), F.col("_metadata.file_path").alias("address"), at.alias("at"), key.alias("key"))
+    in_block, in_file = Window.partitionBy("block", "address").orderBy("at"), Window.partitionBy("address").orderBy("block")
+    rows = rows.repartition(tasks, "block", "address").withColumn("below", (F.col("key") < F.lag("key").over(in_block)).cast("bigint"))
+    blocks = rows.groupBy("block", "address").agg(  # in the order of the window: no second sort
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("below"), F.lit(0)).alias("below"), F.min("key").alias("first_key"), F.max("key").alias("last_key"),
+        F.min_by("key", "at").alias("start"), F.max_by("key", "at").alias("end"))
+    blocks = blocks.withColumn("step", F.coalesce((F.col("start") < F.lag("end").over(in_file)).cast("bigint"), F.lit(0)))
+    per = blocks.groupBy("address").agg(F.sum("rows").alias("rows"), F.sum(F.col("below") + F.col("step")).alias("out_of_order"),
+                                        F.min("first_key").alias("first_key"), F.max("last_key").alias("last_key"))
+    per = per.withColumn("path", metadata_path("address"))
     return per.select(folder_of("path", path).alias("folder"), F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
                       "rows", "out_of_order", "first_key", "last_key")
 

@@ -133,6 +133,26 @@ def test_order_in_files_and_a_control_without_order(spark, tmp_root):
     assert sum(r.out_of_order for r in found) > SIZES["lineitem"] / 2 and {r.folder for r in found} == {""}
 
 
+def test_order_of_a_file_is_checked_by_several_tasks(spark, tmp_root, monkeypatch):
+    """Blocks of ten rows: every step down counts, those between blocks too, and no task orders the whole file."""
+    keys = [(i * 7919) % 211 if i % 3 else None for i in range(995)]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int").coalesce(1)
+    path = os.path.join(tmp_root, "one")
+    df.write.parquet(path)
+
+    def found():
+        return audit.order_in_files(spark, path, ["k"]).collect()
+
+    whole = found()
+    order = [-1 if k is None else k for k in keys]  # nulls come first
+    assert [(r.rows, r.out_of_order, r.first_key.k, r.last_key.k) for r in whole] == [(995, sum(b < a for a, b in zip(order, order[1:])), None, max(order))]
+    monkeypatch.setattr(audit, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(audit, "TASK_ROWS", 50)
+    assert found() == whole
+    plan = audit.order_in_files(spark, path, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(block" in plan and ", 20), REPARTITION_BY_NUM" in plan
+
+
 # -- sizes (W12)
 
 
