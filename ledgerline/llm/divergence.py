@@ -35,25 +35,22 @@ def terms(text: bytes) -> list[bytes]:
 
 
 def _stripes(most: int):
-    """Folds whole documents (lang, source, text) into a hash from (lang, term) to its stripe, source -> [documents, occurrences];
-    a hash of ``most`` cells is handed on and begun anew."""
+    """Folds whole documents (lang, source, text) into stripes: per language and source, term -> occurrences and term -> documents,
+    handed on as (lang, term) with source -> [documents, occurrences]; ``most`` cells are handed on and begun anew."""
 
     def stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, bytes], dict[str, list[int]]] = {}
+        held: dict[str, dict[str, tuple[Counter, Counter]]] = {}
         cells = 0
         for batch in batches:
             for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
-                for term, n in Counter(terms(text)).items():
-                    stripe = held.get((lang, term))
-                    if stripe is None:
-                        stripe = held[lang, term] = {}
-                    cell = stripe.get(source)
-                    if cell is None:
-                        stripe[source] = [1, n]
-                        cells += 1
-                    else:
-                        cell[0] += 1
-                        cell[1] += n
+                found = terms(text)
+                if not found:
+                    continue
+                cell = held.setdefault(lang, {}).setdefault(source, (Counter(), Counter()))
+                before = len(cell[0])
+                cell[0].update(found)
+                cell[1].update(set(found))
+                cells += len(cell[0]) - before
                 if cells >= most:
                     yield from _handed_on(held)
                     held, cells = {}, 0
@@ -62,15 +59,25 @@ def _stripes(most: int):
     return stripes
 
 
-def _handed_on(held: dict[tuple[str, bytes], dict[str, list[int]]]) -> Iterator[pa.RecordBatch]:
-    keys = list(held)
-    for k in range(0, len(keys), 20_000):
-        some = keys[k : k + 20_000]
-        flat = [(s, d, n) for x in some for s, (d, n) in held[x].items()]
-        cell = pa.StructArray.from_arrays([pa.array([f[0] for f in flat], pa.string()), *(pa.array([f[i] for f in flat], pa.int64()) for i in (1, 2))], ["source", "docs", "n"])
-        offsets = pa.array(np.cumsum([0, *(len(held[x]) for x in some)]).astype(np.int32))
-        names = [pa.array([x[0] for x in some], pa.string()), pa.array([x[1].decode(errors="replace") for x in some], pa.string())]
-        yield pa.RecordBatch.from_arrays([*names, pa.ListArray.from_arrays(offsets, cell)], ["lang", "term", "stripe"])
+def _handed_on(held: dict[str, dict[str, tuple[Counter, Counter]]]) -> Iterator[pa.RecordBatch]:
+    for lang, sources in held.items():
+        found = pa.array([t for n, _ in sources.values() for t in n], pa.binary()).dictionary_encode()
+        at = found.indices.to_numpy()
+        order = np.argsort(at, kind="stable")  # cells by term
+        sizes = [len(n) for n, _ in sources.values()]
+        names = pa.array(list(sources), pa.string()).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)[order]))
+        occurrences = np.fromiter((k for n, _ in sources.values() for k in n.values()), np.int64, len(at))
+        documents = np.fromiter((k for n, docs in sources.values() for k in map(docs.__getitem__, n)), np.int64, len(at))
+        cell = pa.StructArray.from_arrays([names, pa.array(documents[order]), pa.array(occurrences[order])], ["source", "docs", "n"])
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(found.dictionary)))])
+        try:
+            words = found.dictionary.cast(pa.string())
+        except pa.ArrowInvalid:  # not all of it is UTF-8
+            words = pa.array([t.decode(errors="replace") for t in found.dictionary.to_pylist()], pa.string())
+        for k in range(0, len(words), 20_000):
+            bounds = offsets[k : k + 20_001]
+            stripe = pa.ListArray.from_arrays(pa.array(bounds - bounds[0], pa.int32()), cell.slice(bounds[0], bounds[-1] - bounds[0]))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(stripe), pa.string()), words.slice(k, 20_000), stripe], ["lang", "term", "stripe"])
 
 
 def probability(counts: np.ndarray, total, kept: int) -> np.ndarray:

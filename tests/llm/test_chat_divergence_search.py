@@ -178,6 +178,40 @@ def test_divergence(spark, least, top, cells):
     assert {tuple(r) for r in found} == diverging(documents(), least, top)
 
 
+def test_stripes_take_no_step_per_term():
+    """A document of 2,000 different terms runs through as few lines of the fold as one of two, and its counts are right;
+    terms that are not UTF-8 are handed on with replacement characters."""
+    import sys
+
+    import pyarrow as pa
+
+    def fold(texts):
+        lines = 0
+
+        def trace(frame, event, arg):
+            nonlocal lines
+            if frame.f_code.co_name != "stripes":
+                return None
+            lines += event == "line"
+            return trace
+
+        batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(["a", "b"] * (len(texts) // 2)), pa.array(texts, pa.binary())], ["lang", "source", "text"])
+        sys.settrace(trace)
+        try:
+            out = list(divergence._stripes(300_000)(iter([batch])))
+        finally:
+            sys.settrace(None)
+        cells = {(r["term"], c["source"]): (c["docs"], c["n"]) for b in out for r in b.to_pylist() for c in r["stripe"]}
+        return lines, cells, sum(b.num_rows for b in out)
+
+    many = ["".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(2000)]
+    few, cells, _ = fold([b"ab cd ab", b"cd", b"", b"Cd \xff\xfe"])
+    assert cells == {("ab", "a"): (1, 2), ("cd", "a"): (1, 1), ("cd", "b"): (2, 2), ("\ufffd\ufffd", "b"): (1, 1)}
+    lines, cells, rows = fold([" ".join(many).encode()] * 3 + [b"aaa"])
+    assert lines <= few + 10
+    assert rows == 2000 and cells["aaa", "a"] == (2, 2) and cells["aaa", "b"] == (2, 2) and cells[many[-1], "b"] == (1, 1)
+
+
 def test_divergence_in_pieces(spark, monkeypatch):
     """Sums handed on after every language and matrices of a row give the same result."""
     import pandas as pd
